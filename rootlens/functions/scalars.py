@@ -58,8 +58,26 @@ def label_by_code(value: Column, names: Mapping[str, str], otherwise: str) -> Co
 # -- text -------------------------------------------------------------------
 
 
+def _capitalize_runs(text: Column, runs: str) -> Column:
+    pieces = F.regexp_extract_all(text, F.lit(runs), F.lit(1))
+    capital = F.transform(
+        pieces, lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.lower(F.substr(p, F.lit(2))))
+    )
+    return F.array_join(capital, "")
+
+
 def title_text(name: Column) -> Column:
-    return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
+    """Capital after every non-letter, as for metric names: ``unit_price2go`` -> ``Unit_Price2Go``."""
+    return _capitalize_runs(name, r"(\p{L}+|\P{L}+)")
+
+
+def heading_text(name: Column) -> Column:
+    """Capital after blanks, hyphens and opening brackets only: ``event_type`` -> ``Event_type``."""
+    return _capitalize_runs(name, r"([-\s({\[<]+|[^-\s({\[<]+)")
+
+
+def metric_title(metric: Column) -> Column:
+    return title_text(F.replace(metric, F.lit("_"), F.lit(" ")))
 
 
 def money_text(value: Column) -> Column:
