@@ -49,12 +49,17 @@ def _metric_value(df: DataFrame, name: str, scale: int | None) -> Column:
 
 
 def _prepared(df: DataFrame, roles: Roles, scale: int | None) -> DataFrame:
-    names = safe_names(roles.metrics)
-    metrics = [_metric_value(df, m, scale).alias(names[m]) for m in roles.metrics]
+    metrics = [_metric_value(df, m, scale).alias(safe) for m, safe in metric_names(roles).items()]
     dims = [F.col(f"`{d}`").cast("string").alias(f"dim {d}") for d in roles.dimensions]
     return df.filter("metric_date IS NOT NULL").select("metric_date", *metrics, *dims)
 
 
+def metric_names(roles: Roles) -> dict[str, str]:
+    """Original to safe metric names; ``row_count`` is always the counted one."""
+    names = safe_names(roles.metrics)
+    return {raw: safe for raw, safe in names.items() if safe != ROW_COUNT}
+
+
 def _sums(metrics: Sequence[str]) -> list[Column]:
     sums = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in metrics]
     return [*sums, F.count("*").alias(ROW_COUNT)]
@@ -62,7 +67,7 @@ def _sums(metrics: Sequence[str]) -> list[Column]:
 
 def daily_fact(dated: DataFrame, roles: Roles, scale: int | None = None) -> DataFrame:
     """Sum per metric and a row count per day; a daily table passes through."""
-    metrics = list(safe_names(roles.metrics).values())
+    metrics = list(metric_names(roles).values())
     rows = _prepared(dated, roles, scale).select("metric_date", *metrics)
     if roles.grain == "daily":
         return rows.withColumn(ROW_COUNT, F.lit(1).cast("bigint"))
@@ -78,7 +83,7 @@ def dimension_rollup(
     day nor a dominant segment is shuffled row by row. A NULL segment is left
     out, which the reconciliation then reports, unless ``null_segment`` names it.
     """
-    metrics = list(safe_names(roles.metrics).values())
+    metrics = list(metric_names(roles).values())
     label = F.lit(null_segment).cast("string")
     each = F.explode(
         F.array(
@@ -104,7 +109,7 @@ def dataset_spec(roles: Roles) -> DatasetSpec:
 
     A dimension keeps its original spelling, its table and column are safe names.
     """
-    metrics = tuple(safe_names(roles.metrics).values())
+    metrics = tuple(metric_names(roles).values())
     safe_names(roles.dimensions)
     dims = tuple(
         DimensionSpec(d, f"metric_by_{safe_name(d)}", safe_name(d), safe_name(d))

@@ -30,7 +30,7 @@ class Onboarded:
     header: DataFrame
     tables: dict[str, DataFrame]
     reused: bool
-    dropped_rows: int
+    dropped_rows: int  # rows without a readable date, counted when the tables are written
 
 
 def onboard(
@@ -97,6 +97,21 @@ def onboard_file(
     return onboard(read_flat_file(spark, path), dataset_id, base, **options)
 
 
+def load_dataset(spark: SparkSession, dataset_id: str, base: str) -> Onboarded:
+    """An onboarded dataset from its stored roles and tables."""
+    roles = sinks.load_roles(spark, dataset_id, base)
+    if roles is None:
+        raise FileNotFoundError(f"No confirmed classification for '{dataset_id}': onboard it first")
+    header = roles.select("date_column", "grain").distinct()
+    spec = ru.dataset_spec(cls.collect_roles(roles, header))
+    folder = f"{base}/{dataset_id}"
+    tables = {spec.fact_table: spark.read.parquet(f"{folder}/{spec.fact_table}")}
+    if spec.dimensions:
+        rollup = spark.read.parquet(f"{folder}/metric_by_dimension")
+        tables.update(ru.dimension_tables(rollup, spec))
+    return Onboarded(dataset_id, spec, roles, header, tables, True, 0)
+
+
 def run_cycle(done: Onboarded, metric: str, generated_at: str, **options) -> DailyRun:
     """The daily run on an onboarded dataset."""
     return daily_run(done.tables, done.spec, [metric], generated_at, **options)

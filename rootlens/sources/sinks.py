@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,15 +83,16 @@ def save_roles(
 
 def load_roles(spark: SparkSession, dataset_id: str, base: str) -> DataFrame | None:
     """The stored confirmation, or None if the dataset was never confirmed."""
-    path = f"{base}/{dataset_id}/roles"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop_path):
-        return None
-    return spark.read.schema(
+    schema = (
         "position int, column string, role string, cardinality bigint, confidence double, "
         "reason string, date_column string, grain string, fingerprint string"
-    ).json(path)
+    )
+    try:
+        return spark.read.schema(schema).json(f"{base}/{dataset_id}/roles")
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def reusable(stored: DataFrame, fingerprint: DataFrame) -> DataFrame:
