@@ -25,7 +25,9 @@ def days_between(start: Column, end: Column) -> Column:
 
 
 def half_even(value: Column, digits: int = 2) -> Column:
-    return F.bround(value, digits)
+    """Scale, round to the nearest even integer, scale back: pandas' rounding, on doubles."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value.cast("double") * scale) / scale
 
 
 def without_nan(value: Column) -> Column:

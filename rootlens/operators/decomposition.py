@@ -8,7 +8,7 @@ conditionally, which gives the full outer comparison in one shuffle.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,6 +23,9 @@ PAIR = ["metric", "current_date", "previous_date"]
 GROUP = [*PAIR, "dimension", "dim_order"]
 TOP_CONTRIBUTORS = 5
 
+# Writes a frame under a name and returns it read back, e.g. sinks.store_under(base).
+Store = Callable[[str, DataFrame], DataFrame]
+
 
 # -- date pairs -----------------------------------------------------------------
 
@@ -295,13 +298,21 @@ def decompose(
     spec: DatasetSpec,
     metrics: Sequence[str],
     pairs: DataFrame | None = None,
+    store: Store | None = None,
 ) -> Decomposition:
-    """Decompose ``metrics`` for ``pairs``, by default every consecutive pair."""
+    """Decompose ``metrics`` for ``pairs``, by default every consecutive pair.
+
+    The contributions feed the ranking, the totals, the drill plan and the texts;
+    with ``store`` they are computed once and read back by all of these.
+    """
     sliced = dimension_slices(tables, spec, metrics)
     if pairs is None:
         pairs = consecutive_pairs(tables[spec.fact_table])
     compared = compare_segments(sliced.rows, pairs)
     contributed = contributions(compared)
+    if store is not None:
+        contributed = store("contributions", contributed)
+        compared = contributed.select(*compared.columns)
     return Decomposition(
         slices=sliced.rows,
         pairs=pairs,

@@ -97,6 +97,7 @@ def daily_run(
     has_channel: bool = True,
     run_investigation: bool = False,
     target: str | None = None,
+    store: dec.Store | None = None,
 ) -> DailyRun:
     """Analyse the two newest dates of every metric.
 
@@ -109,7 +110,8 @@ def daily_run(
         pairs = _anomaly_pairs(fact, found)
     else:
         pairs = dec.latest_pair(fact, target)
-    d = dec.decompose(tables, spec, metrics, pairs.select("current_date", "previous_date").distinct())
+    days = pairs.select("current_date", "previous_date").distinct()
+    d = dec.decompose(tables, spec, metrics, days, store)
     texts = nar.narratives(d.totals, d.top, dec.top_driver(d.top), generated_at)
     run_pairs = _run_pairs(found.statistics, pairs)
     report = _report(run_pairs, texts, force_alert, dry_run, has_channel)

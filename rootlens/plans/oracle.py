@@ -6,9 +6,7 @@ from __future__ import annotations
 
 import re
 
-from rootlens.functions.scalars import DATE_FORMATS  # noqa: F401  (documents the pairing)
 from rootlens.operators.marts import CATEGORY_GROUPS, PAYMENT_NAMES, REGIONS
-from rootlens.operators.quality import NOT_NULL, ORDER_STATUSES, UNIQUE
 from rootlens.sources.star import CATEGORIES, PAYMENTS, STATES, STATUSES
 
 
@@ -52,7 +50,7 @@ def _money(x: str) -> str:
 
 
 def _signed(x: str) -> str:
-    return f"printf('%+.1f', round_even({x}, 1) + 0.0)"
+    return f"printf('%+.1f', round_even({x}, 1))"
 
 
 def _title(x: str) -> str:
@@ -378,7 +376,9 @@ SELECT * FROM (SELECT metric_date AS cur, lag(metric_date) OVER (ORDER BY metric
 
 
 def sql(final: str) -> str:
-    """``final`` with the CTEs it needs, in definition order."""
+    """``final`` with the CTEs it needs, in definition order; complete statements pass."""
+    if final.lstrip().startswith("WITH"):
+        return final.strip()
     names = list(CTE)
     needed: set[str] = set()
 

@@ -27,6 +27,11 @@ def replace_tables(tables: Mapping[str, DataFrame], base: str) -> dict[str, Data
     return {name: replace_table(df, base, name) for name, df in tables.items()}
 
 
+def store_under(base: str):
+    """A store that keeps each named frame as a table below ``base``."""
+    return lambda name, df: replace_table(df, base, name)
+
+
 def save_as_table(df: DataFrame, name: str) -> None:
     """Create or replace a catalogue table."""
     df.write.mode("overwrite").format("parquet").saveAsTable(name)

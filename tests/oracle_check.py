@@ -32,7 +32,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def normal(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(round(value, 9) + 0.0)
+        return "nan" if math.isnan(value) else repr(round(value, 9))
     if isinstance(value, bool) or value is None or isinstance(value, str):
         return repr(value)
     return repr(float(value)) if not isinstance(value, int) else repr(float(value))
