@@ -205,14 +205,28 @@ class Roles:
     dimensions: tuple[str, ...]
 
 
-def collect_roles(roles: DataFrame, header: DataFrame) -> Roles:
-    """Reads one row per column of the table to the driver."""
-    rows = sorted(roles.select("position", "column", "role").collect())
-    head = header.first()
-    if head["date_column"] is None:
+def collect_roles(confirmed: DataFrame) -> Roles:
+    """Confirmed role rows, which repeat date_column and grain, as one object.
+
+    Reads one row per column of the table to the driver.
+    """
+    rows = sorted(
+        confirmed.select("position", "column", "role", "date_column", "grain").collect(),
+        key=lambda r: r["position"],
+    )
+    if not rows or rows[0]["date_column"] is None:
         raise ValueError("no date column was found or confirmed")
 
     def named(role: str) -> tuple[str, ...]:
         return tuple(r["column"] for r in rows if r["role"] == role)
 
-    return Roles(head["date_column"], head["grain"], named("metric"), named("dimension"))
+    return Roles(rows[0]["date_column"], rows[0]["grain"], named("metric"), named("dimension"))
+
+
+def confirmed_roles(roles: DataFrame, header: DataFrame) -> DataFrame:
+    """Role rows with the date column and grain of the whole table on each.
+
+    ``header`` is a single row, so the join adds columns and no rows.
+    """
+    shared = header.select("date_column", "grain", F.lit(1).alias("_one"))
+    return roles.withColumn("_one", F.lit(1)).join(F.broadcast(shared), "_one").drop("_one")

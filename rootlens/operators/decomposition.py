@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rootlens.functions.literals import one_row, rows_of
 from rootlens.functions.scalars import half_even, percent_or_zero, strict_date, without_nan
 from rootlens.spec import DatasetSpec
 
@@ -75,7 +76,8 @@ def comparison_dates(fact: DataFrame, target: str | dt.date | None = None) -> tu
 
 
 def given_pair(fact: DataFrame, current: str | dt.date, previous: str | dt.date) -> DataFrame:
-    return fact.sparkSession.range(1).select(
+    return one_row(
+        fact.sparkSession,
         F.lit(strict_date(current)).alias("current_date"),
         F.lit(strict_date(previous)).alias("previous_date"),
     )
@@ -131,21 +133,18 @@ def dimension_slices(
             error = None if found else f"column {metric} does not exist in {dim.table}"
             report.append((dim.name, metric, "ok" if found else "error", error))
     session = tables[spec.dimensions[0].table].sparkSession
-    status = session.range(1).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("dimension"),
-                        F.lit(metric).alias("metric"),
-                        F.lit(state).alias("status"),
-                        F.lit(error).cast("string").alias("error"),
-                        F.lit(metric in spec.additive).alias("additive"),
-                    )
-                    for name, metric, state, error in report
-                ]
+    status = rows_of(
+        session,
+        [
+            F.struct(
+                F.lit(name).alias("dimension"),
+                F.lit(metric).alias("metric"),
+                F.lit(state).alias("status"),
+                F.lit(error).cast("string").alias("error"),
+                F.lit(metric in spec.additive).alias("additive"),
             )
-        )
+            for name, metric, state, error in report
+        ],
     )
     if not readable:
         raise ValueError(f"no dimension table carries any of {list(metrics)}")
@@ -202,24 +201,31 @@ def compare(rows: DataFrame, sides: DataFrame, by: Sequence[str], on: Sequence[s
     )
 
 
-def compare_segments(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """All segments of all dimensions for pairs that hold each date at most twice.
+def compare_segments(rows: DataFrame, pairs: DataFrame, by: Sequence[str] = (*GROUP, "segment")):
+    """Both values of all dimensions for pairs that hold each date at most twice.
 
     There are then at most two sides per calendar day, which bounds the broadcast.
     """
     sides = F.broadcast(pair_sides(pairs.select("current_date", "previous_date")))
-    return compare(rows, sides, [*GROUP, "segment"], ["metric_date"])
+    return compare(rows, sides, by, ["metric_date"])
 
 
-def contributions(compared: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
+def contributions(
+    compared: DataFrame, group: Sequence[str] = GROUP, whole: DataFrame | None = None
+) -> DataFrame:
     """Each row's change, its relative change and its share of the group's change.
 
-    The group total is a small aggregate joined back instead of a window, so a
-    group with very many segments is never gathered into one task.
+    ``whole`` is the same comparison made per group; summed from ``compared``
+    when absent. It is joined back instead of taking a window, so a group with
+    very many segments is never gathered into one task.
     """
     change = F.col("change")
-    changed = compared.withColumn("change", F.col("current_value") - F.col("previous_value"))
-    totals = changed.groupBy(*group).agg(F.sum("change").alias("_total"))
+    difference = F.col("current_value") - F.col("previous_value")
+    changed = compared.withColumn("change", difference)
+    if whole is None:
+        totals = changed.groupBy(*group).agg(F.sum("change").alias("_total"))
+    else:
+        totals = whole.select(*group, difference.alias("_total"))
     return (
         changed.join(totals, list(group))
         .withColumn("change_pct", percent_or_zero(change, F.col("previous_value")))
@@ -309,7 +315,7 @@ def decompose(
     if pairs is None:
         pairs = consecutive_pairs(tables[spec.fact_table])
     compared = compare_segments(sliced.rows, pairs)
-    contributed = contributions(compared)
+    contributed = contributions(compared, GROUP, compare_segments(sliced.rows, pairs, GROUP))
     if store is not None:
         contributed = store("contributions", contributed)
         compared = contributed.select(*compared.columns)
@@ -335,13 +341,9 @@ def drill_down(rows: DataFrame, targets: DataFrame) -> DataFrame:
     sides = pair_sides(targets.select(*GROUP, F.col("segment").alias("parent")))
     inside = rows.withColumnRenamed("segment", "parent").withColumnRenamed("detail", "segment")
     group = [*GROUP, "parent"]
-    compared = compare(
-        inside,
-        sides,
-        [*group, "segment"],
-        ["metric_date", "metric", "dimension", "dim_order", "parent"],
-    )
-    return contributions(compared, group)
+    on = ["metric_date", "metric", "dimension", "dim_order", "parent"]
+    compared = compare(inside, sides, [*group, "segment"], on)
+    return contributions(compared, group, compare(inside, sides, group, on))
 
 
 def drill_totals(targets: DataFrame, drilled: DataFrame) -> DataFrame:

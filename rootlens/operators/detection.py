@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rootlens.functions.literals import each, one_row
 from rootlens.functions.scalars import half_even, percent, without_nan
 from rootlens.spec import DEFAULT_LOOKBACK, DEFAULT_THRESHOLD
 
@@ -99,9 +100,7 @@ def series_statistics(scored: DataFrame, series: Sequence[str] = ("metric",)) ->
 
 def detection_status(statistics: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """One row per requested metric; a metric without data says so."""
-    asked = statistics.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric")
-    )
+    asked = one_row(statistics.sparkSession, each("metric", metrics))
     return asked.join(statistics, "metric", "left").select(
         "metric",
         F.when(F.col("total_days_analyzed") > 0, "completed").otherwise("no_data").alias("status"),

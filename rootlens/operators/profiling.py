@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rootlens.functions.literals import one_row, rows_of
 from rootlens.functions.scalars import DATE_FORMATS, lenient_timestamp
 
 # Share of distinct values above which a column looks like an id,
@@ -52,7 +53,7 @@ def columns_of(df: DataFrame) -> DataFrame:
         )
         for position, field in enumerate(df.schema.fields)
     ]
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    return rows_of(df.sparkSession, rows)
 
 
 def _value_key(name: str, kind: T.DataType) -> Column:
@@ -161,7 +162,7 @@ def sampled_date_rates(
     parts = []
     for field in df.schema.fields:
         if is_numeric(field.dataType):
-            rate = df.sparkSession.range(1).select(F.lit(0.0).alias("date_parse_rate"))
+            rate = one_row(df.sparkSession, F.lit(0.0).alias("date_parse_rate"))
         else:
             value = F.col("value")
             moment = value if is_temporal(field.dataType) else lenient_timestamp(value, formats)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rootlens.functions.literals import each
 from rootlens.functions.scalars import DATE_FORMATS, lenient_timestamp, safe_name, safe_names
 from rootlens.operators.classification import Roles
 from rootlens.operators.profiling import is_temporal
@@ -155,8 +156,11 @@ def reconcile(
 
     Compared by key, so a date missing on either side is a mismatch of its own.
     """
-    names = F.explode(F.array(*[F.lit(d) for d in dimensions])).alias("dimension")
-    expected = date_totals(fact, metrics).withColumnRenamed("total", "fact_total").select("*", names)
+    expected = (
+        date_totals(fact, metrics)
+        .withColumnRenamed("total", "fact_total")
+        .select("*", each("dimension", dimensions))
+    )
     actual = date_totals(rollup, metrics, ["dimension"]).withColumnRenamed("total", "dimension_total")
     f, d = F.col("fact_total"), F.col("dimension_total")
     close = F.abs(f - d) <= ABSOLUTE_TOLERANCE + RELATIVE_TOLERANCE * F.abs(d)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rootlens.functions import scalars as sc
+from rootlens.functions.literals import each, one_row, rows_of
 from rootlens.operators import classification as cls
 from rootlens.operators import decomposition as dec
 from rootlens.operators import detection as det
@@ -94,8 +95,16 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _marts(spark, sf_dir)["fact_daily_metrics"]
 
 
-def _decomposed(spark, sf_dir, metrics=("total_revenue",), pairs=None) -> dec.Decomposition:
-    return dec.decompose(_marts(spark, sf_dir), RETAIL, list(metrics), pairs)
+def _built(spark: SparkSession, sf_dir: str, base: str) -> dict[str, DataFrame]:
+    """The tables written once, as every later step reads them."""
+    return mt.build_marts(star.read_raw(spark, sf_dir), sinks.store_under(base))
+
+
+def _decomposed(spark, sf_dir, metrics=("total_revenue",)) -> dec.Decomposition:
+    """All consecutive pairs."""
+    base = _scratch(spark)
+    store = sinks.store_under(base)
+    return dec.decompose(_built(spark, sf_dir, base), RETAIL, list(metrics), store=store)
 
 
 def _scored(spark, sf_dir) -> DataFrame:
@@ -246,7 +255,9 @@ def _texts(s, d, metrics) -> DataFrame:
 
 
 def _daily(s, d, **options) -> run.DailyRun:
-    return run.daily_run(_marts(s, d), RETAIL, ALL, STAMP, **options)
+    base = _scratch(s)
+    tables, store = _built(s, d, base), sinks.store_under(base)
+    return run.daily_run(tables, RETAIL, ALL, STAMP, store=store, **options)
 
 
 REPORT = """SELECT m.metric, p.cur::VARCHAR AS "current_date", p.prev::VARCHAR AS previous_date,
@@ -280,7 +291,8 @@ def _(s, d):
     roles = cls.assign_roles(profiles)
     base = _scratch(s)
     print_ = prof.schema_fingerprint(profiles).first()["fingerprint"]
-    sinks.save_roles(roles, cls.classification_header(roles, profiles), print_, "events", base)
+    confirmed = cls.confirmed_roles(roles, cls.classification_header(roles, profiles))
+    sinks.save_roles(confirmed, print_, "events", base)
     return sinks.load_roles(s, "events", base).select("position", *cls.ROLE_COLUMNS)
 
 
@@ -406,8 +418,7 @@ def _(s, d):
 )
 def _(s, d):
     fact = _fact(s, d)
-    metrics = F.explode(F.array(*[F.lit(m) for m in ALL])).alias("metric")
-    pairs = dec.latest_pair(fact).select("*", metrics)
+    pairs = dec.latest_pair(fact).select("*", each("metric", ALL))
     prior = det.prior_anomalies(_scored(s, d), pairs)
     return prior.select("metric", "metric_date", "anomaly_direction", "change_pct")
 
@@ -676,7 +687,8 @@ def _(s, d):
 )
 def _(s, d):
     m = _marts(s, d)
-    return mt.order_revenue(m["stg_orders"], m["stg_order_items"]).drop("item_count")
+    revenue = mt.order_revenue(m["stg_orders"], m["stg_order_items"])
+    return revenue.drop("item_count", "order_rows")
 
 
 FACT = f"""SELECT metric_date::VARCHAR AS metric_date, order_count, customer_count, {_usd('revenue_c')} AS total_revenue,
@@ -1271,9 +1283,8 @@ def _(s, d):
 
 
 def _latest(s, d) -> dec.Decomposition:
-    marts = _marts(s, d)
-    pair = dec.latest_pair(marts["fact_daily_metrics"])
-    return dec.decompose(marts, RETAIL, SLICED, pair)
+    marts = _built(s, d, _scratch(s))
+    return dec.decompose(marts, RETAIL, SLICED, dec.latest_pair(marts[RETAIL.fact_table]))
 
 
 @query("d04_latest_pair_top", TOP + " WHERE (cur, prev) IN (SELECT (cur, prev) FROM last_pair)")
@@ -1522,7 +1533,7 @@ def _(s, d):
     ORDER BY cur DESC LIMIT 1)""",
 )
 def _(s, d):
-    marts = _marts(s, d)
+    marts = _built(s, d, _scratch(s))
     current, previous = dec.comparison_dates(marts["fact_daily_metrics"], "2000-06-30")
     return explore.decomposition(marts, RETAIL, current, previous).top.drop("dim_order")
 
@@ -1533,7 +1544,7 @@ def _(s, d):
     AND (cur, prev) IN (SELECT (cur, prev) FROM last_pair)""",
 )
 def _(s, d):
-    return explore.narrative(_marts(s, d), RETAIL, STAMP)
+    return explore.narrative(_built(s, d, _scratch(s)), RETAIL, STAMP)
 
 
 # ---------------------------------------------------------------------------------- onboarding
@@ -1666,20 +1677,19 @@ def _(s, d):
 def _(s, d):
     profiles = prof.profile_columns(star.read_table(s, d, "events"))
     roles = cls.assign_roles(profiles)
-    spec = ru.dataset_spec(cls.collect_roles(roles, cls.classification_header(roles, profiles)))
-    listed = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(dim.name).alias("dimension"),
-                    F.lit(dim.table).alias("table"),
-                    F.lit(dim.segment_col).alias("segment_col"),
-                )
-                for dim in spec.dimensions
-            ]
-        )
+    header = cls.classification_header(roles, profiles)
+    spec = ru.dataset_spec(cls.collect_roles(cls.confirmed_roles(roles, header)))
+    names = rows_of(
+        s,
+        [
+            F.struct(
+                F.lit(dim.name).alias("dimension"),
+                F.lit(dim.table).alias("table"),
+                F.lit(dim.segment_col).alias("segment_col"),
+            )
+            for dim in spec.dimensions
+        ],
     )
-    names = s.range(1).select(listed)
     sizes = roles.select(F.col("column").alias("dimension"), "cardinality")
     return names.join(sizes, "dimension")
 
@@ -1692,7 +1702,7 @@ def _(s, d):
 
 def _onboarded(s, d) -> onb.Onboarded:
     events = star.read_table(s, d, "events")
-    move = s.range(1).select(F.lit("user_id").alias("column"), F.lit("reject").alias("new_role"))
+    move = one_row(s, F.lit("user_id").alias("column"), F.lit("reject").alias("new_role"))
     return onb.onboard(events, "events", _scratch(s), overrides=move, exact_scale=2)
 
 

@@ -27,10 +27,8 @@ class Onboarded:
     dataset_id: str
     spec: DatasetSpec
     roles: DataFrame
-    header: DataFrame
     tables: dict[str, DataFrame]
     reused: bool
-    dropped_rows: int  # rows without a readable date, counted when the tables are written
 
 
 def onboard(
@@ -49,13 +47,10 @@ def onboard(
     spark = df.sparkSession
     columns = prof.columns_of(df)
     fingerprint = prof.schema_fingerprint(columns).first()["fingerprint"]
-    stored = sinks.load_roles(spark, dataset_id, base)
-    roles = None
-    if stored is not None:
-        kept = stored.filter(F.col("fingerprint") == fingerprint)
-        if not kept.isEmpty():
-            roles, header = kept, kept.select("date_column", "grain").distinct()
-    reused = roles is not None
+    confirmed = sinks.load_roles(spark, dataset_id, base)
+    if confirmed is not None:
+        confirmed = confirmed.filter(F.col("fingerprint") == fingerprint)
+    reused = confirmed is not None and not confirmed.isEmpty()
     if not reused:
         # one row per column, but costly to compute: written once, read often
         profiles = sinks.replace_table(
@@ -65,19 +60,19 @@ def onboard(
         if overrides is not None:
             roles = cls.apply_overrides(roles, overrides)
         header = cls.classification_header(roles, profiles)
-        sinks.save_roles(roles, header, fingerprint, dataset_id, base)
+        sinks.save_roles(cls.confirmed_roles(roles, header), fingerprint, dataset_id, base)
+        confirmed = sinks.load_roles(spark, dataset_id, base)
 
-    plan = cls.collect_roles(roles, header)
+    plan = cls.collect_roles(confirmed)
     spec = ru.dataset_spec(plan)
     dated = ru.dated_rows(df, plan.date_column, formats)
-    fact = sinks.replace_table(
-        ru.daily_fact(dated, plan, exact_scale), f"{base}/{dataset_id}", spec.fact_table
-    )
+    folder = f"{base}/{dataset_id}"
+    fact = sinks.replace_table(ru.daily_fact(dated, plan, exact_scale), folder, spec.fact_table)
     tables = {spec.fact_table: fact}
     if plan.dimensions:
         rollup = sinks.replace_table(
             ru.dimension_rollup(dated, plan, exact_scale),
-            f"{base}/{dataset_id}",
+            folder,
             "metric_by_dimension",
             partition_by="dimension",
         )
@@ -87,8 +82,18 @@ def onboard(
         if errors:
             raise ReconciliationError("; ".join(sorted(errors)))
         tables.update(ru.dimension_tables(rollup, spec))
-    dropped = ru.unparsed_rows(dated).first()["dropped_rows"]
-    return Onboarded(dataset_id, spec, roles, header, tables, reused, dropped)
+    return Onboarded(dataset_id, spec, confirmed, tables, reused)
+
+
+def dropped_rows(df: DataFrame, done: Onboarded) -> DataFrame:
+    """How many rows had no readable date and are in no table."""
+    kept = done.tables[done.spec.fact_table].agg(
+        F.coalesce(F.sum(ru.ROW_COUNT), F.lit(0)).alias("kept_rows"), F.lit(1).alias("_one")
+    )
+    total = df.agg(F.count("*").alias("n_rows"), F.lit(1).alias("_one"))
+    return total.join(kept, "_one").select(
+        "n_rows", (F.col("n_rows") - F.col("kept_rows")).alias("dropped_rows")
+    )
 
 
 def onboard_file(
@@ -102,14 +107,13 @@ def load_dataset(spark: SparkSession, dataset_id: str, base: str) -> Onboarded:
     roles = sinks.load_roles(spark, dataset_id, base)
     if roles is None:
         raise FileNotFoundError(f"No confirmed classification for '{dataset_id}': onboard it first")
-    header = roles.select("date_column", "grain").distinct()
-    spec = ru.dataset_spec(cls.collect_roles(roles, header))
+    spec = ru.dataset_spec(cls.collect_roles(roles))
     folder = f"{base}/{dataset_id}"
     tables = {spec.fact_table: spark.read.parquet(f"{folder}/{spec.fact_table}")}
     if spec.dimensions:
         rollup = spark.read.parquet(f"{folder}/metric_by_dimension")
         tables.update(ru.dimension_tables(rollup, spec))
-    return Onboarded(dataset_id, spec, roles, header, tables, True, 0)
+    return Onboarded(dataset_id, spec, roles, tables, True)
 
 
 def run_cycle(done: Onboarded, metric: str, generated_at: str, **options) -> DailyRun:

@@ -73,17 +73,10 @@ def append_run_metrics(report: DataFrame, base: str) -> None:
 # -- confirmed roles --------------------------------------------------------------------
 
 
-def save_roles(
-    roles: DataFrame, header: DataFrame, fingerprint: str, dataset_id: str, base: str
-) -> None:
+def save_roles(confirmed: DataFrame, fingerprint: str, dataset_id: str, base: str) -> None:
     """Replace the stored confirmation of one dataset."""
-    head = header.first()
-    stored = (
-        roles.withColumn("date_column", F.lit(head["date_column"]).cast("string"))
-        .withColumn("grain", F.lit(head["grain"]))
-        .withColumn("fingerprint", F.lit(fingerprint))
-    )
-    stored.write.mode("overwrite").json(f"{base}/{dataset_id}/roles")
+    rows = confirmed.withColumn("fingerprint", F.lit(fingerprint))
+    rows.write.mode("overwrite").json(f"{base}/{dataset_id}/roles")
 
 
 def load_roles(spark: SparkSession, dataset_id: str, base: str) -> DataFrame | None:
