@@ -11,6 +11,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -38,7 +39,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("rootlens-bench", os.environ.get("BENCH_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
-    base = tempfile.mkdtemp(prefix="rootlens-bench-", dir=shared_dir(spark, tempfile.gettempdir()))
+    base = f"{shared_dir(spark, tempfile.gettempdir())}/rootlens-bench-{uuid.uuid4()}"
 
     def marts():
         return mt.build_marts(star.read_raw(spark, sf_dir))
@@ -76,8 +77,7 @@ def main() -> None:
 
     def onboard():
         events = star.read_table(spark, sf_dir, "events")
-        folder = tempfile.mkdtemp(prefix="onboard-", dir=base)
-        onb.onboard(events, "events", folder, exact_scale=2)
+        onb.onboard(events, "events", f"{base}/onboard", exact_scale=2)
 
     steps = {
         "fact_daily_metrics": lambda: consume(marts()["fact_daily_metrics"]),

@@ -6,6 +6,7 @@ Results leave as plain types: money as doubles, dates as text.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,8 +84,7 @@ def _plain(df: DataFrame) -> DataFrame:
 def _scratch(spark: SparkSession) -> str:
     """A new folder under the shared one for queries that write and read back."""
     base = shared_dir(spark, fallback=tempfile.gettempdir())
-    stamp = spark.sql("SELECT uuid() AS u").first()["u"]
-    return f"{base}/rootlens-{stamp}"
+    return f"{base}/rootlens-{uuid.uuid4()}"
 
 
 def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -228,13 +228,14 @@ def _(s, d):
     "SELECT unnest(['dim_geography', 'dim_payment', 'dim_product']) AS table_name",
 )
 def _(s, d):
-    schema = "rootlens_catalogue"
-    s.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+    schema = f"rootlens_{uuid.uuid4().hex}"
     s.sql(f"CREATE DATABASE {schema} LOCATION '{_scratch(s)}'")
     marts = _marts(s, d)
     for name in ("dim_geography", "dim_product", "dim_payment"):
         sinks.save_as_table(marts[name], f"{schema}.{name}")
-    return csv_tables.list_tables(s, schema)
+    listed = csv_tables.list_tables(s, schema)  # SHOW TABLES runs at once
+    s.sql(f"DROP DATABASE {schema} CASCADE")
+    return listed
 
 
 PAIR = 'metric, cur::VARCHAR AS "current_date", prev::VARCHAR AS previous_date'
