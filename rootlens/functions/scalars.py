@@ -155,10 +155,11 @@ _ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:.*)?$"
 
 
 def lenient_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Timestamp for any accepted spelling, else NULL."""
+    """Wall-clock time for any accepted spelling, else NULL. A zone in the text is ignored."""
     trimmed = F.trim(text)
-    iso = F.when(trimmed.rlike(_ISO_SHAPE), F.try_to_timestamp(trimmed))
-    return F.coalesce(iso, *[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats])
+    iso = F.when(trimmed.rlike(_ISO_SHAPE), trimmed.try_cast("timestamp_ntz"))
+    others = [F.try_to_timestamp(trimmed, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(iso, *others)
 
 
 def strict_date(text: str | dt.date) -> dt.date:

@@ -79,9 +79,9 @@ def column_statistics(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> D
     """Counts per column, from one pass over the table."""
     schema = columns_of(df)
     filled = F.col("value").isNotNull()
-    moment = F.when(
-        F.col("is_temporal"), F.try_to_timestamp(F.col("value"))
-    ).when(~F.col("is_numeric"), lenient_timestamp(F.col("value"), formats))
+    moment = F.when(F.col("is_temporal"), F.col("value").try_cast("timestamp_ntz")).when(
+        ~F.col("is_numeric"), lenient_timestamp(F.col("value"), formats)
+    )
     counted = (
         value_counts(df)
         .join(F.broadcast(schema), F.col("column") == F.col("name"))

@@ -73,10 +73,8 @@ def _plain(df: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
-        elif isinstance(field.dataType, T.DateType):
+        elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             column = column.cast("string")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         casts.append(column.alias(field.name))
     return df.select(*casts)
 

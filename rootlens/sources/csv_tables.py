@@ -80,9 +80,9 @@ def typed_column(name: str, kind: str) -> Column:
         moment = lenient_timestamp(filled)
         message = F.concat(F.lit(f"{name}: not a timestamp: "), filled)
         strict = F.when(
-            filled.isNotNull() & moment.isNull(), F.raise_error(message).cast("timestamp")
+            filled.isNotNull() & moment.isNull(), F.raise_error(message).cast("timestamp_ntz")
         ).otherwise(moment)
-        return strict.cast("timestamp_ntz").alias(name)
+        return strict.alias(name)
     return F.trim(filled).cast(kind).alias(name)
 
 
