@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rootlens.functions.literals import one_row, rows_of
+from rootlens.functions.literals import one_row
 from rootlens.functions.scalars import half_even, percent_or_zero, strict_date, without_nan
 from rootlens.spec import DatasetSpec
 
@@ -132,22 +132,17 @@ def dimension_slices(
             readable += [(dim, metric)] if found else []
             error = None if found else f"column {metric} does not exist in {dim.table}"
             report.append((dim.name, metric, "ok" if found else "error", error))
-    session = tables[spec.dimensions[0].table].sparkSession
-    status = rows_of(
-        session,
-        [
-            F.struct(
-                F.lit(name).alias("dimension"),
-                F.lit(metric).alias("metric"),
-                F.lit(state).alias("status"),
-                F.lit(error).cast("string").alias("error"),
-                F.lit(metric in spec.additive).alias("additive"),
-            )
-            for name, metric, state, error in report
-        ],
+    session = tables[spec.fact_table].sparkSession
+    status = session.createDataFrame(
+        [(*entry, entry[1] in spec.additive) for entry in report],
+        "dimension string, metric string, status string, error string, additive boolean",
     )
     if not readable:
-        raise ValueError(f"no dimension table carries any of {list(metrics)}")
+        nothing = (
+            "metric_date date, dimension string, dim_order int, segment string, detail string, "
+            "metric string, value double"
+        )
+        return Slices(session.createDataFrame([], nothing), status)
     value_type = _value_type(tables, [(dim.table, metric) for dim, metric in readable])
 
     def typed(metric: str):

@@ -75,6 +75,30 @@ def investigation_result(
     )
 
 
+@dataclass(frozen=True)
+class Statements:
+    """Explanations written elsewhere, to be checked: see operators/investigation.py.
+
+    ``citations``: (PAIR, position, dimension, segment, source, claim);
+    ``notes``: one (PAIR, uncertainty_note) per statement.
+    """
+
+    citations: DataFrame
+    notes: DataFrame
+
+
+def summarize(around: Investigation, pairs: DataFrame, statements: Statements | None) -> DataFrame:
+    """Checked statements, or the fallback text where there is none that holds."""
+    fallback = inv.fallback_summary(around.drivers)
+    if statements is None:
+        return fallback.withColumn("grounding_failed", F.lit(True))
+    errors = inv.citation_errors(
+        statements.citations, around.evidence, around.classified, statements.notes
+    )
+    rendered = inv.render_summary(statements.citations, around.evidence, statements.notes)
+    return inv.synthesize(rendered, errors, fallback, pairs)
+
+
 @dataclass(frozen=True)
 class DailyRun:
     detection: det.Detection
@@ -96,6 +120,7 @@ def daily_run(
     dry_run: bool = False,
     has_channel: bool = True,
     run_investigation: bool = False,
+    statements: Statements | None = None,
     target: str | None = None,
     store: dec.Store | None = None,
 ) -> DailyRun:
@@ -125,8 +150,8 @@ def daily_run(
         around = investigate(d)
         gate = inv.investigation_gate(found.statistics, force_alert)
         asked = run_pairs.filter("current_date IS NOT NULL").select(*dec.PAIR)
-        spare = inv.fallback_summary(around.drivers).withColumn("grounding_failed", F.lit(True))
-        investigated = investigation_result(gate, asked, texts, around.drivers, spare)
+        summaries = summarize(around, asked, statements)
+        investigated = investigation_result(gate, asked, texts, around.drivers, summaries)
     return DailyRun(found, d, texts, alerts, report, investigated)
 
 

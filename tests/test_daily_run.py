@@ -76,6 +76,32 @@ def test_failures_are_rows(spark, rows, base):
     assert both["buyers"]["error"] == "no dimension carries this metric"
 
 
+def test_metric_without_any_breakdown_still_reports(spark, rows):
+    alone = run.daily_run(tables(spark, SPIKE), SPEC, ["buyers"], STAMP, run_investigation=True)
+    assert rows(alone.report)[0]["error"] == "no dimension carries this metric"
+    bare = DatasetSpec("fact", ("sales",), ())
+    assert rows(run.daily_run(tables(spark, SPIKE), bare, ["sales"], STAMP).report)[0]["status"] == "failed"
+
+
+@pytest.mark.parametrize("segment, failed", [("North", False), ("East", True)])
+def test_statements_are_checked(spark, rows, segment, failed):
+    pair = ("sales", START + dt.timedelta(days=21), START + dt.timedelta(days=20))
+    keys = "metric string, current_date date, previous_date date, "
+    citations = spark.createDataFrame(
+        [(*pair, 0, "geo", segment, "decomposition", "led it")],
+        keys + "position int, dimension string, segment string, source string, claim string",
+    )
+    notes = spark.createDataFrame([(*pair, None)], keys + "uncertainty_note string")
+    found = run.daily_run(
+        tables(spark, SPIKE), SPEC, ["sales"], STAMP,
+        run_investigation=True, statements=run.Statements(citations, notes),
+    )
+    result = rows(found.investigation)[0]
+    assert result["grounding_failed"] is failed
+    start = "The primary driver was South" if failed else "Led it: **North** (Geo) contributed **40.0%**"
+    assert result["investigation_summary"].startswith(start)
+
+
 def test_stored_run_is_the_same(spark, rows, base):
     t = tables(spark, SPIKE)
     plain = rows(run.daily_run(t, SPEC, ["sales"], STAMP).report)
