@@ -117,25 +117,22 @@ def classification_header(roles: DataFrame, profiles: DataFrame) -> DataFrame:
         "column", "day_cardinality", "n_rows"
     )
     date = F.col("role") == "date"
-    header = (
+    return (
         roles.select("column", "role")
         .join(named, "column", "left")
+        .join(validate_roles(roles, profiles), ["column", "role"], "left")
         .agg(
             F.max(F.when(date, F.col("column"))).alias("date_column"),
             F.max(F.when(date, F.col("day_cardinality"))).alias("days"),
             F.max("n_rows").alias("n_rows"),
+            F.array_sort(F.collect_list("error")).alias("validation_errors"),
+        )
+        .select(
+            "date_column",
+            grain_of(F.col("days"), F.col("n_rows")).alias("grain"),
+            (F.size("validation_errors") > 0).alias("requires_human_review"),
+            "validation_errors",
         )
-        .withColumn("grain", grain_of(F.col("days"), F.col("n_rows")))
-        .select("date_column", "grain", F.lit(1).alias("_one"))
-    )
-    errors = validate_roles(roles, profiles).agg(
-        F.array_sort(F.collect_list("error")).alias("validation_errors"), F.lit(1).alias("_one")
-    )
-    return header.join(errors, "_one").select(
-        "date_column",
-        "grain",
-        (F.size("validation_errors") > 0).alias("requires_human_review"),
-        "validation_errors",
     )
 
 
@@ -226,7 +223,8 @@ def collect_roles(confirmed: DataFrame) -> Roles:
 def confirmed_roles(roles: DataFrame, header: DataFrame) -> DataFrame:
     """Role rows with the date column and grain of the whole table on each.
 
-    ``header`` is a single row, so the join adds columns and no rows.
+    Reads the single header row to the driver.
     """
-    shared = header.select("date_column", "grain", F.lit(1).alias("_one"))
-    return roles.withColumn("_one", F.lit(1)).join(F.broadcast(shared), "_one").drop("_one")
+    head = header.select("date_column", "grain").first()
+    date_column = F.lit(head["date_column"]).cast("string").alias("date_column")
+    return roles.select("*", date_column, F.lit(head["grain"]).alias("grain"))

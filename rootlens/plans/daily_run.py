@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rootlens.functions.literals import each
 from rootlens.operators import decomposition as dec
 from rootlens.operators import detection as det
 from rootlens.operators import investigation as inv
@@ -134,11 +135,12 @@ def daily_run(
     if target == "latest_anomaly":
         pairs = _anomaly_pairs(fact, found)
     else:
-        pairs = dec.latest_pair(fact, target)
+        pairs = dec.latest_pair(fact, target).select(each("metric", metrics), "*")
     days = pairs.select("current_date", "previous_date").distinct()
     d = dec.decompose(tables, spec, metrics, days, store)
     texts = nar.narratives(d.totals, d.top, dec.top_driver(d.top), generated_at)
-    run_pairs = _run_pairs(found.statistics, pairs)
+    # a metric without a pair keeps its row, with NULL dates
+    run_pairs = found.statistics.join(pairs, "metric", "left")
     report = _report(run_pairs, texts, force_alert, dry_run, has_channel)
     alerts = (
         nar.alert_messages(texts)
@@ -162,15 +164,6 @@ def _anomaly_pairs(fact: DataFrame, found: det.Detection) -> DataFrame:
     )
 
 
-def _run_pairs(statistics: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Detection row of each metric with the pair it is compared on, NULL if there is none."""
-    if "metric" in pairs.columns:
-        return statistics.join(pairs, "metric", "left")
-    # latest_pair has at most one row: the join adds two columns, it multiplies nothing
-    one = pairs.withColumn("_one", F.lit(1))
-    return statistics.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one", "left").drop("_one")
-
-
 def _report(
     run_pairs: DataFrame, texts: DataFrame, force: bool, dry_run: bool, has_channel: bool
 ) -> DataFrame:

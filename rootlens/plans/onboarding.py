@@ -87,12 +87,13 @@ def onboard(
 
 def dropped_rows(df: DataFrame, done: Onboarded) -> DataFrame:
     """How many rows had no readable date and are in no table."""
-    kept = done.tables[done.spec.fact_table].agg(
-        F.coalesce(F.sum(ru.ROW_COUNT), F.lit(0)).alias("kept_rows"), F.lit(1).alias("_one")
+    none = F.lit(0).cast("bigint")
+    kept = done.tables[done.spec.fact_table].select(
+        none.alias("n_rows"), F.col(ru.ROW_COUNT).alias("kept_rows")
     )
-    total = df.agg(F.count("*").alias("n_rows"), F.lit(1).alias("_one"))
-    return total.join(kept, "_one").select(
-        "n_rows", (F.col("n_rows") - F.col("kept_rows")).alias("dropped_rows")
+    total = df.agg(F.count("*").alias("n_rows")).select("n_rows", none.alias("kept_rows"))
+    return total.unionByName(kept).agg(
+        F.sum("n_rows").alias("n_rows"), (F.sum("n_rows") - F.sum("kept_rows")).alias("dropped_rows")
     )
 
 

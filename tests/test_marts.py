@@ -146,6 +146,14 @@ def test_stored_build_equals_the_lazy_one(raw, built, rows, base):
         assert rows(stored[name], *order_by) == rows(built[name], *order_by)
 
 
+@pytest.mark.parametrize("kind, total", [("decimal(10,2)", "0.87"), ("decimal(12,4)", "0.8700"), ("double", 0.87)])
+def test_line_totals_are_exact_for_every_type(spark, kind, total):
+    lines = spark.createDataFrame([("0.29",)] * 3 + [(None,)], "v string").select(F.col("v").cast(kind).alias("v"))
+    found = lines.agg(mt.line_total(lines, "v")).first()[0]
+    assert found == (pytest.approx(total) if kind == "double" else Decimal(total))
+    assert lines.filter("v IS NULL").agg(mt.line_total(lines, "v")).first()[0] is None
+
+
 def test_lowest_row_per_key(spark, rows):
     data = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, "z")], "k string, n int, v string")
     assert rows(mt.lowest_per_key(data, "k", ["n"]), "k") == [
