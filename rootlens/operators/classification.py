@@ -71,6 +71,7 @@ def validate_roles(roles: DataFrame, profiles: DataFrame) -> DataFrame:
         "is_numeric",
         "cardinality_ratio",
     )
+    # The wording of the messages.
     noun = (
         F.when(F.col("role") == "date", "date_column")
         .when(F.col("role") == "metric", "a metric")

@@ -23,6 +23,7 @@ from rootlens.spec import DatasetSpec
 PAIR = ["metric", "current_date", "previous_date"]
 GROUP = [*PAIR, "dimension", "dim_order"]
 TOP_CONTRIBUTORS = 5
+MAX_BROADCAST_SERIES = 32
 
 # Writes a frame under a name and returns it read back, e.g. sinks.store_under(base).
 Store = Callable[[str, DataFrame], DataFrame]
@@ -183,50 +184,68 @@ def segment_totals(rows: DataFrame) -> DataFrame:
 
 
 def compare(rows: DataFrame, sides: DataFrame, by: Sequence[str], on: Sequence[str]) -> DataFrame:
-    """Current and previous value per ``by``; a missing side counts as 0."""
+    """Current and previous value per ``by``; a missing side counts as 0.
+
+    A ``group_change`` that the sides carry is passed on.
+    """
     value, current = F.col("value"), F.col("is_current")
     zero = F.lit(0)
+    carried = [F.max(c).alias(c) for c in sides.columns if c == "group_change"]
     return (
         rows.join(sides, list(on))
         .groupBy(*by)
         .agg(
             F.coalesce(F.sum(F.when(current, value)), zero).alias("current_value"),
             F.coalesce(F.sum(F.when(~current, value)), zero).alias("previous_value"),
+            *carried,
         )
     )
 
 
-def compare_segments(rows: DataFrame, pairs: DataFrame, by: Sequence[str] = (*GROUP, "segment")):
-    """Both values of all dimensions for pairs that hold each date at most twice.
+def compare_groups(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Both values per metric and dimension for pairs that hold each date at most twice.
 
     There are then at most two sides per calendar day, which bounds the broadcast.
     """
     sides = F.broadcast(pair_sides(pairs.select("current_date", "previous_date")))
-    return compare(rows, sides, by, ["metric_date"])
+    return compare(rows, sides, GROUP, ["metric_date"])
+
+
+def sides_with_change(whole: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Both sides of every group together with the change of the whole group.
+
+    Carrying the total to the rows spares a join on the group afterwards, which
+    would gather a group with very many segments in one task.
+    """
+    change = (F.col("current_value") - F.col("previous_value")).alias("group_change")
+    return pair_sides(whole.select(*group, change))
 
 
-def contributions(
-    compared: DataFrame, group: Sequence[str] = GROUP, whole: DataFrame | None = None
-) -> DataFrame:
-    """Each row's change, its relative change and its share of the group's change.
+def compare_segments(rows: DataFrame, whole: DataFrame, series: int) -> DataFrame:
+    """Both values per segment; ``whole`` is the comparison per group.
 
-    ``whole`` is the same comparison made per group; summed from ``compared``
-    when absent. It is joined back instead of taking a window, so a group with
-    very many segments is never gathered into one task.
+    ``series`` counts (metric, dimension) combinations: with few of them the
+    sides are a few rows per calendar day and are broadcast, else Spark decides.
     """
+    sides = sides_with_change(whole, GROUP)
+    if series <= MAX_BROADCAST_SERIES:
+        sides = F.broadcast(sides)
+    on = ["metric_date", "metric", "dimension", "dim_order"]
+    return compare(rows, sides, [*GROUP, "segment"], on)
+
+
+def contributions(compared: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
+    """Each row's change, its relative change and its share of the group's change."""
     change = F.col("change")
-    difference = F.col("current_value") - F.col("previous_value")
-    changed = compared.withColumn("change", difference)
-    if whole is None:
-        totals = changed.groupBy(*group).agg(F.sum("change").alias("_total"))
-    else:
-        totals = whole.select(*group, difference.alias("_total"))
+    changed = compared.withColumn("change", F.col("current_value") - F.col("previous_value"))
+    if "group_change" not in compared.columns:
+        totals = changed.groupBy(*group).agg(F.sum("change").alias("group_change"))
+        changed = changed.join(totals, list(group))
     return (
-        changed.join(totals, list(group))
-        .withColumn("change_pct", percent_or_zero(change, F.col("previous_value")))
-        .withColumn("contribution_pct", percent_or_zero(change, F.col("_total")))
+        changed.withColumn("change_pct", percent_or_zero(change, F.col("previous_value")))
+        .withColumn("contribution_pct", percent_or_zero(change, F.col("group_change")))
         .withColumn("abs_contribution", F.abs("contribution_pct"))
-        .drop("_total")
+        .drop("group_change")
     )
 
 
@@ -309,8 +328,10 @@ def decompose(
     sliced = dimension_slices(tables, spec, metrics)
     if pairs is None:
         pairs = consecutive_pairs(tables[spec.fact_table])
-    compared = compare_segments(sliced.rows, pairs)
-    contributed = contributions(compared, GROUP, compare_segments(sliced.rows, pairs, GROUP))
+    series = len(metrics) * len(spec.dimensions)
+    compared = compare_segments(sliced.rows, compare_groups(sliced.rows, pairs), series)
+    contributed = contributions(compared)
+    compared = compared.drop("group_change")
     if store is not None:
         contributed = store("contributions", contributed)
         compared = contributed.select(*compared.columns)
@@ -337,8 +358,9 @@ def drill_down(rows: DataFrame, targets: DataFrame) -> DataFrame:
     inside = rows.withColumnRenamed("segment", "parent").withColumnRenamed("detail", "segment")
     group = [*GROUP, "parent"]
     on = ["metric_date", "metric", "dimension", "dim_order", "parent"]
-    compared = compare(inside, sides, [*group, "segment"], on)
-    return contributions(compared, group, compare(inside, sides, group, on))
+    whole = compare(inside, sides, group, on)
+    compared = compare(inside, sides_with_change(whole, group), [*group, "segment"], on)
+    return contributions(compared, group)
 
 
 def drill_totals(targets: DataFrame, drilled: DataFrame) -> DataFrame:

@@ -113,6 +113,7 @@ def evidence_text(
     so the collected arrays are bounded; history is bounded by the lookback.
     """
 
+    # The wording and indents of the sheet.
     def share(indent: str, label: Column) -> Column:
         return F.concat(
             F.lit(indent),
@@ -218,6 +219,7 @@ def citation_errors(
     known = evidence.groupBy(*PAIR, "source", "dimension").agg(
         F.array_join(F.array_sort(F.collect_set("segment")), ", ").alias("valid")
     )
+    # The wording of both messages.
     message = F.concat(
         F.lit("'"),
         F.col("segment"),
@@ -260,6 +262,7 @@ def cite_figures(citations: DataFrame, evidence: DataFrame) -> DataFrame:
 
 def render_summary(citations: DataFrame, evidence: DataFrame, notes: DataFrame) -> DataFrame:
     """Statement text per pair. Numbers come from the evidence, never the citation."""
+    # The wording and blank lines of the statement.
     share = number_text(F.abs("contribution_pct"), 2)
     opening = F.concat(
         F.upper(F.left("claim", F.lit(1))),
@@ -310,6 +313,7 @@ def render_summary(citations: DataFrame, evidence: DataFrame, notes: DataFrame)
 
 def fallback_summary(drivers: DataFrame) -> DataFrame:
     """Statement built from the top driver alone."""
+    # The wording of the sentence.
     text = F.concat(
         F.lit("The primary driver was "),
         F.col("segment"),

@@ -65,6 +65,8 @@ def _value_key(name: str, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         digest = F.concat(F.lit("sha256:"), F.sha2(column, 256))
         return F.when(F.length(F.trim(column)) > LONG_TEXT, digest).otherwise(column)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
     return column.cast("string")
 
 

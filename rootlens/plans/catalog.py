@@ -590,7 +590,7 @@ CITED = f"""SELECT {PAIR.replace('metric,', 'c.metric AS metric,').replace('cur:
 def _statements(s, d):
     """Evidence, statements that repeat the previous pair's leaders, and their notes."""
     dd = _decomposed(s, d)
-    around = run.investigate(dd)
+    around = run.investigate(dd, sinks.store_under(_scratch(s)))
     pairs = dd.pairs.select(
         F.col("previous_date").alias("led_on"),
         F.col("current_date").alias("c"),
@@ -1399,8 +1399,7 @@ def _(s, d):
     return inv.fallback_summary(dec.top_driver(_decomposed(s, d, SLICED).top))
 
 
-def _own_statements(s, d):
-    dd = _decomposed(s, d)
+def _own_statements(dd: dec.Decomposition):
     citations = dd.top.filter("rank = 1").select(
         *dec.PAIR,
         F.col("dim_order").alias("position"),
@@ -1414,7 +1413,7 @@ def _own_statements(s, d):
 
 @query("d13_rendered_summary", f"SELECT {PAIR}, investigation_summary FROM rendered")
 def _(s, d):
-    evidence, citations, notes = _own_statements(s, d)
+    evidence, citations, notes = _own_statements(_decomposed(s, d))
     return inv.render_summary(citations, evidence, notes)
 
 
@@ -1445,7 +1444,7 @@ def _(s, d):
     # pairs whose repeated statement fails its check keep the fallback text
     dd, around, citations, notes = _statements(s, d)
     errors = inv.citation_errors(citations, around.evidence, around.classified, notes)
-    evidence, own, own_notes = _own_statements(s, d)
+    evidence, own, own_notes = _own_statements(dd)
     rendered = inv.render_summary(own, evidence, own_notes)
     fallback = inv.fallback_summary(around.drivers)
     return inv.synthesize(rendered, errors, fallback, notes.select(*dec.PAIR))

@@ -31,13 +31,16 @@ class Investigation:
     drivers: DataFrame
 
 
-def investigate(d: dec.Decomposition) -> Investigation:
-    """Two fixed rounds: classify, open the close dimensions once, gather evidence."""
-    classified = inv.classify_ambiguity(d.top)
+def investigate(d: dec.Decomposition, store: dec.Store | None = None) -> Investigation:
+    """Two fixed rounds: classify, open the close dimensions once, gather evidence.
+
+    Verdicts and evidence are read by several checks; ``store`` computes them once.
+    """
+    keep = store or (lambda name, df: df)
+    classified = keep("classified", inv.classify_ambiguity(d.top))
     drilled = dec.drill_down(d.slices, inv.plan_drill(classified))
-    return Investigation(
-        classified, drilled, inv.evidence_rows(d.top, drilled), dec.top_driver(d.top)
-    )
+    evidence = keep("evidence", inv.evidence_rows(d.top, drilled))
+    return Investigation(classified, drilled, evidence, dec.top_driver(d.top))
 
 
 def investigation_result(
@@ -149,7 +152,7 @@ def daily_run(
     )
     investigated = None
     if run_investigation:
-        around = investigate(d)
+        around = investigate(d, store)
         gate = inv.investigation_gate(found.statistics, force_alert)
         asked = run_pairs.filter("current_date IS NOT NULL").select(*dec.PAIR)
         summaries = summarize(around, asked, statements)

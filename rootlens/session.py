@@ -13,6 +13,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where that costs one more shuffle afterwards
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
