@@ -32,14 +32,14 @@ from rootlens.plans import onboarding as onb
 from rootlens.plans.oracle import (
     BRAND,
     STAMP,
-    _mean,
-    _money,
-    _num,
-    _pct,
-    _pct0,
-    _signed,
-    _title,
-    _usd,
+    sql_mean,
+    sql_money,
+    sql_num,
+    sql_pct,
+    sql_pct0,
+    sql_signed,
+    sql_title,
+    sql_usd,
     sql,
 )
 from rootlens.session import shared_dir
@@ -188,13 +188,13 @@ def _(s, d):
 
 
 FACT_4 = f"""SELECT metric_date::VARCHAR AS metric_date, order_count, customer_count,
-    {_usd('revenue_c')} AS total_revenue, {_usd('avg_c')} AS avg_order_value FROM fact"""
+    {sql_usd('revenue_c')} AS total_revenue, {sql_usd('avg_c')} AS avg_order_value FROM fact"""
 GEO = f"""SELECT metric_date::VARCHAR AS metric_date, state_code, region, order_count,
-    {_usd('revenue_c')} AS total_revenue, {_usd('avg_c')} AS avg_item_value FROM by_geography"""
+    {sql_usd('revenue_c')} AS total_revenue, {sql_usd('avg_c')} AS avg_item_value FROM by_geography"""
 PRODUCT = f"""SELECT metric_date::VARCHAR AS metric_date, product_category, product_category_group, order_count,
-    {_usd('revenue_c')} AS total_revenue, {_usd('avg_c')} AS avg_item_value FROM by_product"""
+    {sql_usd('revenue_c')} AS total_revenue, {sql_usd('avg_c')} AS avg_item_value FROM by_product"""
 PAYMENT = f"""SELECT metric_date::VARCHAR AS metric_date, payment_type, payment_type_display, order_count,
-    {_usd('revenue_c')} AS total_revenue, {_usd('avg_c')} AS avg_order_value FROM by_payment"""
+    {sql_usd('revenue_c')} AS total_revenue, {sql_usd('avg_c')} AS avg_order_value FROM by_payment"""
 
 
 @query("s05_daily_scan", FACT_4)
@@ -482,7 +482,7 @@ def _(s, d):
 @query(
     "j02_geography_star",
     f"""SELECT l.order_date::VARCHAR AS order_date, l.customer_id, c.customer_state AS state_code, g.region,
-    COUNT(DISTINCT l.order_id) AS orders, {_usd('SUM(l.cents)')} AS revenue FROM counted_lines l
+    COUNT(DISTINCT l.order_id) AS orders, {sql_usd('SUM(l.cents)')} AS revenue FROM counted_lines l
     JOIN stg_customers c ON l.customer_id = c.customer_id JOIN dim_geography g ON c.customer_state = g.state_code GROUP BY ALL""",
 )
 def _(s, d):
@@ -509,7 +509,7 @@ def _(s, d):
 
 @query(
     "j04_payment_join",
-    f"""SELECT order_id, order_date::VARCHAR AS order_date, payment_type, payment_type_display, {_usd('cents')} AS order_revenue
+    f"""SELECT order_id, order_date::VARCHAR AS order_date, payment_type, payment_type_display, {sql_usd('cents')} AS order_revenue
     FROM payment_orders""",
 )
 def _(s, d):
@@ -568,7 +568,7 @@ def _(s, d):
 
 WATERFALL = f"""SELECT {PAIR}, dimension, segment, previous_value, current_value, change,
     round(COALESCE(CASE WHEN total = 0 THEN NULL ELSE change / total * 100 END, 0.0), 6) AS contribution FROM (
-    SELECT *, {_usd('SUM(cur_c - prev_c) OVER (PARTITION BY cur, prev, metric, dimension)')} AS total FROM compared WHERE metric = 'total_revenue')"""
+    SELECT *, {sql_usd('SUM(cur_c - prev_c) OVER (PARTITION BY cur, prev, metric, dimension)')} AS total FROM compared WHERE metric = 'total_revenue')"""
 
 
 def _waterfall(s, d) -> DataFrame:
@@ -649,7 +649,7 @@ def _events(s, d) -> DataFrame:
 
 RECONCILED = f"""SELECT metric_date::VARCHAR AS metric_date, dimension, metric, fact_total, dimension_total,
     abs(fact_total - dimension_total) <= 0.01 + 1e-6 * abs(dimension_total) AS matches FROM (
-    SELECT f.metric_date, r.dimension, 'value' AS metric, {_usd('f.value_c')} AS fact_total, {_usd('r.value_c')} AS dimension_total
+    SELECT f.metric_date, r.dimension, 'value' AS metric, {sql_usd('f.value_c')} AS fact_total, {sql_usd('r.value_c')} AS dimension_total
     FROM ev_fact f JOIN (SELECT metric_date, dimension, SUM(value_c) AS value_c, SUM(row_count) AS row_count FROM ev_rollup GROUP BY ALL) r USING (metric_date)
     UNION ALL SELECT f.metric_date, r.dimension, 'row_count', f.row_count::DOUBLE, r.row_count::DOUBLE
     FROM ev_fact f JOIN (SELECT metric_date, dimension, SUM(value_c) AS value_c, SUM(row_count) AS row_count FROM ev_rollup GROUP BY ALL) r USING (metric_date))"""
@@ -681,7 +681,7 @@ def _(s, d):
 
 @query(
     "a01_order_revenue",
-    f"""SELECT order_id, order_date::VARCHAR AS order_date, customer_id, order_status, {_usd('cents')} AS order_revenue
+    f"""SELECT order_id, order_date::VARCHAR AS order_date, customer_id, order_status, {sql_usd('cents')} AS order_revenue
     FROM order_revenue""",
 )
 def _(s, d):
@@ -690,8 +690,8 @@ def _(s, d):
     return revenue.drop("item_count", "order_rows")
 
 
-FACT = f"""SELECT metric_date::VARCHAR AS metric_date, order_count, customer_count, {_usd('revenue_c')} AS total_revenue,
-    {_usd('avg_c')} AS avg_order_value, {_usd('min_c')} AS min_order_value, {_usd('max_c')} AS max_order_value,
+FACT = f"""SELECT metric_date::VARCHAR AS metric_date, order_count, customer_count, {sql_usd('revenue_c')} AS total_revenue,
+    {sql_usd('avg_c')} AS avg_order_value, {sql_usd('min_c')} AS min_order_value, {sql_usd('max_c')} AS max_order_value,
     year(metric_date) AS metric_year, month(metric_date) AS metric_month, dayofweek(metric_date) AS day_of_week FROM fact"""
 
 
@@ -738,7 +738,7 @@ def _(s, d):
 
 @query(
     "a08_segment_totals",
-    f"""SELECT metric_date::VARCHAR AS metric_date, metric, dimension, segment, {_usd('SUM(c)')} AS value
+    f"""SELECT metric_date::VARCHAR AS metric_date, metric, dimension, segment, {sql_usd('SUM(c)')} AS value
     FROM slices GROUP BY ALL""",
 )
 def _(s, d):
@@ -766,7 +766,7 @@ def _(s, d):
 
 
 CHANGES = f"""SELECT metric, cur::VARCHAR AS "current_date", prev::VARCHAR AS previous_date, a.value AS current_value,
-    b.value AS previous_value, a.value - b.value AS change, COALESCE({_pct('a.value - b.value', 'b.value')}, 0.0) AS change_pct
+    b.value AS previous_value, a.value - b.value AS change, COALESCE({sql_pct('a.value - b.value', 'b.value')}, 0.0) AS change_pct
     FROM pairs JOIN metrics_long a ON a.metric_date = cur JOIN metrics_long b USING (metric) WHERE b.metric_date = prev"""
 
 
@@ -785,7 +785,7 @@ def _(s, d):
 
 @query(
     "a12_daily_rollup",
-    f"SELECT metric_date::VARCHAR AS metric_date, {_usd('value_c')} AS value, row_count FROM ev_fact",
+    f"SELECT metric_date::VARCHAR AS metric_date, {sql_usd('value_c')} AS value, row_count FROM ev_fact",
 )
 def _(s, d):
     return ru.daily_fact(_events(s, d), EVENT_ROLES, 2)
@@ -793,7 +793,7 @@ def _(s, d):
 
 @query(
     "a12_daily_pass_through",
-    f"SELECT metric_date::VARCHAR AS metric_date, {_usd('value_c')} AS value, 1 AS row_count FROM ev",
+    f"SELECT metric_date::VARCHAR AS metric_date, {sql_usd('value_c')} AS value, 1 AS row_count FROM ev",
 )
 def _(s, d):
     daily = cls.Roles("ts", "daily", EVENT_ROLES.metrics, EVENT_ROLES.dimensions)
@@ -802,7 +802,7 @@ def _(s, d):
 
 @query(
     "a13_dimension_rollup",
-    f"SELECT metric_date::VARCHAR AS metric_date, dimension, segment, {_usd('value_c')} AS value, row_count FROM ev_rollup",
+    f"SELECT metric_date::VARCHAR AS metric_date, dimension, segment, {sql_usd('value_c')} AS value, row_count FROM ev_rollup",
 )
 def _(s, d):
     return ru.dimension_rollup(_events(s, d), EVENT_ROLES, 2)
@@ -903,8 +903,8 @@ def _(s, d):
 
 @query(
     "a18_date_totals",
-    f"""SELECT metric_date::VARCHAR AS metric_date, 'fact' AS source, {_usd('SUM(revenue_c)')} AS total FROM fact GROUP BY metric_date
-    UNION ALL SELECT metric_date::VARCHAR, dimension, {_usd('SUM(c)')} FROM slices WHERE metric = 'total_revenue' GROUP BY metric_date, dimension""",
+    f"""SELECT metric_date::VARCHAR AS metric_date, 'fact' AS source, {sql_usd('SUM(revenue_c)')} AS total FROM fact GROUP BY metric_date
+    UNION ALL SELECT metric_date::VARCHAR, dimension, {sql_usd('SUM(c)')} FROM slices WHERE metric = 'total_revenue' GROUP BY metric_date, dimension""",
 )
 def _(s, d):
     m = _marts(s, d)
@@ -1036,7 +1036,7 @@ def _(s, d):
 
 @query(
     "u01_stacked_dimensions",
-    f"""SELECT metric_date::VARCHAR AS metric_date, dimension, segment, detail, metric, {_usd('c')} AS value FROM slices""",
+    f"""SELECT metric_date::VARCHAR AS metric_date, dimension, segment, detail, metric, {sql_usd('c')} AS value FROM slices""",
 )
 def _(s, d):
     return dec.dimension_slices(_marts(s, d), RETAIL, SLICED).rows.drop("dim_order")
@@ -1112,7 +1112,7 @@ def _(s, d):
 
 @query(
     "f05_round_half_up",
-    f"SELECT order_date::VARCHAR AS order_date, {_usd(_mean('SUM(cents)', 'COUNT(*)'))} AS mean_item FROM counted_lines GROUP BY order_date",
+    f"SELECT order_date::VARCHAR AS order_date, {sql_usd(sql_mean('SUM(cents)', 'COUNT(*)'))} AS mean_item FROM counted_lines GROUP BY order_date",
 )
 def _(s, d):
     m = _marts(s, d)
@@ -1133,7 +1133,7 @@ def _(s, d):
 
 @query(
     "f07_safe_percent",
-    f"""SELECT event_id, {_pct0('value', 'user_id % 3')} AS share, abs({_pct0('-value', 'user_id % 3')}) AS magnitude FROM events""",
+    f"""SELECT event_id, {sql_pct0('value', 'user_id % 3')} AS share, abs({sql_pct0('-value', 'user_id % 3')}) AS magnitude FROM events""",
 )
 def _(s, d):
     whole = F.pmod("user_id", F.lit(3))
@@ -1153,7 +1153,7 @@ def _(s, d):
     return _scored(s, d).groupBy("metric", "anomaly_direction").agg(F.count("*").alias("days"))
 
 
-@query("f09_currency_text", f"SELECT c_custkey, {_money('c_acctbal * 1000')} AS balance FROM customer")
+@query("f09_currency_text", f"SELECT c_custkey, {sql_money('c_acctbal * 1000')} AS balance FROM customer")
 def _(s, d):
     return star.read_table(s, d, "customer").select(
         "c_custkey", sc.money_text(F.col("c_acctbal") * 1000).alias("balance")
@@ -1162,7 +1162,7 @@ def _(s, d):
 
 @query(
     "f10_title_text",
-    f"""SELECT DISTINCT p_name, {_title("lower(p_name)")} AS title, {_title("replace(replace(lower(p_name), ' ', '_'), '_', ' ')")} AS metric_title FROM part""",
+    f"""SELECT DISTINCT p_name, {sql_title("lower(p_name)")} AS title, {sql_title("replace(replace(lower(p_name), ' ', '_'), '_', ' ')")} AS metric_title FROM part""",
 )
 def _(s, d):
     name = F.lower("p_name")
@@ -1177,7 +1177,7 @@ def _(s, d):
     )
 
 
-@query("f11_signed_text", f"SELECT c_custkey, {_signed('c_acctbal')} AS signed FROM customer")
+@query("f11_signed_text", f"SELECT c_custkey, {sql_signed('c_acctbal')} AS signed FROM customer")
 def _(s, d):
     return star.read_table(s, d, "customer").select(
         "c_custkey", sc.signed_text(F.col("c_acctbal")).alias("signed")
@@ -1232,8 +1232,8 @@ def _(s, d):
 
 @query(
     "f17_aggregates",
-    f"""SELECT customer_state, COUNT(DISTINCT order_id) AS orders, {_usd('SUM(cents)')} AS total, {_usd(_mean('SUM(cents)', 'COUNT(*)'))} AS mean,
-    {_usd('MIN(cents)')} AS smallest, {_usd('MAX(cents)')} AS largest FROM order_revenue JOIN stg_customers USING (customer_id) GROUP BY customer_state""",
+    f"""SELECT customer_state, COUNT(DISTINCT order_id) AS orders, {sql_usd('SUM(cents)')} AS total, {sql_usd(sql_mean('SUM(cents)', 'COUNT(*)'))} AS mean,
+    {sql_usd('MIN(cents)')} AS smallest, {sql_usd('MAX(cents)')} AS largest FROM order_revenue JOIN stg_customers USING (customer_id) GROUP BY customer_state""",
 )
 def _(s, d):
     m = _marts(s, d)
@@ -1322,9 +1322,9 @@ def _(s, d):
 
 @query(
     "d06_drill_totals",
-    f"""SELECT metric, cur::VARCHAR AS "current_date", prev::VARCHAR AS previous_date, dimension, parent, {_usd('SUM(cur_c)')} AS total_current,
-    {_usd('SUM(prev_c)')} AS total_previous, {_usd('SUM(cur_c - prev_c)')} AS total_change,
-    {_pct0(_usd('SUM(cur_c - prev_c)'), _usd('SUM(prev_c)'))} AS total_change_pct, COUNT(*) AS segment_count
+    f"""SELECT metric, cur::VARCHAR AS "current_date", prev::VARCHAR AS previous_date, dimension, parent, {sql_usd('SUM(cur_c)')} AS total_current,
+    {sql_usd('SUM(prev_c)')} AS total_previous, {sql_usd('SUM(cur_c - prev_c)')} AS total_change,
+    {sql_pct0(sql_usd('SUM(cur_c - prev_c)'), sql_usd('SUM(prev_c)'))} AS total_change_pct, COUNT(*) AS segment_count
     FROM drilled WHERE metric = 'total_revenue' GROUP BY ALL""",
 )
 def _(s, d):
@@ -1366,14 +1366,14 @@ def _(s, d):
     return run.investigate(_decomposed(s, d)).evidence.drop("dim_order")
 
 
-_EV = f"'change ' || {_num('change', 2)} || ', contribution_pct ' || {_num('contribution_pct', 2)} || '%'"
+_EV = f"'change ' || {sql_num('change', 2)} || ', contribution_pct ' || {sql_num('contribution_pct', 2)} || '%'"
 
 
 @query(
     "d10_evidence_text",
     f"""SELECT {PAIR}, string_agg(section, chr(10) || chr(10) ORDER BY dim_order) AS evidence FROM (
-    SELECT t.metric, t.cur, t.prev, t.dim_order, {_title('t.dimension')} || COALESCE(' -- ambiguous, reason: ' || c.reason, '') || chr(10)
-      || '  total_change: ' || {_num('t.total_change', 2)} || ', total_change_pct: ' || {_num('t.total_change_pct', 2)} || '%' || chr(10) || l.lines
+    SELECT t.metric, t.cur, t.prev, t.dim_order, {sql_title('t.dimension')} || COALESCE(' -- ambiguous, reason: ' || c.reason, '') || chr(10)
+      || '  total_change: ' || {sql_num('t.total_change', 2)} || ', total_change_pct: ' || {sql_num('t.total_change_pct', 2)} || '%' || chr(10) || l.lines
       || COALESCE(chr(10) || '  >>> ' || t.dimension || ' was drilled down because it was ambiguous at the level above. Use THIS breakdown, not '''
         || c.segment || ''' above, to name the primary driver within ' || t.dimension || ':' || chr(10) || d.lines, '') AS section
     FROM totals t JOIN classified c USING (metric, cur, prev, dimension)
@@ -1496,16 +1496,16 @@ def _(s, d):
 
 @query(
     "r03_kpi_cards",
-    f"""SELECT metric, "current_date", previous_date, {_title("replace(metric, '_', ' ')")} AS label,
+    f"""SELECT metric, "current_date", previous_date, {sql_title("replace(metric, '_', ' ')")} AS label,
     CASE WHEN metric = 'order_count' THEN format('{{:,}}', CAST(current_value AS BIGINT)) ELSE '$' || format('{{:,.2f}}', current_value) END AS value,
-    {_signed('change_pct')} || '%' AS delta FROM ({CHANGES}) WHERE metric <> 'customer_count'""",
+    {sql_signed('change_pct')} || '%' AS delta FROM ({CHANGES}) WHERE metric <> 'customer_count'""",
 )
 def _(s, d):
     fact = _fact(s, d)
     return explore.kpi_cards(fact, dec.consecutive_pairs(fact))
 
 
-@query("r04_trend", f"SELECT metric_date::VARCHAR AS metric_date, {_usd('revenue_c')} AS total_revenue FROM fact")
+@query("r04_trend", f"SELECT metric_date::VARCHAR AS metric_date, {sql_usd('revenue_c')} AS total_revenue FROM fact")
 def _(s, d):
     return explore.trend(_fact(s, d), "total_revenue")
 
@@ -1649,8 +1649,8 @@ def _(s, d):
 
 @query(
     "o09_generated_tables",
-    f"""SELECT 'fact_daily_metrics' AS "table", metric_date::VARCHAR AS metric_date, NULL AS segment, {_usd('value_c')} AS value, row_count FROM ev_fact
-    UNION ALL SELECT 'metric_by_' || dimension, metric_date::VARCHAR, segment, {_usd('value_c')}, row_count FROM ev_rollup""",
+    f"""SELECT 'fact_daily_metrics' AS "table", metric_date::VARCHAR AS metric_date, NULL AS segment, {sql_usd('value_c')} AS value, row_count FROM ev_fact
+    UNION ALL SELECT 'metric_by_' || dimension, metric_date::VARCHAR, segment, {sql_usd('value_c')}, row_count FROM ev_rollup""",
 )
 def _(s, d):
     tables = ru.generate_tables(_events(s, d), EVENT_ROLES, 2)
@@ -1711,15 +1711,15 @@ pair AS (SELECT max(metric_date) AS cur, min(metric_date) AS prev FROM days),
 seg AS (SELECT 0 AS o, 'event_type' AS dimension, event_type AS segment, metric_date, value_c FROM e0 UNION ALL SELECT 1, 'props', props, metric_date, value_c FROM e0),
 cmp AS (SELECT o, dimension, segment, COALESCE(SUM(CASE WHEN metric_date = cur THEN value_c END), 0) AS c, COALESCE(SUM(CASE WHEN metric_date = prev THEN value_c END), 0) AS p
         FROM seg, pair WHERE metric_date IN (cur, prev) GROUP BY ALL),
-con AS (SELECT *, {_pct0(_usd('c - p'), _usd('SUM(c - p) OVER (PARTITION BY o)'))} AS pct FROM cmp),
+con AS (SELECT *, {sql_pct0(sql_usd('c - p'), sql_usd('SUM(c - p) OVER (PARTITION BY o)'))} AS pct FROM cmp),
 drv AS (SELECT * FROM con ORDER BY abs(pct) DESC, o, c DESC, segment LIMIT 1),
-tot AS (SELECT {_usd('SUM(c) - SUM(p)')} AS change, {_pct0(_usd('SUM(c) - SUM(p)'), _usd('SUM(p)'))} AS pct FROM cmp WHERE o = 0),
-daily AS (SELECT metric_date, {_usd('SUM(value_c)')} AS v FROM e0 GROUP BY metric_date ORDER BY metric_date DESC LIMIT 30),
+tot AS (SELECT {sql_usd('SUM(c) - SUM(p)')} AS change, {sql_pct0(sql_usd('SUM(c) - SUM(p)'), sql_usd('SUM(p)'))} AS pct FROM cmp WHERE o = 0),
+daily AS (SELECT metric_date, {sql_usd('SUM(value_c)')} AS v FROM e0 GROUP BY metric_date ORDER BY metric_date DESC LIMIT 30),
 z AS (SELECT abs((v - avg(v) OVER ()) / NULLIF(stddev_samp(v) OVER (), 0)) > 2.0 AS hit FROM daily)
 SELECT 'value' AS metric, pair.cur::VARCHAR AS "current_date", pair.prev::VARCHAR AS previous_date, 'completed' AS status,
   (SELECT COUNT(*) FROM z) AS total_days_analyzed, (SELECT COUNT(*) FILTER (hit) FROM z) AS anomaly_count,
-  'Value ' || CASE WHEN tot.change > 0 THEN 'increased ' ELSE 'decreased ' END || {_num('abs(round_even(tot.pct, 1))', 1)} || '% on ' || pair.cur::VARCHAR
-  || '. Primary driver: ' || drv.segment || ' (' || drv.dimension || ') contributed ' || {_num('abs(round_even(drv.pct, 1))', 1)} || '% of the change.' AS summary
+  'Value ' || CASE WHEN tot.change > 0 THEN 'increased ' ELSE 'decreased ' END || {sql_num('abs(round_even(tot.pct, 1))', 1)} || '% on ' || pair.cur::VARCHAR
+  || '. Primary driver: ' || drv.segment || ' (' || drv.dimension || ') contributed ' || {sql_num('abs(round_even(drv.pct, 1))', 1)} || '% of the change.' AS summary
 FROM pair, tot, drv"""
 
 
@@ -1731,7 +1731,7 @@ def _(s, d):
 
 @query(
     "o13_onboard",
-    f"SELECT metric_date::VARCHAR AS metric_date, {_usd('value_c')} AS value, row_count FROM ev_fact",
+    f"SELECT metric_date::VARCHAR AS metric_date, {sql_usd('value_c')} AS value, row_count FROM ev_fact",
 )
 def _(s, d):
     return _onboarded(s, d).tables["fact_daily_metrics"]

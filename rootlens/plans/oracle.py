@@ -23,37 +23,37 @@ def _groups(column: str, groups, otherwise: str) -> str:
     return f"CASE{whens} ELSE '{otherwise}' END"
 
 
-def _mean(total: str, n: str) -> str:
+def sql_mean(total: str, n: str) -> str:
     """Half-up mean of whole cents."""
     return f"(2 * ({total}) + ({n})) // (2 * ({n}))"
 
 
-def _usd(cents: str) -> str:
+def sql_usd(cents: str) -> str:
     return f"(CAST({cents} AS DOUBLE) / 100)"
 
 
-def _pct(part: str, whole: str) -> str:
+def sql_pct(part: str, whole: str) -> str:
     return f"CASE WHEN ({whole}) = 0 THEN NULL ELSE CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100 END"
 
 
-def _pct0(part: str, whole: str) -> str:
-    return f"COALESCE(round_even({_pct(part, whole)}, 2), 0.0)"
+def sql_pct0(part: str, whole: str) -> str:
+    return f"COALESCE(round_even({sql_pct(part, whole)}, 2), 0.0)"
 
 
-def _num(x: str, digits: int) -> str:
+def sql_num(x: str, digits: int) -> str:
     fixed = f"CAST(CAST(round_even({x}, {digits}) AS DECIMAL(38,{digits})) AS VARCHAR)"
     return f"regexp_replace({fixed}, '(\\.\\d+?)0+$', '\\1')"
 
 
-def _money(x: str) -> str:
+def sql_money(x: str) -> str:
     return f"COALESCE(format('{{:,.2f}}', CAST(abs({x}) AS DOUBLE)), '0.00')"
 
 
-def _signed(x: str) -> str:
+def sql_signed(x: str) -> str:
     return f"printf('%+.1f', round_even({x}, 1))"
 
 
-def _title(x: str) -> str:
+def sql_title(x: str) -> str:
     """Words of letters only, separated by single blanks, hyphens or underscores."""
     return (
         f"array_to_string(list_transform(regexp_extract_all({x}, '[A-Za-z]+|[^A-Za-z]+'), "
@@ -121,16 +121,16 @@ FROM counted_lines GROUP BY ALL"""
 CTE["fact"] = f"""
 SELECT order_date AS metric_date, COUNT(DISTINCT order_id) AS order_count,
        COUNT(DISTINCT customer_id) AS customer_count, SUM(cents) AS revenue_c,
-       {_mean('SUM(cents)', 'COUNT(*)')} AS avg_c, MIN(cents) AS min_c, MAX(cents) AS max_c
+       {sql_mean('SUM(cents)', 'COUNT(*)')} AS avg_c, MIN(cents) AS min_c, MAX(cents) AS max_c
 FROM order_revenue GROUP BY order_date"""
 CTE["by_geography"] = f"""
 SELECT l.order_date AS metric_date, c.customer_state AS state_code, g.region,
-       COUNT(DISTINCT l.order_id) AS order_count, SUM(l.cents) AS revenue_c, {_mean('SUM(l.cents)', 'COUNT(*)')} AS avg_c
+       COUNT(DISTINCT l.order_id) AS order_count, SUM(l.cents) AS revenue_c, {sql_mean('SUM(l.cents)', 'COUNT(*)')} AS avg_c
 FROM counted_lines l JOIN stg_customers c ON l.customer_id = c.customer_id
 JOIN dim_geography g ON c.customer_state = g.state_code GROUP BY ALL"""
 CTE["by_product"] = f"""
 SELECT l.order_date AS metric_date, p.product_category, g.product_category_group,
-       COUNT(DISTINCT l.order_id) AS order_count, SUM(l.cents) AS revenue_c, {_mean('SUM(l.cents)', 'COUNT(*)')} AS avg_c
+       COUNT(DISTINCT l.order_id) AS order_count, SUM(l.cents) AS revenue_c, {sql_mean('SUM(l.cents)', 'COUNT(*)')} AS avg_c
 FROM counted_lines l JOIN stg_products p ON l.product_id = p.product_id
 JOIN dim_product g ON p.product_category = g.product_category GROUP BY ALL"""
 CTE["payment_orders"] = f"""
@@ -140,7 +140,7 @@ JOIN (SELECT * FROM payments WHERE payment_sequential = 1) p USING (order_id)
 JOIN dim_payment d ON p.payment_type = d.payment_type WHERE o.order_status NOT IN {EXCLUDED}"""
 CTE["by_payment"] = f"""
 SELECT order_date AS metric_date, payment_type, payment_type_display,
-       COUNT(DISTINCT order_id) AS order_count, SUM(cents) AS revenue_c, {_mean('SUM(cents)', 'COUNT(*)')} AS avg_c
+       COUNT(DISTINCT order_id) AS order_count, SUM(cents) AS revenue_c, {sql_mean('SUM(cents)', 'COUNT(*)')} AS avg_c
 FROM payment_orders GROUP BY ALL"""
 
 # -- detection ------------------------------------------------------------------
@@ -157,7 +157,7 @@ def _scored(source: str) -> str:
     return f"""
 SELECT *, COALESCE(abs(z) > 2.0, FALSE) AS is_anomaly,
        CASE WHEN z > 2.0 THEN 'high' WHEN z < -2.0 THEN 'low' ELSE 'normal' END AS direction,
-       value - prev_value AS change_value, round_even({_pct('value - prev_value', 'prev_value')}, 2) AS change_pct
+       value - prev_value AS change_value, round_even({sql_pct('value - prev_value', 'prev_value')}, 2) AS change_pct
 FROM (SELECT *, (value - avg(value) OVER m) / NULLIF(stddev_samp(value) OVER m, 0) AS z,
              lag(value) OVER (PARTITION BY metric ORDER BY metric_date) AS prev_value
       FROM {source} WINDOW m AS (PARTITION BY metric))"""
@@ -191,21 +191,21 @@ SELECT cur, prev, metric, dimension, dim_order, segment, SUM(c), 0
 FROM slices JOIN pairs ON metric_date = prev GROUP BY ALL"""
 CTE["compared"] = f"""
 SELECT cur, prev, metric, dimension, dim_order, segment,
-       {_usd('COALESCE(a.c, 0)')} AS current_value, {_usd('COALESCE(b.c, 0)')} AS previous_value,
-       {_usd('COALESCE(a.c, 0) - COALESCE(b.c, 0)')} AS change, COALESCE(a.c, 0) AS cur_c, COALESCE(b.c, 0) AS prev_c
+       {sql_usd('COALESCE(a.c, 0)')} AS current_value, {sql_usd('COALESCE(b.c, 0)')} AS previous_value,
+       {sql_usd('COALESCE(a.c, 0) - COALESCE(b.c, 0)')} AS change, COALESCE(a.c, 0) AS cur_c, COALESCE(b.c, 0) AS prev_c
 FROM (SELECT * FROM sides WHERE side = 1) a FULL JOIN (SELECT * FROM sides WHERE side = 0) b
 USING (cur, prev, metric, dimension, dim_order, segment)"""
 CTE["contributed"] = f"""
 SELECT *, abs(contribution_pct) AS abs_contribution FROM (
-  SELECT *, {_pct0('change', 'previous_value')} AS change_pct, {_pct0('change', 'total')} AS contribution_pct
-  FROM (SELECT *, {_usd('SUM(cur_c - prev_c) OVER (PARTITION BY cur, prev, metric, dimension)')} AS total FROM compared))"""
+  SELECT *, {sql_pct0('change', 'previous_value')} AS change_pct, {sql_pct0('change', 'total')} AS contribution_pct
+  FROM (SELECT *, {sql_usd('SUM(cur_c - prev_c) OVER (PARTITION BY cur, prev, metric, dimension)')} AS total FROM compared))"""
 CTE["top"] = """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cur, prev, metric, dimension
                ORDER BY abs_contribution DESC, current_value DESC, segment) AS rank FROM contributed) WHERE rank <= 5"""
 CTE["totals"] = f"""
-SELECT cur, prev, metric, dimension, dim_order, {_usd('SUM(cur_c)')} AS total_current, {_usd('SUM(prev_c)')} AS total_previous,
-       {_usd('SUM(cur_c) - SUM(prev_c)')} AS total_change,
-       {_pct0(_usd('SUM(cur_c) - SUM(prev_c)'), _usd('SUM(prev_c)'))} AS total_change_pct, COUNT(*) AS segment_count
+SELECT cur, prev, metric, dimension, dim_order, {sql_usd('SUM(cur_c)')} AS total_current, {sql_usd('SUM(prev_c)')} AS total_previous,
+       {sql_usd('SUM(cur_c) - SUM(prev_c)')} AS total_change,
+       {sql_pct0(sql_usd('SUM(cur_c) - SUM(prev_c)'), sql_usd('SUM(prev_c)'))} AS total_change_pct, COUNT(*) AS segment_count
 FROM compared GROUP BY ALL"""
 CTE["drivers"] = """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cur, prev, metric
@@ -226,11 +226,11 @@ SELECT t.cur, t.prev, t.metric, t.dimension, t.dim_order, t.segment, s.detail, S
 FROM targets t JOIN slices s ON s.metric_date = t.prev AND s.metric = t.metric AND s.dimension = t.dimension AND s.segment = t.segment GROUP BY ALL"""
 CTE["drilled"] = f"""
 SELECT *, abs(contribution_pct) AS abs_contribution FROM (
-  SELECT *, {_pct0('change', 'previous_value')} AS change_pct, {_pct0('change', 'total')} AS contribution_pct FROM (
-    SELECT *, {_usd('SUM(cur_c - prev_c) OVER (PARTITION BY cur, prev, metric, dimension, parent)')} AS total FROM (
+  SELECT *, {sql_pct0('change', 'previous_value')} AS change_pct, {sql_pct0('change', 'total')} AS contribution_pct FROM (
+    SELECT *, {sql_usd('SUM(cur_c - prev_c) OVER (PARTITION BY cur, prev, metric, dimension, parent)')} AS total FROM (
       SELECT cur, prev, metric, dimension, dim_order, parent, segment, COALESCE(a.c, 0) AS cur_c, COALESCE(b.c, 0) AS prev_c,
-             {_usd('COALESCE(a.c, 0)')} AS current_value, {_usd('COALESCE(b.c, 0)')} AS previous_value,
-             {_usd('COALESCE(a.c, 0) - COALESCE(b.c, 0)')} AS change
+             {sql_usd('COALESCE(a.c, 0)')} AS current_value, {sql_usd('COALESCE(b.c, 0)')} AS previous_value,
+             {sql_usd('COALESCE(a.c, 0) - COALESCE(b.c, 0)')} AS change
       FROM (SELECT * FROM drill_sides WHERE side = 1) a FULL JOIN (SELECT * FROM drill_sides WHERE side = 0) b
       USING (cur, prev, metric, dimension, dim_order, parent, segment))))"""
 CTE["drill_top"] = """
@@ -241,35 +241,35 @@ SELECT cur, prev, metric, 'decomposition' AS source, dimension, dim_order, segme
 UNION ALL SELECT cur, prev, metric, 'drill_down', dimension, dim_order, segment, rank, current_value, previous_value, change, change_pct, contribution_pct FROM drill_top"""
 
 # -- texts ------------------------------------------------------------------------
-_SHARE1 = _num("contribution_pct", 1)
+_SHARE1 = sql_num("contribution_pct", 1)
 CTE["texts"] = f"""
 SELECT cur, prev, metric,
   '📊 **{BRAND} Alert: ' || name || ' ' || word || '**' || chr(10) || chr(10) || '**' || cur::VARCHAR || '** vs **' || prev::VARCHAR || '**'
-  || chr(10) || chr(10) || name || ' ' || word || 'd **' || pct || '%** ($' || {_money('total_previous')} || ' → $' || {_money('total_current')}
-  || '), a change of **$' || {_money('total_change')} || '**.' || chr(10) || chr(10) || '**Primary Driver:**' || chr(10)
-  || CASE WHEN d_segment IS NULL THEN 'No single driver stands out.' ELSE 'The ' || word || ' was primarily driven by **' || {_title('d_dimension')}
-     || '** — specifically **' || d_segment || '**, which accounted for **' || {_num('abs(d_pct)', 2)} || '%** of the total change.' END
+  || chr(10) || chr(10) || name || ' ' || word || 'd **' || pct || '%** ($' || {sql_money('total_previous')} || ' → $' || {sql_money('total_current')}
+  || '), a change of **$' || {sql_money('total_change')} || '**.' || chr(10) || chr(10) || '**Primary Driver:**' || chr(10)
+  || CASE WHEN d_segment IS NULL THEN 'No single driver stands out.' ELSE 'The ' || word || ' was primarily driven by **' || {sql_title('d_dimension')}
+     || '** — specifically **' || d_segment || '**, which accounted for **' || {sql_num('abs(d_pct)', 2)} || '%** of the total change.' END
   || chr(10) || chr(10) || '**Breakdown by Dimension:**' || chr(10) || full_lines || chr(10) || chr(10) || '---' || chr(10)
   || '*Generated by {BRAND} at {STAMP}*' AS "full",
   ':chart_with_' || CASE WHEN word = 'increase' THEN 'upwards' ELSE 'downwards' END || '_trend: *{BRAND} Alert*' || chr(10) || chr(10)
   || '*' || name || '* ' || word || 'd *' || pct || '%* on ' || cur::VARCHAR || chr(10) || chr(10) || ':mag: *Root Cause:* '
-  || CASE WHEN d_segment IS NULL THEN 'No single driver stands out.' ELSE d_segment || ' (' || d_dimension || ') drove ' || {_num('abs(d_pct)', 2)} || '% of the change' END
+  || CASE WHEN d_segment IS NULL THEN 'No single driver stands out.' ELSE d_segment || ' (' || d_dimension || ') drove ' || {sql_num('abs(d_pct)', 2)} || '% of the change' END
   || chr(10) || chr(10) || ':bar_chart: Breakdown:' || chr(10) || slack_lines AS slack,
   '{BRAND}: ' || name || ' ' || word || ' ' || pct || '% on ' || cur::VARCHAR AS email_subject,
   name || ' ' || word || 'd ' || pct || '% on ' || cur::VARCHAR || '. ' || CASE WHEN d_segment IS NULL THEN 'No single driver stands out.'
-     ELSE 'Primary driver: ' || d_segment || ' (' || d_dimension || ') contributed ' || {_num('abs(round_even(d_pct, 1))', 1)} || '% of the change.' END AS summary
-FROM (SELECT h.*, {_title("replace(h.metric, '_', ' ')")} AS name, CASE WHEN total_change > 0 THEN 'increase' ELSE 'decrease' END AS word,
-             {_num('abs(round_even(total_change_pct, 1))', 1)} AS pct, d.segment AS d_segment, d.dimension AS d_dimension, d.contribution_pct AS d_pct,
+     ELSE 'Primary driver: ' || d_segment || ' (' || d_dimension || ') contributed ' || {sql_num('abs(round_even(d_pct, 1))', 1)} || '% of the change.' END AS summary
+FROM (SELECT h.*, {sql_title("replace(h.metric, '_', ' ')")} AS name, CASE WHEN total_change > 0 THEN 'increase' ELSE 'decrease' END AS word,
+             {sql_num('abs(round_even(total_change_pct, 1))', 1)} AS pct, d.segment AS d_segment, d.dimension AS d_dimension, d.contribution_pct AS d_pct,
              l.full_lines, l.slack_lines
       FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cur, prev, metric ORDER BY dim_order) AS n FROM totals) WHERE n = 1) h
       JOIN (SELECT cur, prev, metric,
-              string_agg(chr(10) || '- **' || {_title('dimension')} || '**: Top contributor was **' || segment || '** (' || {_SHARE1} || '% of change)' || chr(10), '' ORDER BY dim_order) AS full_lines,
-              string_agg('• ' || {_title('dimension')} || ': ' || segment || ' (' || {_SHARE1} || '%)', chr(10) ORDER BY dim_order) AS slack_lines
+              string_agg(chr(10) || '- **' || {sql_title('dimension')} || '**: Top contributor was **' || segment || '** (' || {_SHARE1} || '% of change)' || chr(10), '' ORDER BY dim_order) AS full_lines,
+              string_agg('• ' || {sql_title('dimension')} || ': ' || segment || ' (' || {_SHARE1} || '%)', chr(10) ORDER BY dim_order) AS slack_lines
             FROM top WHERE rank = 1 GROUP BY ALL) l USING (cur, prev, metric)
       LEFT JOIN drivers d USING (cur, prev, metric))"""
 CTE["fallback"] = f"""
 SELECT cur, prev, metric, 'The primary driver was ' || segment || ' (' || dimension || '), contributing '
-       || {_num('abs(round_even(contribution_pct, 1))', 1)} || '% of the change (' || {_signed('change_pct')} || '% change).' AS investigation_summary
+       || {sql_num('abs(round_even(contribution_pct, 1))', 1)} || '% of the change (' || {sql_signed('change_pct')} || '% change).' AS investigation_summary
 FROM drivers"""
 # A statement repeats what led the pair before: right for some pairs, stale for others.
 CTE["citations"] = """
@@ -295,10 +295,10 @@ SELECT metric, cur, prev, dim_order AS position, dimension, segment, 'LED the ch
 FROM top WHERE rank = 1 AND metric = 'total_revenue'"""
 CTE["rendered"] = f"""
 SELECT metric, cur, prev,
-  max(CASE WHEN position = 0 THEN 'Led the change: **' || segment || '** (' || {_title('dimension')} || ') contributed **' || {_num('abs(contribution_pct)', 2)}
-      || '%** of the change ($' || {_money('previous_value')} || ' -> $' || {_money('current_value')} || ').' END)
+  max(CASE WHEN position = 0 THEN 'Led the change: **' || segment || '** (' || {sql_title('dimension')} || ') contributed **' || {sql_num('abs(contribution_pct)', 2)}
+      || '%** of the change ($' || {sql_money('previous_value')} || ' -> $' || {sql_money('current_value')} || ').' END)
   || CASE WHEN COUNT(*) FILTER (position > 0) > 0 THEN chr(10) || chr(10) || 'Contributing factors:' || chr(10)
-      || string_agg('- ' || claim || ': ' || segment || ' (' || {_num('abs(contribution_pct)', 2)} || '%)', chr(10) ORDER BY position) FILTER (position > 0) ELSE '' END
+      || string_agg('- ' || claim || ': ' || segment || ' (' || {sql_num('abs(contribution_pct)', 2)} || '%)', chr(10) ORDER BY position) FILTER (position > 0) ELSE '' END
   || CASE WHEN day(cur) % 2 = 0 THEN CASE WHEN COUNT(*) FILTER (position > 0) > 0 THEN repeat(chr(10), 4) ELSE repeat(chr(10), 3) END
       || 'warning: segments moved in opposite directions' ELSE '' END AS investigation_summary
 FROM own_citations GROUP BY metric, cur, prev"""
