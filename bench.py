@@ -9,9 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
-import uuid
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -23,7 +21,7 @@ from rootlens.operators import narrative as nar  # noqa: E402
 from rootlens.operators import quality as qa  # noqa: E402
 from rootlens.plans import daily_run as run  # noqa: E402
 from rootlens.plans import onboarding as onb  # noqa: E402
-from rootlens.session import local_session, shared_dir  # noqa: E402
+from rootlens.session import local_session, scratch_dir  # noqa: E402
 from rootlens.sources import sinks, star  # noqa: E402
 from rootlens.spec import RETAIL  # noqa: E402
 
@@ -39,7 +37,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("rootlens-bench", os.environ.get("BENCH_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
-    base = f"{shared_dir(spark, tempfile.gettempdir())}/rootlens-bench-{uuid.uuid4()}"
+    base = scratch_dir(spark)
 
     def marts():
         return mt.build_marts(star.read_raw(spark, sf_dir))

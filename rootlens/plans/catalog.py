@@ -5,7 +5,6 @@ Results leave as plain types: money as doubles, dates as text.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -42,7 +41,7 @@ from rootlens.plans.oracle import (
     sql_usd,
     sql,
 )
-from rootlens.session import shared_dir
+from rootlens.session import scratch_dir
 from rootlens.sources import csv_tables, flat_file, sinks, star
 from rootlens.spec import RETAIL
 
@@ -81,8 +80,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def _scratch(spark: SparkSession) -> str:
     """A new folder under the shared one for queries that write and read back."""
-    base = shared_dir(spark, fallback=tempfile.gettempdir())
-    return f"{base}/rootlens-{uuid.uuid4()}"
+    return scratch_dir(spark)
 
 
 def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,17 +35,28 @@ def local_session(app: str = "rootlens", cores: int | str = "*", **extra: str) -
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which all executors reach.
 
-    Intermediate tables go there because every executor can read them back
-    after a loss. ``fallback`` is for tests, where the setting is unset.
+    Only a session whose driver is its sole executor may leave it unset; its
+    temporary folder is then as shared as any.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if configured:
-        return configured
-    if fallback is None:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return fallback
+        return configured.rstrip("/")
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        return tempfile.gettempdir()
+    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder under the shared one, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/rootlens-{uuid.uuid4()}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    return path

@@ -5,6 +5,7 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from rootlens.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 PICKED = (
@@ -25,4 +26,4 @@ def test_matches_sql(spark, con, name):
 
 
 def test_every_query_has_a_check():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.ORACLE) == set(catalog.QUERIES)
