@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootlens.llm import url_rules, warc
+from rootlens.llm import language, quality, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,9 +82,27 @@ FROM coded JOIN firsts USING (payload_digest)
 """
 
 
+# ---------------------------------------------------------------- 3: languages
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.identify(documents, language.train(documents))
+
+
+# ---------------------------------------------------------------- 10: quality
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.assess(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_language": op3_language,
     "op5_url_rules": op5_url_rules,
     "op7_warc": op7_warc,
+    "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {
     "op5_url_rules": URL_SQL,

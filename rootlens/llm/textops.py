@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 
@@ -79,12 +80,17 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per word, equal for equal bytes."""
+    """A 64-bit hash per slice of ``data``, equal for equal bytes."""
     out = np.empty(len(starts), U64)
-    if not len(starts):
-        return out
     lens = ends - starts
-    powers = np.multiply.accumulate(np.full(int(lens.max()), _STEP))
+    for i in np.flatnonzero(lens > _CHUNK):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    short = np.flatnonzero(lens <= _CHUNK)
+    if not len(short):
+        return out
+    starts, lens = starts[short], lens[short]
+    value = np.empty(len(starts), U64)
+    powers = np.multiply.accumulate(np.full(max(1, int(lens.max())), _STEP))
     total = np.cumsum(lens)
     cut = 0
     while cut < len(starts):
@@ -93,11 +99,15 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         n = lens[cut:to]
         first = np.cumsum(n) - n
         place = np.arange(int(n.sum())) - np.repeat(first, n)
-        value = _BYTE[data[place + np.repeat(starts[cut:to], n)]]
-        value *= powers[place]
-        out[cut:to] = np.add.reduceat(value, first) + n.astype(U64)
+        byte = _BYTE[data[place + np.repeat(starts[cut:to], n)]]
+        byte *= powers[place]
+        filled = n > 0
+        value[cut:to] = n.astype(U64)
+        if filled.any():
+            value[cut:to][filled] += np.add.reduceat(byte, first[filled])
         cut = to
-    return mix(out)
+    out[short] = mix(value)
+    return out
 
 
 def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -109,3 +119,17 @@ def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         out = mix(out * _STEP + hashes[j : j + n])
     return out
+
+
+def docs_of(offsets: np.ndarray) -> np.ndarray:
+    """The document of each item, for items given by offsets."""
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+
+def repeated(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, group starts) of the items sorted by document and key."""
+    order = np.lexsort((keys, docs))
+    k, d = keys[order], docs[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
+    return order, np.flatnonzero(new)
