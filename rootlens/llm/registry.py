@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootlens.llm import language, quality, url_rules, warc
+from rootlens.llm import language, quality, toxicity, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,14 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents, language.train(documents))
 
 
+# ---------------------------------------------------------------- 6: toxicity
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.judge(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 # ---------------------------------------------------------------- 10: quality
 
 
@@ -101,6 +109,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_language": op3_language,
     "op5_url_rules": op5_url_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
     "op10_quality": op10_quality,
 }
