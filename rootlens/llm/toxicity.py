@@ -227,7 +227,7 @@ def judge(
         documents[text_column].alias("_text"),
         *[documents[c] for c in keep],
     )
-    schema = rows.select("doc_id", "held_out").schema.add("score", "double").add("predicted", "int")
+    schema = rows.select("doc_id", "held_out").schema.add("score", "double").add("predicted", "integer")
     for field in rows.schema.fields:
         if field.name in keep:
             schema = schema.add(field)
