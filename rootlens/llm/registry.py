@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootlens.llm import language, quality, toxicity, url_rules, warc
+from rootlens.llm import language, mixing, quality, toxicity, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents, language.train(documents))
 
 
+# ---------------------------------------------------------------- 4: mixing
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.plan_copies(table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return plan.select("doc_id", "size", "source_size", "target", taken, "copies")
+
+
 # ---------------------------------------------------------------- 6: toxicity
 
 
@@ -108,6 +117,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_language": op3_language,
+    "op4_mixing": op4_mixing,
     "op5_url_rules": op5_url_rules,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
