@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootlens.llm import language, mixing, quality, toxicity, url_rules, warc
+from rootlens.llm import bpe, language, mixing, quality, toxicity, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,21 @@ FROM coded JOIN firsts USING (payload_digest)
 """
 
 
+# ---------------------------------------------------------------- 2: byte-pair encoding
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.load()
+    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
+    back = bpe.decode(coded, vocabulary, keep=("doc_id", "ids"))
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
 # ---------------------------------------------------------------- 3: languages
 
 
@@ -116,6 +131,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_bpe": op2_bpe,
     "op3_language": op3_language,
     "op4_mixing": op4_mixing,
     "op5_url_rules": op5_url_rules,
