@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootlens.llm import bpe, language, mixing, quality, toxicity, url_rules, warc
+from rootlens.llm import bpe, jaccard, language, licenses, mixing, quality, toxicity, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +122,49 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+# ---------------------------------------------------------------- 8: licenses
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumn("n_licenses", F.size("licenses").cast("long")).drop("licenses")
+
+
+# ---------------------------------------------------------------- 9: near duplicates
+
+
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+JACCARD_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+shingles AS MATERIALIZED (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s FROM words
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(p.n) + any_value(q.n) - count(*))
+),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.y) AS component_id
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
 # ---------------------------------------------------------------- 10: quality
 
 
@@ -137,9 +180,12 @@ QUERIES: dict[str, Query] = {
     "op5_url_rules": op5_url_rules,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
+    "op8_licenses": op8_licenses,
+    "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
 }
 ORACLE: dict[str, str] = {
     "op5_url_rules": URL_SQL,
     "op7_warc": WARC_SQL,
+    "op9_jaccard": JACCARD_SQL,
 }

@@ -63,9 +63,10 @@ def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBa
     yield batch.slice(cut)
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, word offsets by document); words never cross documents."""
-    inside = ~SPACE[data]
+def words(data: np.ndarray, off: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, word offsets by document) of the runs of bytes that are not ``blank``;
+    words never cross documents."""
+    inside = ~blank[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     heads = off[:-1][off[:-1] < off[1:]]
