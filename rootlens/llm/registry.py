@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootlens.llm import bpe, jaccard, language, licenses, mixing, quality, toxicity, url_rules, warc
+from rootlens.llm import bpe, jaccard, language, licenses, mixing, neighbours, quality, toxicity, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,13 @@ FROM coded JOIN firsts USING (payload_digest)
 """
 
 
+# ---------------------------------------------------------------- 1: nearest neighbours
+
+
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), every=20)
+
+
 # ---------------------------------------------------------------- 2: byte-pair encoding
 
 
@@ -174,6 +181,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
     "op2_bpe": op2_bpe,
     "op3_language": op3_language,
     "op4_mixing": op4_mixing,
