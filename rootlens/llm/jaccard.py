@@ -527,3 +527,23 @@ def _near_duplicates(documents: DataFrame, scratch: Scratch, id_column: str, tex
         "digest",
         F.coalesce("grp", "digest").alias("grp"),
     )
+
+
+def keep_one(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents with all their columns, one of each group of near_duplicates: that with
+    the smallest id, null ids last. Documents without words all stay; of repeated rows one does."""
+    scratch = Scratch(documents.sparkSession)
+    found = scratch.store(_near_duplicates(documents, scratch, id_column, text_column), "found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("kept")
+    kept = found.filter(F.col("grp").isNotNull()).groupBy("grp").agg(first)
+    kept = kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.digest").alias("kept_digest"))
+
+    def add_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, text_column):
+            digests = digests_of(*shingle_sets(*tx.flat(batch.column(text_column))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], names=[*batch.schema.names, "_digest"])
+
+    marked = documents.mapInArrow(add_digest, documents.select("*").schema.add("_digest", "binary"))
+    same = F.col("_digest").eqNullSafe(F.col("kept_digest")) & F.col(id_column).cast("long").eqNullSafe(F.col("kept_id"))
+    one = marked.filter(F.col("_digest").isNotNull()).join(kept, same, "left_semi").dropDuplicates([id_column, "_digest"])
+    return one.unionByName(marked.filter(F.col("_digest").isNull())).select(*documents.columns)

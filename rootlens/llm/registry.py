@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rootlens.llm import bpe, jaccard, language, licenses, mixing, neighbours, quality, toxicity, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,9 +192,12 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op5_url_rules": URL_SQL,
     "op7_warc": WARC_SQL,
     "op9_jaccard": JACCARD_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
