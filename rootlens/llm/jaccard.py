@@ -235,7 +235,7 @@ def _pieces(common, ranges: int, heads: bool):
                 which, short = which[usual][order], short[usual][order]
                 kind = ((short >> tx.U64(24)) * tx.U64(ranges) >> tx.U64(24)).astype(np.int64)
                 cuts = np.flatnonzero(np.diff(kind, prepend=-1))
-                for a, b in zip(cuts, np.append(cuts[1:], len(kind)), strict=True):
+                for a, b in zip(cuts, [*cuts[1:], len(kind)][: len(cuts)], strict=True):
                     out.append((slice_id, int(kind[a]), pack(which[a:b]), pack_sorted(short[a:b]), None))
             if not out:
                 continue
