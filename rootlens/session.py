@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +61,14 @@ def scratch_dir(spark: SparkSession) -> str:
     system.mkdirs(folder)
     system.deleteOnExit(folder)
     return path
+
+
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers on the driver's machine import this package from where it is.
+
+    On a cluster the package is shipped with the job; there the path is not there
+    and does no harm."""
+    root = str(Path(__file__).resolve().parents[1])
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, path) if x)
