@@ -147,10 +147,10 @@ def apply_overrides(roles: DataFrame, overrides: DataFrame) -> DataFrame:
     moved = overrides.select("column", F.lower(F.trim("new_role")).alias("new_role")).filter(
         F.col("new_role").isin("metric", "dimension", "reject")
     )
+    # The reasons that a review report shows.
     reason = (
-        F.when(chosen == "dimension", "Manually assigned by user")
-        .when(chosen == "reject", "Manually rejected by user")
-        .when(chosen == "metric", "Manually assigned by user")
+        F.when(chosen == "reject", "Manually rejected by user")
+        .when(chosen.isNotNull(), "Manually assigned by user")
         .otherwise(F.col("reason"))
     )
     return roles.join(moved, "column", "left").select(
@@ -222,10 +222,17 @@ def collect_roles(confirmed: DataFrame) -> Roles:
 
 
 def confirmed_roles(roles: DataFrame, header: DataFrame) -> DataFrame:
-    """Role rows with the date column and grain of the whole table on each.
+    """Role rows with the header of the whole table on each: date column, grain, and
+    whether a person must look at it, with the open errors.
 
     Reads the single header row to the driver.
     """
-    head = header.select("date_column", "grain").first()
-    date_column = F.lit(head["date_column"]).cast("string").alias("date_column")
-    return roles.select("*", date_column, F.lit(head["grain"]).alias("grain"))
+    head = header.first()
+    errors = F.array(*[F.lit(e) for e in head["validation_errors"]]).cast("array<string>")
+    return roles.select(
+        "*",
+        F.lit(head["date_column"]).cast("string").alias("date_column"),
+        F.lit(head["grain"]).alias("grain"),
+        F.lit(head["requires_human_review"]).alias("requires_human_review"),
+        errors.alias("validation_errors"),
+    )

@@ -18,12 +18,14 @@ from pyspark.sql import types as T
 
 from rootlens.functions.literals import one_row
 from rootlens.functions.scalars import half_even, percent_or_zero, strict_date, without_nan
+from rootlens.operators.skew import salted_lookup_join
 from rootlens.spec import DatasetSpec
 
 PAIR = ["metric", "current_date", "previous_date"]
 GROUP = [*PAIR, "dimension", "dim_order"]
 TOP_CONTRIBUTORS = 5
-MAX_BROADCAST_SERIES = 32
+#: What a NULL segment is called.
+NO_SEGMENT = "(none)"
 
 # Writes a frame under a name and returns it read back, e.g. sinks.store_under(base).
 Store = Callable[[str, DataFrame], DataFrame]
@@ -121,9 +123,8 @@ def dimension_slices(
 ) -> Slices:
     """Stack every breakdown table that carries the metrics.
 
-    A table without a metric yields an error row, not a failure. NULL segments
-    are dropped: the breakdown tables promise there are none, and a NULL would
-    match nothing when two dates are compared.
+    A table without a metric yields an error row, not a failure. A NULL segment
+    or detail is kept under the label NO_SEGMENT, so a dimension's totals are whole.
     """
     readable, report = [], []
     for dim in spec.dimensions:
@@ -158,13 +159,12 @@ def dimension_slices(
             continue
         wide = (
             tables[dim.table]
-            .filter(F.col(dim.segment_col).isNotNull())
             .select(
                 "metric_date",
                 F.lit(dim.name).alias("dimension"),
                 F.lit(order).alias("dim_order"),
-                F.col(dim.segment_col).cast("string").alias("segment"),
-                F.col(dim.detail_col).cast("string").alias("detail"),
+                F.coalesce(F.col(dim.segment_col).cast("string"), F.lit(NO_SEGMENT)).alias("segment"),
+                F.coalesce(F.col(dim.detail_col).cast("string"), F.lit(NO_SEGMENT)).alias("detail"),
                 *[typed(metric) for metric in mine],
             )
         )
@@ -183,55 +183,50 @@ def segment_totals(rows: DataFrame) -> DataFrame:
 # -- comparison and contribution -------------------------------------------------------
 
 
-def compare(rows: DataFrame, sides: DataFrame, by: Sequence[str], on: Sequence[str]) -> DataFrame:
+def compare(
+    rows: DataFrame, sides: DataFrame, by: Sequence[str], on: Sequence[str], spread: Sequence[str]
+) -> DataFrame:
     """Current and previous value per ``by``; a missing side counts as 0.
 
-    A ``group_change`` that the sides carry is passed on.
+    The rows of a day are spread over tasks by ``spread`` and the sides copied;
+    any number of pairs may ask for the same day.
     """
     value, current = F.col("value"), F.col("is_current")
     zero = F.lit(0)
-    carried = [F.max(c).alias(c) for c in sides.columns if c == "group_change"]
     return (
-        rows.join(sides, list(on))
+        salted_lookup_join(rows, sides, on, spread)
         .groupBy(*by)
         .agg(
             F.coalesce(F.sum(F.when(current, value)), zero).alias("current_value"),
             F.coalesce(F.sum(F.when(~current, value)), zero).alias("previous_value"),
-            *carried,
         )
     )
 
 
-def compare_groups(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Both values per metric and dimension for pairs that hold each date at most twice.
+DETAIL = ["dimension", "segment", "detail"]
 
-    There are then at most two sides per calendar day, which bounds the broadcast.
-    """
-    sides = F.broadcast(pair_sides(pairs.select("current_date", "previous_date")))
-    return compare(rows, sides, GROUP, ["metric_date"])
+
+def compare_groups(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Both values per metric and dimension."""
+    sides = pair_sides(pairs.select("current_date", "previous_date"))
+    return compare(rows, sides, GROUP, ["metric_date"], DETAIL)
 
 
-def sides_with_change(whole: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Both sides of every group together with the change of the whole group.
+def with_group_change(compared: DataFrame, whole: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Every segment with the change of its whole group.
 
-    Carrying the total to the rows spares a join on the group afterwards, which
-    would gather a group with very many segments in one task.
+    A group may have very many segments: they are spread over tasks by name and
+    the group's row is copied to each.
     """
     change = (F.col("current_value") - F.col("previous_value")).alias("group_change")
-    return pair_sides(whole.select(*group, change))
-
+    return salted_lookup_join(compared, whole.select(*group, change), group, ["segment"])
 
-def compare_segments(rows: DataFrame, whole: DataFrame, series: int) -> DataFrame:
-    """Both values per segment; ``whole`` is the comparison per group.
 
-    ``series`` counts (metric, dimension) combinations: with few of them the
-    sides are a few rows per calendar day and are broadcast, else Spark decides.
-    """
-    sides = sides_with_change(whole, GROUP)
-    if series <= MAX_BROADCAST_SERIES:
-        sides = F.broadcast(sides)
-    on = ["metric_date", "metric", "dimension", "dim_order"]
-    return compare(rows, sides, [*GROUP, "segment"], on)
+def compare_segments(rows: DataFrame, pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """Both values per segment; ``whole`` is the comparison per group."""
+    sides = pair_sides(pairs.select("current_date", "previous_date"))
+    compared = compare(rows, sides, [*GROUP, "segment"], ["metric_date"], DETAIL)
+    return with_group_change(compared, whole, GROUP)
 
 
 def contributions(compared: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
@@ -245,7 +240,6 @@ def contributions(compared: DataFrame, group: Sequence[str] = GROUP) -> DataFram
         changed.withColumn("change_pct", percent_or_zero(change, F.col("previous_value")))
         .withColumn("contribution_pct", percent_or_zero(change, F.col("group_change")))
         .withColumn("abs_contribution", F.abs("contribution_pct"))
-        .drop("group_change")
     )
 
 
@@ -328,10 +322,8 @@ def decompose(
     sliced = dimension_slices(tables, spec, metrics)
     if pairs is None:
         pairs = consecutive_pairs(tables[spec.fact_table])
-    series = len(metrics) * len(spec.dimensions)
-    compared = compare_segments(sliced.rows, compare_groups(sliced.rows, pairs), series)
+    compared = compare_segments(sliced.rows, pairs, compare_groups(sliced.rows, pairs))
     contributed = contributions(compared)
-    compared = compared.drop("group_change")
     if store is not None:
         contributed = store("contributions", contributed)
         compared = contributed.select(*compared.columns)
@@ -339,8 +331,8 @@ def decompose(
         slices=sliced.rows,
         pairs=pairs,
         compared=compared,
-        contributions=contributed,
-        top=strongest(contributed),
+        contributions=contributed.drop("group_change"),
+        top=strongest(contributed.drop("group_change")),
         totals=dimension_totals(compared),
         status=sliced.status,
     )
@@ -358,9 +350,10 @@ def drill_down(rows: DataFrame, targets: DataFrame) -> DataFrame:
     inside = rows.withColumnRenamed("segment", "parent").withColumnRenamed("detail", "segment")
     group = [*GROUP, "parent"]
     on = ["metric_date", "metric", "dimension", "dim_order", "parent"]
-    whole = compare(inside, sides, group, on)
-    compared = compare(inside, sides_with_change(whole, group), [*group, "segment"], on)
-    return contributions(compared, group)
+    spread = ["segment"]
+    whole = compare(inside, sides, group, on, spread)
+    compared = compare(inside, sides, [*group, "segment"], on, spread)
+    return contributions(with_group_change(compared, whole, group), group).drop("group_change")
 
 
 def drill_totals(targets: DataFrame, drilled: DataFrame) -> DataFrame:

@@ -36,8 +36,8 @@ def trend(fact: DataFrame, metric: str) -> DataFrame:
 
 def metric_changes(fact: DataFrame, pairs: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Current, previous, change and unrounded change % of every metric and pair."""
-    sides = F.broadcast(dec.pair_sides(pairs.select("current_date", "previous_date")))
-    compared = dec.compare(det.long_metrics(fact, metrics), sides, dec.PAIR, ["metric_date"])
+    sides = dec.pair_sides(pairs.select("current_date", "previous_date"))
+    compared = dec.compare(det.long_metrics(fact, metrics), sides, dec.PAIR, ["metric_date"], ["metric"])
     change = F.col("current_value") - F.col("previous_value")
     return compared.withColumn("change", change).withColumn(
         "change_pct", F.coalesce(percent(F.col("change"), F.col("previous_value")), F.lit(0.0))
@@ -65,18 +65,21 @@ def bar_width(contribution: Column) -> Column:
 def waterfall(compared: DataFrame) -> DataFrame:
     """Per segment: previous, current, change and unrounded share of the change.
 
-    Order by contribution ascending for the chart, descending for the table.
+    The change of each segment's group is carried by a decomposition's ``compared``;
+    for other rows it is added. Order by contribution ascending for the chart, descending for the table.
     """
+    if "group_change" not in compared.columns:
+        values = [F.sum(c).alias(c) for c in ("current_value", "previous_value")]
+        compared = dec.with_group_change(compared, compared.groupBy(*dec.GROUP).agg(*values), dec.GROUP)
     changed = compared.withColumn("change", F.col("current_value") - F.col("previous_value"))
-    totals = changed.groupBy(*dec.GROUP).agg(F.sum("change").alias("_total"))
-    return changed.join(totals, dec.GROUP).select(
+    return changed.select(
         *dec.PAIR,
         "dimension",
         "segment",
         "previous_value",
         "current_value",
         "change",
-        F.coalesce(percent(F.col("change"), F.col("_total")), F.lit(0.0)).alias("contribution"),
+        F.coalesce(percent(F.col("change"), F.col("group_change")), F.lit(0.0)).alias("contribution"),
     )
 
 

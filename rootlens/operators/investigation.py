@@ -179,8 +179,9 @@ def evidence_text(
         F.lit(": "),
         F.col("anomaly_direction"),
         F.lit(", "),
-        number_text(F.col("change_pct"), 2),
-        F.lit("% change"),
+        # the first day of a series, or one after a zero, has no relative change
+        F.coalesce(F.concat(number_text(F.col("change_pct"), 2), F.lit("%")), F.lit("n/a")),
+        F.lit(" change"),
     )
     past = F.array_sort(F.collect_list(F.struct("metric_date", line.alias("line"))))
     by_pair = history.groupBy("metric", "current_date").agg(

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,10 +136,19 @@ def items_per_order(items: DataFrame) -> DataFrame:
 
 
 def order_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per counted order; the group-by keeps the join's partitioning.
+    """One row per counted order and status; the group-by keeps the join's partitioning.
 
-    ``order_rows`` is 1 unless the order was loaded more than once.
+    ``order_rows`` is 1 unless the order was loaded more than once. An order that
+    was loaded with several statuses or customers must count once: ``of_customer``
+    is 1 on one row of each (order, day, customer), ``of_day`` on one of each (order, day).
     """
+    rest = ["order_status", "customer_id"]
+    of_customer = Window.partitionBy("order_id", "order_date", "customer_id").orderBy(*rest)
+    of_day = Window.partitionBy("order_id", "order_date").orderBy(*rest)
+
+    def first(window) -> Column:
+        return (F.row_number().over(window) == 1).cast("bigint")
+
     return (
         counted_orders(orders)
         .select("order_id", "order_date", "customer_id", "order_status")
@@ -150,13 +159,15 @@ def order_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
             F.sum("item_count").alias("item_count"),
             F.count("order_revenue").cast("decimal(10,0)").alias("order_rows"),
         )
+        .withColumns({"of_customer": first(of_customer), "of_day": first(of_day)})
     )
 
 
 def customer_days(revenue: DataFrame) -> DataFrame:
     """What each customer bought on each day: feeds the fact and geography tables."""
     return revenue.groupBy("order_date", "customer_id").agg(
-        F.count("*").alias("orders"),
+        F.sum("of_customer").alias("orders"),
+        F.sum("of_day").alias("orders_of_day"),
         F.count("order_revenue").alias("valued_orders"),
         F.sum("order_revenue").alias("revenue"),
         F.min("order_revenue").alias("smallest"),
@@ -196,7 +207,7 @@ def fact_daily_metrics(by_customer_day: DataFrame) -> DataFrame:
     return (
         by_customer_day.groupBy(F.col("order_date").alias("metric_date"))
         .agg(
-            F.sum("orders").alias("order_count"),
+            F.sum("orders_of_day").alias("order_count"),
             F.count("customer_id").alias("customer_count"),
             F.sum("revenue").alias("_revenue"),
             F.sum("valued_orders").alias("_valued"),
@@ -221,14 +232,22 @@ def fact_daily_metrics(by_customer_day: DataFrame) -> DataFrame:
 def metric_by_geography(
     by_customer_day: DataFrame, customers: DataFrame, geography: DataFrame
 ) -> DataFrame:
-    """A customer has at most one row per day here, so no customer is hot in the join."""
+    """A customer has at most one row per day here, so no customer is hot in the join.
+
+    A customer who was loaded several times multiplies the amounts, as in a join
+    of rows, but not the orders.
+    """
+    states = customers.groupBy("customer_id", "customer_state").agg(
+        F.count("*").cast("decimal(10,0)").alias("copies")
+    )
+    copies = F.col("copies")
     daily = (
-        by_customer_day.join(customers.select("customer_id", "customer_state"), "customer_id")
+        by_customer_day.join(states, "customer_id")
         .groupBy(F.col("order_date").alias("metric_date"), F.col("customer_state").alias("state_code"))
         .agg(
             F.sum("orders").alias("order_count"),
-            F.sum("revenue").alias("_revenue"),
-            F.sum("items").alias("_items"),
+            F.sum(F.col("revenue") * copies).alias("_revenue"),
+            F.sum(F.col("items") * copies).alias("_items"),
         )
     )
     return daily.join(geography, "state_code").select(

@@ -9,13 +9,12 @@ computed on its much smaller result.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rootlens.functions.literals import one_row, rows_of
+from rootlens.functions.literals import rows_of
 from rootlens.functions.scalars import DATE_FORMATS, lenient_timestamp
 
 # Share of distinct values above which a column looks like an id,
@@ -23,7 +22,6 @@ from rootlens.functions.scalars import DATE_FORMATS, lenient_timestamp
 ID_RATIO = 0.9
 SAMPLE_VALUES = 5
 DATE_SAMPLE = 1000
-LONG_TEXT = 64
 
 
 def is_numeric(kind: T.DataType) -> bool:
@@ -57,38 +55,50 @@ def columns_of(df: DataFrame) -> DataFrame:
 
 
 def _value_key(name: str, kind: T.DataType) -> Column:
-    """Text that is equal exactly when the values are; long texts by their digest."""
+    """Text that is equal exactly when the values are; texts of any length by their digest."""
     column = F.col(f"`{name}`")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         number = column.cast("double")
         return F.when(~F.isnan(number), number + F.lit(0.0)).cast("string")
     if isinstance(kind, T.StringType):
-        digest = F.concat(F.lit("sha256:"), F.sha2(column, 256))
-        return F.when(F.length(F.trim(column)) > LONG_TEXT, digest).otherwise(column)
+        return F.sha2(column, 256)
     if isinstance(kind, T.BinaryType):
-        return F.hex(column)
+        return F.sha2(column, 256)
     return column.cast("string")
 
 
-def value_counts(df: DataFrame) -> DataFrame:
-    """(column, value, n) for every distinct value of every column, NULL included."""
-    keys = [_value_key(f.name, f.dataType).alias(f.name) for f in df.schema.fields]
-    stacked = df.select(*keys).unpivot([], [f"`{c}`" for c in df.columns], "column", "value")
-    return stacked.groupBy("column", "value").agg(F.count("*").alias("n"))
+def _day(name: str, kind: T.DataType, formats: Sequence[str]) -> Column:
+    """The calendar day of a value, from the value itself; numbers have none."""
+    column = F.col(f"`{name}`")
+    if is_numeric(kind):
+        return F.lit(None).cast("date")
+    if is_temporal(kind):
+        return F.to_date(column.cast("timestamp_ntz"))
+    text = F.hex(column) if isinstance(kind, T.BinaryType) else column.cast("string")
+    return F.to_date(lenient_timestamp(text, formats))
+
+
+def value_counts(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """(column, value, day, n) for every distinct value of every column, NULL included."""
+    each = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            _value_key(f.name, f.dataType).alias("value"),
+            _day(f.name, f.dataType, formats).alias("day"),
+        )
+        for f in df.schema.fields
+    ]
+    stacked = df.select(F.explode(F.array(*each)).alias("each")).select("each.*")
+    return stacked.groupBy("column", "value", "day").agg(F.count("*").alias("n"))
 
 
 def column_statistics(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Counts per column, from one pass over the table."""
     schema = columns_of(df)
     filled = F.col("value").isNotNull()
-    moment = F.when(F.col("is_temporal"), F.col("value").try_cast("timestamp_ntz")).when(
-        ~F.col("is_numeric"), lenient_timestamp(F.col("value"), formats)
-    )
     counted = (
-        value_counts(df)
-        .join(F.broadcast(schema), F.col("column") == F.col("name"))
-        .withColumn("day", F.to_date(F.when(filled, moment)))
-        .groupBy("name")
+        value_counts(df, formats)
+        .groupBy(F.col("column").alias("name"))
         .agg(
             F.sum("n").alias("n_rows"),
             F.count("value").alias("cardinality"),
@@ -126,14 +136,17 @@ def likely_id(ratio: Column, float_column: Column) -> Column:
     return (ratio > ID_RATIO) & ~float_column
 
 
-def _first_rows(df: DataFrame, name: str, order_by: Sequence[str], n: int) -> DataFrame:
-    """The first n filled values of a column; each task keeps only n of them."""
-    column = F.col(f"`{name}`")
+def _first_values(df: DataFrame, names: Sequence[str], order_by: Sequence[str], n: int) -> DataFrame:
+    """(name, at, value) of the first n filled values of each column, in one scan; every
+    task keeps only n of a column before the shuffle."""
+    each = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("value")) for c in names]
+    stacked = df.select(F.struct(*order_by).alias("at"), F.explode(F.array(*each)).alias("each"))
+    order = Window.partitionBy("name").orderBy("at")
     return (
-        df.filter(column.isNotNull())
-        .select(column.alias("value"), F.struct(*order_by).alias("at"))
-        .orderBy("at")
-        .limit(n)
+        stacked.select("at", "each.*")
+        .filter("value IS NOT NULL")
+        .withColumn("_place", F.row_number().over(order))
+        .filter(F.col("_place") <= n)
     )
 
 
@@ -142,16 +155,13 @@ def sample_values(df: DataFrame, order_by: Sequence[str], n: int = SAMPLE_VALUES
 
     A distributed table has no row order of its own, so one must be named.
     """
-    parts = []
-    for name in df.columns:
-        head = _first_rows(df, name, order_by, n)
-        texts = F.array_sort(F.collect_list(F.struct("at", F.col("value").cast("string").alias("v"))))
-        parts.append(
-            head.agg(F.transform(texts, lambda x: x["v"]).alias("sample_values")).select(
-                F.lit(name).alias("name"), "sample_values"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    texts = F.array_sort(F.collect_list(F.struct("_place", "value")))
+    found = _first_values(df, df.columns, order_by, n).groupBy("name").agg(texts.alias("texts"))
+    names = columns_of(df).select("name")
+    nothing = F.array().cast("array<string>")
+    return names.join(found, "name", "left").select(
+        "name", F.coalesce(F.col("texts.value"), nothing).alias("sample_values")
+    )
 
 
 def sampled_date_rates(
@@ -161,19 +171,20 @@ def sampled_date_rates(
     formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """(name, date_parse_rate) judged on the first n filled values; numbers score 0."""
-    parts = []
-    for field in df.schema.fields:
-        if is_numeric(field.dataType):
-            rate = one_row(df.sparkSession, F.lit(0.0).alias("date_parse_rate"))
-        else:
-            value = F.col("value")
-            moment = value if is_temporal(field.dataType) else lenient_timestamp(value, formats)
-            hit = F.when(moment.isNotNull(), 1.0).otherwise(0.0)
-            rate = _first_rows(df, field.name, order_by, n).agg(
-                F.coalesce(F.avg(hit), F.lit(0.0)).alias("date_parse_rate")
-            )
-        parts.append(rate.select(F.lit(field.name).alias("name"), "date_parse_rate"))
-    return reduce(DataFrame.unionByName, parts)
+    schema = columns_of(df)
+    words = [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
+    if not words:
+        return schema.select("name", F.lit(0.0).alias("date_parse_rate"))
+    read = F.col("is_temporal") | lenient_timestamp(F.col("value"), formats).isNotNull()
+    rates = (
+        _first_values(df, words, order_by, n)
+        .join(F.broadcast(schema.select("name", "is_temporal")), "name")
+        .groupBy("name")
+        .agg(F.avg(F.when(read, 1.0).otherwise(0.0)).alias("rate"))
+    )
+    return schema.join(rates, "name", "left").select(
+        "name", F.coalesce("rate", F.lit(0.0)).alias("date_parse_rate")
+    )
 
 
 def full_profile(

@@ -7,46 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 256
-SAMPLE_ONE_IN = 1024
-SALTS = 64
-
-
-def hot_keys(rows: DataFrame, key: str, spread: Sequence[str]) -> DataFrame:
-    """The most frequent keys, judged on a hash sample; never more than MAX_HOT_KEYS.
-
-    The sample depends on row values alone, so every evaluation (also after a
-    lost executor) yields the same keys. It only steers the salting: a key it
-    misses takes the ordinary join path and gives the same result.
-    """
-    sampled = rows.filter(F.pmod(F.xxhash64(key, *spread), F.lit(SAMPLE_ONE_IN)) == 0)
-    return (
-        sampled.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("_seen"))
-        .filter("_seen > 1")
-        .orderBy(F.desc("_seen"), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.lit(True).alias("_hot"))
-    )
+#: Tasks that the rows of one key are spread over.
+SALTS = 16
 
 
 def salted_lookup_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread: Sequence[str]
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str | Sequence[str],
+    spread: Sequence[str],
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join on ``key`` that spreads the rows of hot keys over SALTS tasks.
+    """Join on ``key`` with the rows of every key spread over SALTS tasks.
 
-    Only the lookup rows of hot keys are copied, SALTS times each, and every
-    fact row meets exactly one copy, so the result equals the plain join.
-    ``hot_keys`` is limited to MAX_HOT_KEYS rows, hence the broadcast.
+    Each lookup row is copied SALTS times and every row of ``rows`` meets exactly
+    one copy, so the result equals the plain join, whatever keys are frequent and
+    however many. ``spread`` names columns that tell the rows of a key apart.
     """
-    hot = F.broadcast(hot_keys(rows, key, spread))
+    keys = [key] if isinstance(key, str) else list(key)
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    salted_rows = rows.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return (
+        rows.withColumn("_salt", salt)
+        .join(lookup.withColumn("_salt", copies), [*keys, "_salt"], how)
+        .drop("_salt")
     )
-    salted_lookup = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies))
-    return salted_rows.drop("_hot").join(salted_lookup.drop("_hot"), [key, "_salt"]).drop("_salt")

@@ -543,7 +543,7 @@ COMPARED = f"SELECT {PAIR}, dimension, segment, current_value, previous_value FR
 @query("j06_two_date_compare", COMPARED + "metric = 'total_revenue'")
 def _(s, d):
     compared = _decomposed(s, d).compared
-    return compared.drop("dim_order")
+    return compared.drop("dim_order", "group_change")
 
 
 DRILLED = f"""SELECT {PAIR}, dimension, parent, segment, current_value, previous_value, change, change_pct,
@@ -685,7 +685,7 @@ def _(s, d):
 def _(s, d):
     m = _marts(s, d)
     revenue = mt.order_revenue(m["stg_orders"], m["stg_order_items"])
-    return revenue.drop("item_count", "order_rows")
+    return revenue.drop("item_count", "order_rows", "of_customer", "of_day")
 
 
 FACT = f"""SELECT metric_date::VARCHAR AS metric_date, order_count, customer_count, {sql_usd('revenue_c')} AS total_revenue,
@@ -1640,6 +1640,24 @@ def _(s, d):
     return cls.apply_overrides(cls.assign_roles(profiles), overrides.filter("new_role IS NOT NULL"))
 
 
+@query(
+    "o07_override_on_reuse",
+    """SELECT 'first' AS load, "column", role, FALSE AS reused FROM ev_roles
+    UNION ALL SELECT 'again', "column", CASE "column" WHEN 'user_id' THEN 'rejected' ELSE role END, TRUE FROM ev_roles""",
+)
+def _(s, d):
+    base, events = _scratch(s), star.read_table(s, d, "events")
+    first = onb.onboard(events, "events", base, exact_scale=2)
+    kept = s.createDataFrame(first.roles.select("column", "role").collect(), "column string, role string")
+    edits = s.createDataFrame([("user_id", "reject")], "column string, new_role string")
+    again = onb.onboard(events, "events", base, overrides=edits, exact_scale=2)
+
+    def labelled(load, roles, reused):
+        return roles.select(F.lit(load).alias("load"), "column", "role", F.lit(reused).alias("reused"))
+
+    return labelled("first", kept, first.reused).union(labelled("again", again.roles, again.reused))
+
+
 @query("o08_fingerprint", FINGERPRINT + "ev_profile")
 def _(s, d):
     return prof.schema_fingerprint(prof.profile_columns(star.read_table(s, d, "events")))
@@ -1727,6 +1745,12 @@ def _(s, d):
     return report.drop("alert_status", "alert_reason", "error")
 
 
+def event_edits(spark):
+    """Edits that give any sample of the events the roles of the whole table."""
+    rows = [("event_id", "reject"), ("user_id", "reject"), ("value", "metric"), ("event_type", "dimension"), ("props", "reject")]
+    return spark.createDataFrame(rows, "column string, new_role string")
+
+
 @query(
     "o13_onboard",
     f"SELECT metric_date::VARCHAR AS metric_date, {sql_usd('value_c')} AS value, row_count FROM ev_fact",
@@ -1735,18 +1759,44 @@ def _(s, d):
     return _onboarded(s, d).tables["fact_daily_metrics"]
 
 
+@query(
+    "o13_grain_changed",
+    f"""SELECT metric_date::VARCHAR AS metric_date, {sql_usd('value_c')} AS value, row_count, 'other' AS grain, TRUE AS reused FROM ev_fact""",
+)
+def _(s, d):
+    # the first file has one event a day, the next one all of them
+    base, events = _scratch(s), star.read_table(s, d, "events")
+    ids = events.groupBy(F.to_date("ts").alias("day")).agg(F.min("event_id").alias("event_id"))
+    onb.onboard(events.join(ids.select("event_id"), "event_id").select(events.columns), "events", base, event_edits(s), exact_scale=2)
+    done = onb.onboard(events, "events", base, exact_scale=2)
+    fact = done.tables["fact_daily_metrics"].select("metric_date", "value", "row_count")
+    return fact.withColumns({"grain": F.lit(done.grain), "reused": F.lit(done.reused)})
+
+
+# The roles a person wrote down for the events table; the last one is a slip.
+EXPECTED_ROLES = [
+    ("event_id", "rejected"),
+    ("ts", "date"),
+    ("user_id", "metric"),
+    ("event_type", "dimension"),
+    ("value", "metric"),
+    ("props", "metric"),
+]
+
+
 @query(
     "o14_expected_roles",
-    """SELECT role, 0 AS missing, 0 AS extra, TRUE AS matches FROM (SELECT DISTINCT role FROM ev_roles)""",
+    f"""WITH wanted("column", role) AS (VALUES {", ".join(map(str, EXPECTED_ROLES))}),
+    found AS (SELECT "column", role FROM ({sql('SELECT "column", role FROM ev_roles')})),
+    missing AS (SELECT role, COUNT(*) AS n FROM (SELECT * FROM wanted EXCEPT SELECT * FROM found) GROUP BY role),
+    extra AS (SELECT role, COUNT(*) AS n FROM (SELECT * FROM found EXCEPT SELECT * FROM wanted) GROUP BY role)
+    SELECT r.role, COALESCE(m.n, 0) AS missing, COALESCE(e.n, 0) AS extra, m.n IS NULL AND e.n IS NULL AS matches
+    FROM (SELECT role FROM wanted UNION SELECT role FROM found) r
+    LEFT JOIN missing m ON m.role = r.role LEFT JOIN extra e ON e.role = r.role""",
 )
 def _(s, d):
-    # the roles of the table agree with those of a copy with its columns turned round
-    events = star.read_table(s, d, "events")
-    turned = events.select(*reversed(events.columns))
-    return cls.role_matches(
-        cls.assign_roles(prof.profile_columns(events)),
-        cls.assign_roles(prof.profile_columns(turned)),
-    )
+    expected = s.createDataFrame(EXPECTED_ROLES, "column string, role string")
+    return cls.role_matches(cls.assign_roles(prof.profile_columns(star.read_table(s, d, "events"))), expected)
 
 
 @query(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +24,41 @@ class ReconciliationError(ValueError):
 
 @dataclass(frozen=True)
 class Onboarded:
+    """``grain`` is that of the rows now loaded; ``warnings`` are what the profile holds
+    against the confirmed roles, and make ``requires_human_review`` true."""
+
     dataset_id: str
     spec: DatasetSpec
     roles: DataFrame
     tables: dict[str, DataFrame]
     reused: bool
+    grain: str
+    requires_human_review: bool
+    warnings: tuple[str, ...]
+
+
+def _confirm(
+    df: DataFrame, dataset_id: str, base: str, fingerprint: str, stored: DataFrame | None, overrides, formats
+) -> DataFrame:
+    """Assign or edit the roles and save them, unless they leave no date column."""
+    spark = df.sparkSession
+    if stored is None:
+        # one row per column, but costly to compute: written once, read often
+        profiles = sinks.replace_table(
+            prof.profile_columns(df, formats), base, f"{dataset_id}/profile"
+        )
+        roles = cls.assign_roles(profiles)
+    else:
+        profiles = spark.read.parquet(f"{base}/{dataset_id}/profile")
+        # a row per column; held here as the file they come from is replaced
+        kept = stored.select("position", *cls.ROLE_COLUMNS)
+        roles = spark.createDataFrame(kept.collect(), kept.schema)
+    if overrides is not None:
+        roles = cls.apply_overrides(roles, overrides)
+    confirmed = cls.confirmed_roles(roles, cls.classification_header(roles, profiles))
+    cls.collect_roles(confirmed)  # raises without a date column: nothing is saved then
+    sinks.save_roles(confirmed, fingerprint, dataset_id, base)
+    return sinks.load_roles(spark, dataset_id, base)
 
 
 def onboard(
@@ -42,7 +72,9 @@ def onboard(
     """Profile, assign roles, write the daily tables, and check that they agree.
 
     Roles confirmed earlier are used again while names and types are unchanged;
-    otherwise ``overrides`` (column, new_role) stands in for a person's edits.
+    ``overrides`` (column, new_role) are a person's edits of the new or the stored
+    roles. Rows are always summed per day: what was one row a day at the first
+    load may be many in the next file.
     """
     spark = df.sparkSession
     columns = prof.columns_of(df)
@@ -51,19 +83,11 @@ def onboard(
     if confirmed is not None:
         confirmed = confirmed.filter(F.col("fingerprint") == fingerprint)
     reused = confirmed is not None and not confirmed.isEmpty()
-    if not reused:
-        # one row per column, but costly to compute: written once, read often
-        profiles = sinks.replace_table(
-            prof.profile_columns(df, formats), base, f"{dataset_id}/profile"
-        )
-        roles = cls.assign_roles(profiles)
-        if overrides is not None:
-            roles = cls.apply_overrides(roles, overrides)
-        header = cls.classification_header(roles, profiles)
-        sinks.save_roles(cls.confirmed_roles(roles, header), fingerprint, dataset_id, base)
-        confirmed = sinks.load_roles(spark, dataset_id, base)
+    if not reused or overrides is not None:
+        stored = confirmed if reused else None
+        confirmed = _confirm(df, dataset_id, base, fingerprint, stored, overrides, formats)
 
-    plan = cls.collect_roles(confirmed)
+    plan = replace(cls.collect_roles(confirmed), grain="other")
     spec = ru.dataset_spec(plan)
     dated = ru.dated_rows(df, plan.date_column, formats)
     folder = f"{base}/{dataset_id}"
@@ -82,7 +106,26 @@ def onboard(
         if errors:
             raise ReconciliationError("; ".join(sorted(errors)))
         tables.update(ru.dimension_tables(rollup, spec))
-    return Onboarded(dataset_id, spec, confirmed, tables, reused)
+    return _onboarded(dataset_id, spec, confirmed, tables, reused)
+
+
+def _onboarded(
+    dataset_id: str, spec: DatasetSpec, roles: DataFrame, tables: dict[str, DataFrame], reused: bool
+) -> Onboarded:
+    """With the grain of the daily table as it is, and the review state of the roles."""
+    days = tables[spec.fact_table].agg(F.count("*").alias("days"), F.sum(ru.ROW_COUNT).alias("n_rows"))
+    grain = days.select(cls.grain_of(F.col("days"), F.col("n_rows")).alias("grain")).first()["grain"]
+    review = roles.select("requires_human_review", "validation_errors").first()
+    return Onboarded(
+        dataset_id,
+        spec,
+        roles,
+        tables,
+        reused,
+        grain,
+        bool(review["requires_human_review"]),
+        tuple(review["validation_errors"] or ()),
+    )
 
 
 def dropped_rows(df: DataFrame, done: Onboarded) -> DataFrame:
@@ -114,7 +157,7 @@ def load_dataset(spark: SparkSession, dataset_id: str, base: str) -> Onboarded:
     if spec.dimensions:
         rollup = spark.read.parquet(f"{folder}/metric_by_dimension")
         tables.update(ru.dimension_tables(rollup, spec))
-    return Onboarded(dataset_id, spec, roles, tables, True)
+    return _onboarded(dataset_id, spec, roles, tables, True)
 
 
 def run_cycle(done: Onboarded, metric: str, generated_at: str, **options) -> DailyRun:

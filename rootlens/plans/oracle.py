@@ -213,10 +213,9 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cur, prev, metric
 CTE["classified"] = """
 SELECT cur, prev, metric, dimension, dim_order, segment, lead, gap,
        CASE WHEN lead < 0 OR lead > 100 THEN 'offsetting_segments' WHEN gap <= 15 THEN 'close_contributors' END AS reason
-FROM (SELECT a.cur, a.prev, a.metric, a.dimension, a.dim_order, a.segment, a.contribution_pct AS lead,
-             abs(a.abs_contribution - b.abs_contribution) AS gap
-      FROM (SELECT * FROM top WHERE rank = 1) a LEFT JOIN (SELECT * FROM top WHERE rank = 2) b
-      USING (cur, prev, metric, dimension))"""
+FROM (SELECT *, contribution_pct AS lead,
+             abs(abs_contribution - lead(abs_contribution) OVER (PARTITION BY cur, prev, metric, dimension ORDER BY rank)) AS gap
+      FROM top) WHERE rank = 1"""
 CTE["targets"] = "SELECT cur, prev, metric, dimension, dim_order, segment FROM classified WHERE reason = 'close_contributors'"
 CTE["drill_sides"] = """
 SELECT t.cur, t.prev, t.metric, t.dimension, t.dim_order, t.segment AS parent, s.detail AS segment, SUM(s.c) AS c, 1 AS side
@@ -389,5 +388,6 @@ def sql(final: str) -> str:
                 visit(CTE[word])
 
     visit(final)
-    parts = [f"{n} AS ({CTE[n].strip()})" for n in names if n in needed]
+    # materialized: several are read from many places, and must be computed once
+    parts = [f"{n} AS MATERIALIZED ({CTE[n].strip()})" for n in names if n in needed]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final.strip()

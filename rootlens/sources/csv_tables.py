@@ -95,11 +95,19 @@ def read_csv_table(
 ) -> DataFrame:
     """Columns go by position and the header line is skipped, whatever it says.
 
-    ``multiline`` is for files with line breaks inside quotes; such files cannot be split.
+    A line with too few or too many fields stops the load, whichever columns are
+    read later. ``multiline`` is for files with line breaks inside quotes; such files cannot be split.
     """
     schema = ", ".join(f"{name} string" for name, _ in columns)
-    strings = spark.read.csv(
-        path, schema=schema, header=True, nullValue="", escape='"', multiLine=multiline
+    # the number of fields is checked only where none are pruned
+    strings = spark.read.option("columnPruning", False).csv(
+        path,
+        schema=schema,
+        header=True,
+        nullValue="",
+        escape='"',
+        multiLine=multiline,
+        mode="FAILFAST",
     )
     return typed(strings, columns)
 

@@ -19,16 +19,25 @@ def is_utf8(spark: SparkSession, path: str) -> bool:
     return bad["n"] == 0
 
 
-def read_flat_file(spark: SparkSession, path: str) -> DataFrame:
+def read_flat_file(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Types are inferred over all rows and only an empty cell is missing.
 
+    A line with too few or too many fields stops the load. A quoted cell may hold
+    line breaks; a file known to have none is read in splits with ``multiline=False``.
     Text such as ``NA`` stays a value. A file that is not UTF-8 is read as
     Windows-1252, column names included.
     """
-    options = {"header": True, "inferSchema": True, "nullValue": "", "escape": '"'}
+    options = {
+        "header": True,
+        "inferSchema": True,
+        "nullValue": "",
+        "escape": '"',
+        "multiLine": multiline,
+        "mode": "FAILFAST",
+    }
     if is_utf8(spark, path):
-        return spark.read.csv(path, **options)
-    df = spark.read.csv(path, encoding="ISO-8859-1", **options)
+        return spark.read.option("columnPruning", False).csv(path, **options)
+    df = spark.read.option("columnPruning", False).csv(path, encoding="ISO-8859-1", **options)
     table = str.maketrans(LATIN1_CODES, CP1252_CHARS)
     df = df.toDF(*[c.translate(table) for c in df.columns])
     return df.select(

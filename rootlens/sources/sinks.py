@@ -83,7 +83,8 @@ def load_roles(spark: SparkSession, dataset_id: str, base: str) -> DataFrame | N
     """The stored confirmation, or None if the dataset was never confirmed."""
     schema = (
         "position int, column string, role string, cardinality bigint, confidence double, "
-        "reason string, date_column string, grain string, fingerprint string"
+        "reason string, date_column string, grain string, requires_human_review boolean, "
+        "validation_errors array<string>, fingerprint string"
     )
     try:
         return spark.read.schema(schema).json(f"{base}/{dataset_id}/roles")

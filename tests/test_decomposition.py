@@ -74,7 +74,7 @@ def test_totals_match_the_rows(spark, rows):
     assert (total["total_current"], total["total_change"], total["total_change_pct"]) == (533, -67, -11.17)
 
 
-def test_one_sided_segments_count_as_zero_and_null_segments_drop(spark, rows):
+def test_one_sided_segments_count_as_zero_and_null_segments_are_named(spark, rows):
     found = dec.decompose(tables(spark), SPEC, ["sales"])
     geo = found.compared.filter("dimension = 'geo'")
     values = {
@@ -86,9 +86,21 @@ def test_one_sided_segments_count_as_zero_and_null_segments_drop(spark, rows):
         (D2, "North"): (45, 30),
         (D3, "South"): (60, 60),
         (D3, "North"): (0, 45),
+        (D3, "(none)"): (9, 0),
     }
 
 
+def test_forty_series_take_the_same_plan(spark):
+    def shape(n):
+        t = tables(spark)
+        names = [f"m{i}" for i in range(n)]
+        wide = {k: df.select("*", *[F.col("sales").alias(m) for m in names]) if "sales" in df.columns else df for k, df in t.items()}
+        text = dec.decompose(wide, SPEC, names).contributions._jdf.queryExecution().optimizedPlan().toString()
+        return [w for w in text.split() if w in ("Join", "Aggregate", "Window", "Generate")]
+
+    assert shape(2) == shape(40)
+
+
 def test_all_pairs_equal_each_single_pair(spark, rows):
     t = tables(spark)
     order = ["current_date", "dimension", "segment"]

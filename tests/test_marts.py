@@ -162,18 +162,36 @@ def test_lowest_row_per_key(spark, rows):
     ]
 
 
-def test_salted_join_equals_the_plain_join_on_a_hot_key(spark, rows):
+def test_salted_join_equals_the_plain_join_with_many_hot_keys(spark, rows):
     facts = spark.range(60_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).cast("long").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 300).otherwise(F.col("id") % 500).cast("long").alias("k"),
         F.col("id").alias("row"),
     )
     lookup = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 10).alias("label"))
-    hot = [r["k"] for r in rows(skew.hot_keys(facts, "k", ["row"]))]
-    assert 7 in hot and len(hot) <= skew.MAX_HOT_KEYS
-    salted = skew.salted_lookup_join(facts, lookup, "k", ["row"])
-    plain = facts.join(lookup, "k")
-    assert salted.columns == plain.columns
-    assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+    for how in ("inner", "left"):
+        salted = skew.salted_lookup_join(facts, lookup, "k", ["row"], how)
+        plain = facts.join(lookup, "k", how)
+        assert salted.columns == plain.columns
+        assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+
+
+def test_orders_and_customers_loaded_twice_count_once(spark, rows):
+    day = dt.date(2024, 1, 1)
+    orders = spark.createDataFrame(
+        [("o1", day, "c1", "delivered"), ("o1", day, "c1", "shipped"), ("o2", day, "c1", "delivered"), ("o3", day, "c2", "delivered"), ("o3", day, "c1", "delivered")],
+        "order_id string, order_date date, customer_id string, order_status string",
+    )
+    items = spark.createDataFrame([("o1", 10), ("o2", 5), ("o3", 1)], "order_id string, v int").select(
+        "order_id", F.col("v").cast("decimal(11,2)").alias("total_item_value")
+    )
+    customers = spark.createDataFrame([("c1", "SP"), ("c1", "SP"), ("c2", "RJ")], "customer_id string, customer_state string")
+    days = mt.customer_days(mt.order_revenue(orders, items))
+    fact = rows(mt.fact_daily_metrics(days))[0]
+    assert (fact["order_count"], fact["customer_count"], float(fact["total_revenue"])) == (3, 2, 27.0)
+    geography = spark.createDataFrame([("SP", "South"), ("RJ", "East")], "state_code string, region string")
+    found = {r["state_code"]: r for r in rows(mt.metric_by_geography(days, customers, geography))}
+    assert found["SP"]["order_count"] == 3 and float(found["SP"]["total_revenue"]) == 52.0
+    assert found["RJ"]["order_count"] == 1 and float(found["RJ"]["total_revenue"]) == 1.0
 
 
 def test_quality_suite_has_37_checks_and_finds_faults(built, rows):

@@ -223,8 +223,21 @@ def test_onboard_then_reuse_then_analyse(saas, spark, rows, base):
     assert first.spec.metrics == ("mrr_amount", "seats", "row_count")
     assert [d.name for d in first.spec.dimensions] == ["Plan Type", "region"]
     assert rows(onb.dropped_rows(renamed, first)) == [{"n_rows": 500, "dropped_rows": 0}]
-    second = onb.onboard(renamed, "saas", base, overrides=spark.createDataFrame([("seats", "reject")], "column string, new_role string"))
+    second = onb.onboard(renamed, "saas", base)
     assert second.reused and second.spec == first.spec
+    def edits(*rows):
+        return spark.createDataFrame(rows, "column string, new_role string")
+
+    third = onb.onboard(renamed, "saas", base, overrides=edits(("seats", "reject")))
+    assert third.reused and third.spec.metrics == ("mrr_amount", "row_count")
+    assert onb.onboard(renamed, "saas", base).spec == third.spec
+    doubted = onb.onboard(renamed, "saas", base, overrides=edits(("customer_id", "dimension")))
+    assert doubted.requires_human_review and "customer_id" in doubted.warnings[0]
+    # edits that leave no date are refused and change nothing
+    with pytest.raises(ValueError, match="no date column"):
+        onb.onboard(renamed, "saas", base, overrides=edits(("event_date", "reject")))
+    again = onb.load_dataset(spark, "saas", base)
+    assert again.requires_human_review and again.spec == doubted.spec
     changed = onb.onboard(renamed.withColumn("seats", F.col("seats").cast("bigint")), "saas", base)
     assert not changed.reused
 
@@ -243,6 +256,30 @@ def test_onboarding_stops_when_tables_disagree(saas, base):
         onb.onboard(holed, "holed", base)
 
 
+def test_a_daily_table_that_becomes_transactions(spark, rows, base):
+    def days(n):
+        data = [(dt.date(2024, 1, 1) + dt.timedelta(days=i % n), 2.5, "a") for i in range(100)]
+        return spark.createDataFrame(data, "day date, amount double, kind string")
+
+    first, second = onb.onboard(days(100), "d", base), onb.onboard(days(5), "d", base)
+    assert (first.grain, second.grain, second.reused) == ("daily", "other", True)
+    fact = rows(second.tables["fact_daily_metrics"], "metric_date")
+    assert [(r["amount"], r["row_count"]) for r in fact] == [(50.0, 20)] * 5
+
+
+def test_long_date_texts_are_still_dates(spark, rows):
+    data = spark.createDataFrame([("2024-01-01 and then a note that is much longer than any date, " + "x" * 40,)] * 4, "d string")
+    pattern = "yyyy-MM-dd' and then a note that is much longer than any date, " + "x" * 40 + "'"
+    assert rows(prof.profile_columns(data, [pattern]))[0]["date_parse_rate"] == 1.0
+
+
+def test_samples_of_many_columns_take_one_scan(spark, base):
+    spark.range(9).selectExpr(*[f"id + {i} AS c{i}" for i in range(20)]).write.parquet(f"{base}/wide")
+    wide = spark.read.parquet(f"{base}/wide")
+    for df in (prof.sample_values(wide, ["c0"]), prof.sampled_date_rates(wide.selectExpr("c0", "string(c1) AS s", "string(c2) AS t"), ["c0"])):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_unknown_dataset(spark, base):
     with pytest.raises(FileNotFoundError):
         onb.load_dataset(spark, "nobody", base)

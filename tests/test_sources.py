@@ -53,6 +53,22 @@ def test_flat_file_keeps_na_and_reads_utf8(spark, rows, base):
     assert [(r["region"], r["city"]) for r in found] == [("NA", "Köln"), (None, "N/A")]
 
 
+@pytest.mark.parametrize("line", ["a,1,EXTRA", "b"])
+def test_lines_with_the_wrong_number_of_fields_stop_the_load(spark, base, line):
+    path = write(base, "m.csv", f"k,n\nx,1\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        flat_file.read_flat_file(spark, path).select("k").collect()
+    columns = [("k", "varchar(5)"), ("n", "varchar(5)")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_tables.read_csv_table(spark, path, columns).select("k").collect()
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "cp1252"])
+def test_line_breaks_inside_quotes(spark, rows, base, encoding):
+    path = write(base, "q.csv", 'a,b,c\n1,"line one\nliné two",5\n'.encode(encoding))
+    assert rows(flat_file.read_flat_file(spark, path)) == [{"a": 1, "b": "line one\nliné two", "c": 5}]
+
+
 def test_flat_file_falls_back_to_cp1252(spark, rows, base):
     path = write(base, "w.csv", "naïve – name,n\n€5 “café”,1\n".encode("cp1252"))
     assert not flat_file.is_utf8(spark, path)
