@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rootlens.llm import bpe, jaccard, language, mixing, toxicity
 from rootlens.llm.frames import Scratch
+from rootlens.session import reach_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,6 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each is written to the shared folder and read again."""
+    reach_package(spark)
     scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:

@@ -3,8 +3,8 @@
 Encoding: a text is cut by the pattern into words. A word that is a token is
 done; the others become rows (word, position, token, next token), one for each
 byte. A recursive query joins them to the merge table and contracts the leftmost
-pair of least rank in each word until no word has a pair left; an ordered
-aggregation gives a word's ids. Decoding joins ids to the vocabulary and puts
+pair of least rank in each word until no word has a pair left; what stays, in
+order, are a word's ids. Decoding joins ids to the vocabulary and puts
 their bytes together in order, document by document.
 
 Spark deals out the documents; nothing is shuffled. The vocabulary, whose size
@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -64,9 +65,7 @@ WITH RECURSIVE step(word, pos, token, following, steps, done) AS (
     WHERE l.word IS NULL OR f.pos <> l.place
   )
 )
-SELECT word, done, list(token ORDER BY pos) AS tokens
-FROM step WHERE done OR steps = {QUERY_STEPS}
-GROUP BY word, done
+SELECT word, token, done FROM step WHERE done OR steps = {QUERY_STEPS} ORDER BY word, pos
 """
 
 DECODE = """
@@ -126,66 +125,56 @@ class Coder:
         self.flat = np.zeros(0, np.int32)
         self.ends = np.zeros(1, np.int64)
 
-    def _merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word, by the recursive query."""
-        tokens: list[np.ndarray] = [self.single[np.frombuffer(w, np.uint8)] for w in words]
-        out: list[list[int]] = [[] for _ in words]
-        todo = list(range(len(words)))
-        while todo:
-            size = np.array([len(tokens[i]) for i in todo])
-            token = np.concatenate([tokens[i] for i in todo])
-            last = np.cumsum(size) - 1
+    def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids by word), by the recursive query."""
+        size = np.array([len(w) for w in words])
+        token = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        word = np.repeat(np.arange(len(words), dtype=np.int32), size)
+        ids, of = [], []
+        while len(word):
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            size = np.diff(np.append(first, len(word)))
             following = np.append(token[1:], -1).astype(np.int32)
-            following[last] = -1
-            pos = np.arange(len(token)) - np.repeat(last + 1 - size, size)
-            word = np.repeat(np.array(todo), size)
-            self.database.register(
-                "rows_in",
-                pa.table({"word": word.astype(np.int32), "pos": pos.astype(np.int32), "token": token, "following": following}),
-            )
-            todo = []
-            for i, done, found in self.database.execute(ENCODE).fetchall():
-                if done:
-                    out[i] = found
-                else:
-                    tokens[i] = np.array(found, np.int32)
-                    todo.append(i)
-        return out
+            following[first + size - 1] = -1
+            pos = (np.arange(len(word)) - np.repeat(first, size)).astype(np.int32)
+            self.database.register("rows_in", pa.table({"word": word, "pos": pos, "token": token, "following": following}))
+            found = self.database.execute(ENCODE).fetchnumpy()
+            done = np.asarray(found["done"], bool)
+            ids.append(np.asarray(found["token"])[done])
+            of.append(np.asarray(found["word"])[done])
+            # longer words go on from where they are
+            word, token = np.asarray(found["word"])[~done], np.asarray(found["token"])[~done]
+        of = np.concatenate(of)
+        return np.concatenate(ids)[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(words))
 
     def learn(self, words: set[str]) -> None:
         """Remember the ids of words that are not known yet."""
-        new = sorted(words - self.place.keys())
+        new = [w for w in words if w not in self.place]
         if len(self.place) + len(new) > REMEMBERED:
             self.forget()
-            new = sorted(words)
-        data = [w.encode() for w in new]
-        ids: list[list[int]] = [[] for _ in data]
-        batch, held = [], 0
-        for i, word in enumerate(data):
-            whole = self.ranks.get(word)
-            if whole is not None:
-                ids[i] = [whole]
-                continue
-            batch.append(i)
-            held += len(word)
-            if held >= QUERY_BYTES:
-                for k, found in zip(batch, self._merge([data[k] for k in batch]), strict=True):
-                    ids[k] = found
-                batch, held = [], 0
-        if batch:
-            for k, found in zip(batch, self._merge([data[k] for k in batch]), strict=True):
-                ids[k] = found
-        if new:
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
-            self.flat = np.concatenate([self.flat, np.array([x for found in ids for x in found], np.int32)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(found) for found in ids])])
+            new = list(words)
+        pairs = [(w, w.encode()) for w in sorted(new)]
+        whole = [(w, self.ranks[b]) for w, b in pairs if b in self.ranks]
+        self._remember([w for w, _ in whole], np.array([i for _, i in whole], np.int32), np.ones(len(whole), np.int64))
+        rest = [(w, b) for w, b in pairs if b not in self.ranks]
+        total = np.cumsum([len(b) for _, b in rest])
+        at = 0
+        while at < len(rest):
+            done = total[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(total, done + QUERY_BYTES, "right")))
+            self._remember([w for w, _ in rest[at:to]], *self._merge([b for _, b in rest[at:to]]))
+            at = to
+
+    def _remember(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets by text)."""
         words = [self.pattern.findall(t) for t in texts]
-        self.learn({w for found in words for w in found})
-        place = self.place
-        at = np.array([place[w] for found in words for w in found], np.int64)
+        self.learn(set(chain.from_iterable(words)))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64)
         size = self.ends[at + 1] - self.ends[at]
         total = np.concatenate(([0], np.cumsum(size)))
         ids = self.flat[np.arange(total[-1]) + np.repeat(self.ends[at] - total[:-1], size)]

@@ -16,9 +16,12 @@ class Scratch:
         self.path = scratch_dir(spark)
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        where = f"{self.path}/{name}"
-        df.write.parquet(where)
-        return self.spark.read.schema(df.schema).parquet(where)
+        df.write.parquet(f"{self.path}/{name}")
+        return self.again(df, name)
+
+    def again(self, df: DataFrame, name: str) -> DataFrame:
+        """A stored table once more, with columns of its own for a join with itself."""
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
 
 def tasks(spark: SparkSession) -> int:

@@ -18,9 +18,10 @@ Plan.
    hashes, where they are counted; those that stand alone cannot link anything and
    end there. The rest goes back to its slice, which builds the sets and prefixes.
 3. A large group of near copies must not become all its pairs. So first, in rounds,
-   each prefix shingle links its documents to one of them only; verified links unite
-   components. Then pairs between different components that share a prefix
-   shingle are counted, filtered by l and verified; pairs inside one need no check.
+   each prefix shingle with a long list of documents links them to one of them only;
+   verified links unite components, and pairs inside one need no check. What is left
+   between components is checked whole: documents of long lists in blocks against
+   blocks, the others as pairs that are counted, filtered by l and verified.
 4. Components are united by passing on least labels, with the tables written to the
    shared folder in between; neither links nor documents go to the driver.
 
@@ -59,9 +60,13 @@ SKETCH_BLOCK = 1 << 14
 RANGE_SHINGLES = 3_000_000
 #: Verifying a pair costs as much as reading this share of its shingles as candidates.
 VERIFY_SHARE = 0.125
-#: Rounds of linking to one document per shingle end when so few candidate pairs are left per posting.
-PAIRS_PER_POSTING = 4
-MAX_ROUNDS = 12
+#: Lists of documents longer than this are not paired off one by one but in blocks of so many sets.
+LONG_LIST = 64
+BLOCK_SETS = 256
+#: Rounds of linking to one document per shingle end when the long lists leave so few candidate
+#: pairs for each posting of the table, or when a round leaves more than this share of them.
+PAIRS_PER_POSTING = 3
+HELPED = 0.7
 #: Copies of a row that many documents look up.
 SALTS = 16
 
@@ -76,7 +81,7 @@ def _zstd() -> tuple[zs.ZstdCompressor, zs.ZstdDecompressor]:
 
 def pack(values: np.ndarray) -> bytes:
     """The bytes of an array, ordered by significance and compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     return _zstd()[0].compress(planes.tobytes())
 
 
@@ -312,7 +317,9 @@ def _build_sets(table: pa.Table) -> pa.Table:
 
 
 def linkable_sets(texts: DataFrame, sized: DataFrame, scratch: Scratch) -> DataFrame:
-    """node (the digest of a set), n, shingles, ell, prefix of every set that may link with another."""
+    """id, node (the digest of a set), n, shingles, ell, prefix of every set that may link with another.
+
+    The ids are short numbers for the joins that follow; they are fixed by being written."""
     spark = texts.sparkSession
     common = spark.sparkContext.broadcast(common_cells(sized))
     total = sized.agg(F.sum("n_shingles")).first()[0] or 0
@@ -323,7 +330,7 @@ def linkable_sets(texts: DataFrame, sized: DataFrame, scratch: Scratch) -> DataF
     built = counted.unionByName(heads).groupBy("slice").applyInArrow(_build_sets, _SETS)
     # a set may stand in many slices; its rows are equal, and each task sends one
     first = [F.first(c).alias(c) for c in ("n", "shingles", "ell", "prefix")]
-    return scratch.store(built.groupBy("node").agg(*first), "sets")
+    return scratch.store(built.groupBy("node").agg(*first).withColumn("id", F.monotonically_increasing_id()), "sets")
 
 
 # ---------------------------------------------------------------- links
@@ -335,7 +342,7 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not prefixes:
             continue
         at = pa.array(np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes]))
-        columns = [pa.array(np.concatenate(prefixes)), *(batch.column(c).take(at) for c in ("node", "n", "ell"))]
+        columns = [pa.array(np.concatenate(prefixes)), *(batch.column(c).take(at) for c in ("id", "n", "ell"))]
         yield pa.RecordBatch.from_arrays(columns, names=["shingle", "node", "n", "ell"])
 
 
@@ -354,6 +361,48 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(kept.columns, names=["a", "b"])
 
 
+def _incidence(row: np.ndarray, shingle: np.ndarray, rows: int, columns: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(columns, shingle)
+    at[at == len(columns)] = 0
+    held = columns[at] == shingle
+    out = np.zeros((rows, len(columns)), np.float32)
+    out[row[held], at[held]] = 1
+    return out
+
+
+def _cross_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links between the components of two blocks of sets, as few as join all that link."""
+    sides = []
+    for table in (left, right):
+        sets = [unpack_sorted(x.as_py()) for x in table["shingles"]]
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        sides.append((row, np.concatenate(sets) if sets else np.zeros(0, np.uint64), table["n"].to_numpy(), table["comp"].to_numpy()))
+    (row_a, all_a, n_a, comp_a), (row_b, all_b, n_b, comp_b) = sides
+    both = np.intersect1d(all_a, all_b)
+    shared = np.zeros((len(n_a), len(n_b)), np.float32)
+    for at in range(0, len(both), 4096):
+        some = both[at : at + 4096]
+        shared += _incidence(row_a, all_a, len(n_a), some) @ _incidence(row_b, all_b, len(n_b), some).T
+    linked = 100 * shared >= SIMILAR_PERCENT * (n_a[:, None] + n_b[None, :] - shared)
+    linked &= comp_a[:, None] != comp_b[None, :]
+    pairs = np.argwhere(linked)
+    found = np.unique(np.stack((comp_a[pairs[:, 0]], comp_b[pairs[:, 1]]), axis=1), axis=0) if len(pairs) else np.zeros((0, 2), np.int64)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for a, b in found.tolist():
+        x, y = root(a), root(b)
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
 def _sizes_fit(n, m):
     return 100 * F.least(n, m) >= SIMILAR_PERCENT * F.greatest(n, m)
 
@@ -385,15 +434,15 @@ class _Components:
 
     def __init__(self, sets: DataFrame, scratch: Scratch):
         self.sets, self.scratch = sets, scratch
-        postings = sets.select("node", "n", "ell", "prefix").mapInArrow(_explode, "shingle long, node binary, n int, ell int")
+        postings = sets.select("id", "n", "ell", "prefix").mapInArrow(_explode, "shingle long, node long, n int, ell int")
         self.postings = scratch.store(postings.withColumn("comp", F.col("node")), "postings0")
         self.changes: list[DataFrame] = []
         self.round = 0
 
     def open_postings(self) -> DataFrame:
-        """Postings of shingles that stand in several components."""
-        several = self.postings.groupBy("shingle").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
-        return self.postings.join(several.filter("least <> most").select("shingle"), "shingle")
+        """Postings of shingles that stand in several components, with the length of their list."""
+        several = self.postings.groupBy("shingle").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("held"))
+        return self.postings.join(several.filter("least <> most").select("shingle", "held"), "shingle")
 
     def unite(self, links: DataFrame) -> bool:
         """Unite the components that verified links join; False if there are none."""
@@ -420,6 +469,43 @@ class _Components:
         )
         return self._linked(pairs)
 
+    def dense_links(self, dense: DataFrame) -> DataFrame:
+        """Every pair of different components that shares a shingle with a long list.
+
+        Documents that such shingles chain together are a cluster. Its documents are
+        dealt into blocks, a large component into blocks of its own, and each two
+        blocks of a cluster meet once, with their whole sets; what leaves a pair of
+        blocks is at most one link for each component in it."""
+        leads = dense.groupBy("shingle").agg(F.min("node").alias("b"))
+        edges = dense.join(leads, "shingle").select(F.col("node").alias("a"), "b").distinct()
+        clusters = least_labels(edges, self.scratch, f"clusters{self.round}")
+        members = dense.select("node", "comp").distinct().join(clusters, "node")
+        held = members.groupBy("label", "comp").agg(F.count("*").alias("held"))
+        held = held.withColumn("own", F.when(F.col("held") >= BLOCK_SETS, F.col("comp")))
+        size = held.groupBy("label", "own").agg(F.sum("held").alias("size"))
+        of_comp = held.alias("h").join(size.alias("s"), F.expr("h.label = s.label AND h.own <=> s.own"))
+        of_comp = of_comp.select("h.label", "comp", "h.own", F.ceil(F.col("size") / BLOCK_SETS).alias("blocks"))
+        number = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks"))
+        dealt = members.join(of_comp, ["label", "comp"]).select(
+            "label", "node", "comp", "own", F.xxhash64("label", "own", number).alias("block")
+        )
+        dealt = self.scratch.store(dealt, f"dealt{self.round}")
+        blocks = dealt.select("label", "block", "own").distinct()
+        other = blocks.select("label", F.col("block").alias("block_b"), F.col("own").alias("own_b"))
+        meet = (
+            blocks.withColumnsRenamed({"block": "block_a", "own": "own_a"})
+            .join(other, "label")
+            .filter((F.col("block_a") <= F.col("block_b")) & F.expr("coalesce(own_a <> own_b, true)"))
+            .select("block_a", "block_b")
+        )
+        meet = self.scratch.store(meet, f"meet{self.round}")
+        whole = dealt.join(self.sets.select(F.col("id").alias("node"), "n", "shingles"), "node")
+        whole = self.scratch.store(whole.select("block", "comp", "n", "shingles"), f"whole{self.round}")
+        meet_b, whole_b = self.scratch.again(meet, f"meet{self.round}"), self.scratch.again(whole, f"whole{self.round}")
+        left = meet.join(whole.withColumnRenamed("block", "block_a"), "block_a").groupBy("block_a", "block_b")
+        right = meet_b.join(whole_b.withColumnRenamed("block", "block_b"), "block_b").groupBy("block_a", "block_b")
+        return left.cogroup(right).applyInArrow(_cross_blocks, "a long, b long")
+
     def all_links(self, open_: DataFrame) -> DataFrame:
         """Every pair of different components that shares as many prefix shingles as it must."""
         return self._linked(_pairs(open_))
@@ -427,10 +513,10 @@ class _Components:
     def _linked(self, pairs: DataFrame) -> DataFrame:
         """The components ca, cb of the pairs that link, as a, b; of the pairs a, b the side
         with fewer distinct sets should be b."""
-        left = self.sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-        right = self.sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+        left = self.sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+        right = self.sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
         both = pairs.join(left, "a").join(right, "b")
-        return both.mapInArrow(_verify, "a binary, b binary").distinct()
+        return both.mapInArrow(_verify, "a long, b long").distinct()
 
 
 def _pairs(open_: DataFrame) -> DataFrame:
@@ -453,23 +539,22 @@ def _pairs(open_: DataFrame) -> DataFrame:
 
 
 def component_labels(sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """node, label of every node that links with another."""
+    """node, label (digests) of every set that links with another."""
     parts = _Components(sets, scratch)
+    enough = PAIRS_PER_POSTING * parts.postings.count()
+    before = None
     while True:
-        open_ = scratch.store(parts.open_postings(), f"open{parts.round}-{len(parts.changes)}")
-        per = open_.groupBy("shingle", "comp").count().groupBy("shingle")
+        open_ = scratch.store(parts.open_postings(), f"open{parts.round}")
+        dense = open_.filter(F.col("held") > LONG_LIST)
+        per = dense.groupBy("shingle", "comp").count().groupBy("shingle")
         per = per.agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
-        row = per.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()
-        if not row[0]:
-            break
-        if parts.round >= MAX_ROUNDS or row[1] <= PAIRS_PER_POSTING * row[0]:
-            parts.unite(parts.all_links(open_))
-            break
-        if not parts.unite(parts.star_links(open_)):
-            # this choice of documents links nothing more: check all that is left
-            last = scratch.store(parts.open_postings(), f"open-last{parts.round}")
-            parts.unite(parts.all_links(last))
+        left = per.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
+        # when a round has not helped, no further one is tried: all that is left is checked
+        if left <= enough or (before is not None and left > HELPED * before) or not parts.unite(parts.star_links(dense)):
+            short = open_.filter(F.col("held") <= LONG_LIST)
+            parts.unite(parts.all_links(short).unionByName(parts.dense_links(dense)).distinct())
             break
+        before = left
     found = None
     for labels in parts.changes:
         if found is None:
@@ -478,8 +563,12 @@ def component_labels(sets: DataFrame, scratch: Scratch) -> DataFrame:
         later = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         new = labels.join(found.select("node"), "node", "left_anti")
         found = found.join(later, "label", "left").select("node", F.coalesce("next", "label").alias("label")).unionByName(new)
+    names = sets.select("id", "node")
     if found is None:
-        return sets.select("node", F.col("node").alias("label")).limit(0)
+        return names.limit(0).select("node", F.col("node").alias("label"))
+    digest = names.select(F.col("id").alias("label"), F.col("node").alias("top"))
+    own = names.withColumnRenamed("node", "digest").withColumnRenamed("id", "node")
+    found = found.join(digest, "label").join(own, "node").select(F.col("digest").alias("node"), F.col("top").alias("label"))
     return scratch.store(found, "labels")
 
 

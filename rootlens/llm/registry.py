@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rootlens.llm import bpe, jaccard, language, licenses, mixing, neighbours, quality, toxicity, url_rules, warc
+from rootlens.session import reach_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

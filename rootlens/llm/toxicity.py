@@ -45,7 +45,7 @@ BEGINNINGS = range(4, 10)
 MIN_TOXIC_ROWS = 4
 MIN_DEVIATIONS = 4.0
 #: Windows whose distance a worker remembers, and the longest one compressed in one piece.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 WINDOW_BYTES = 64
 LARGEST = 13
 #: Distances in saved bytes whose counts describe a text.
@@ -202,6 +202,7 @@ def _distance(model: Model) -> Distance:
     """The compressors, made once in each worker for the latest model."""
     key = (model.ordinary, model.toxic)
     if _built[0] != key:
+        _built[:] = [None, None]  # the old one goes before the new one is made
         _built[:] = [key, Distance(*key)]
     return _built[1]
 
