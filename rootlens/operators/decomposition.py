@@ -74,7 +74,7 @@ def comparison_dates(fact: DataFrame, target: str | dt.date | None = None) -> tu
     """``latest_pair`` as Python dates, for callers that need the values."""
     row = latest_pair(fact, target).first()
     if row is None:
-        raise ValueError("Not enough dates for comparison")
+        raise ValueError("two dates are needed for a comparison")
     return row["current_date"], row["previous_date"]
 
 

@@ -1367,9 +1367,7 @@ def _(s, d):
 _EV = f"'change ' || {sql_num('change', 2)} || ', contribution_pct ' || {sql_num('contribution_pct', 2)} || '%'"
 
 
-@query(
-    "d10_evidence_text",
-    f"""SELECT {PAIR}, string_agg(section, chr(10) || chr(10) ORDER BY dim_order) AS evidence FROM (
+_SHEETS = f"""SELECT metric, cur, prev, string_agg(section, chr(10) || chr(10) ORDER BY dim_order) AS evidence FROM (
     SELECT t.metric, t.cur, t.prev, t.dim_order, {sql_title('t.dimension')} || COALESCE(' -- ambiguous, reason: ' || c.reason, '') || chr(10)
       || '  total_change: ' || {sql_num('t.total_change', 2)} || ', total_change_pct: ' || {sql_num('t.total_change_pct', 2)} || '%' || chr(10) || l.lines
       || COALESCE(chr(10) || '  >>> ' || t.dimension || ' was drilled down because it was ambiguous at the level above. Use THIS breakdown, not '''
@@ -1378,14 +1376,28 @@ _EV = f"'change ' || {sql_num('change', 2)} || ', contribution_pct ' || {sql_num
     JOIN (SELECT metric, cur, prev, dimension, string_agg('    ' || segment || ': ' || {_EV}, chr(10) ORDER BY rank) AS lines FROM top GROUP BY ALL) l USING (metric, cur, prev, dimension)
     LEFT JOIN (SELECT metric, cur, prev, dimension, string_agg('      ' || segment || ' (source=''drill_down'', dimension=''' || dimension || '''): ' || {_EV}, chr(10) ORDER BY rank) AS lines
                FROM drill_top GROUP BY ALL) d USING (metric, cur, prev, dimension)
-    WHERE t.metric = 'total_revenue') GROUP BY metric, cur, prev""",
-)
+    ) GROUP BY metric, cur, prev"""
+
+
+@query("d10_evidence_text", f"SELECT {PAIR}, evidence FROM ({_SHEETS}) WHERE metric = 'total_revenue'")
 def _(s, d):
     dd = _decomposed(s, d)
     around = run.investigate(dd)
     return inv.evidence_text(dd.top, dd.totals, around.classified, around.drilled)
 
 
+@query(
+    "d10_evidence_history",
+    f"""SELECT e.metric, e.cur::VARCHAR AS "current_date", e.prev::VARCHAR AS previous_date, e.evidence
+      || COALESCE(chr(10) || chr(10) || 'Prior anomalies on this metric (for comparison only, not a cause):' || chr(10) || h.past, '') AS evidence
+    FROM ({_SHEETS}) e JOIN last_pair p ON p.cur = e.cur LEFT JOIN (
+      SELECT metric, string_agg('    ' || metric_date::VARCHAR || ': ' || direction || ', ' || COALESCE({sql_num('change_pct', 2)} || '%', 'n/a') || ' change', chr(10) ORDER BY metric_date) AS past
+      FROM scored_30 WHERE is_anomaly AND metric_date <> (SELECT cur FROM last_pair) GROUP BY metric) h ON h.metric = e.metric""",
+)
+def _(s, d):
+    return _daily(s, d, run_investigation=True).evidence
+
+
 @query("d11_citation_errors", f"SELECT {PAIR}, position, error FROM errors")
 def _(s, d):
     _, around, citations, notes = _statements(s, d)
@@ -1420,6 +1432,8 @@ def _(s, d):
     """SELECT m.metric, p.cur::VARCHAR AS "current_date", p.prev::VARCHAR AS previous_date,
     CASE WHEN go THEN 'completed' ELSE 'skipped_no_anomaly' END AS status, CASE WHEN go THEN t.summary END AS summary,
     CASE WHEN go THEN d.dimension END AS driver_dimension, CASE WHEN go THEN d.segment END AS driver_segment,
+    CASE WHEN go THEN t."full" END AS "full", CASE WHEN go THEN t.slack END AS slack, CASE WHEN go THEN t.email_subject END AS email_subject,
+    CASE WHEN go THEN d.change END AS driver_change, CASE WHEN go THEN d.change_pct END AS driver_change_pct,
     CASE WHEN go THEN d.contribution_pct END AS driver_contribution_pct, CASE WHEN go THEN f.investigation_summary END AS investigation_summary,
     CASE WHEN go AND f.investigation_summary IS NOT NULL THEN TRUE END AS grounding_failed
     FROM (SELECT *, anomaly_count > 0 AS go FROM stats_30) m JOIN last_pair p ON TRUE
@@ -1492,6 +1506,22 @@ def _(s, d):
     return run.run_summary(_daily(s, d).report)
 
 
+@query(
+    "r06_investigation",
+    """SELECT t.metric, t.cur::VARCHAR AS "current_date", t.prev::VARCHAR AS previous_date, 'completed' AS status, t.summary, t."full", t.slack, t.email_subject,
+    d.dimension AS driver_dimension, d.segment AS driver_segment, d.contribution_pct AS driver_contribution_pct, d.change AS driver_change,
+    d.change_pct AS driver_change_pct, f.investigation_summary, TRUE AS grounding_failed
+    FROM texts t JOIN (SELECT * FROM pairs ORDER BY cur DESC LIMIT 1 OFFSET 1) p ON p.cur = t.cur
+    LEFT JOIN drivers d ON d.metric = t.metric AND d.cur = t.cur LEFT JOIN fallback f ON f.metric = t.metric AND f.cur = t.cur
+    WHERE t.metric = 'total_revenue'""",
+)
+def _(s, d):
+    base = _scratch(s)
+    tables = _built(s, d, base)
+    days = [r["metric_date"].isoformat() for r in explore.selectable_dates(tables[RETAIL.fact_table]).limit(3).collect()]
+    return run.investigate_pair(tables, RETAIL, "total_revenue", days[1], days[2], STAMP)
+
+
 @query(
     "r03_kpi_cards",
     f"""SELECT metric, "current_date", previous_date, {sql_title("replace(metric, '_', ' ')")} AS label,

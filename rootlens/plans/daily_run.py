@@ -20,7 +20,8 @@ from rootlens.operators import narrative as nar
 from rootlens.sources import sinks
 from rootlens.spec import DEFAULT_LOOKBACK, DEFAULT_THRESHOLD, DatasetSpec
 
-NO_DATES = "Not enough dates for comparison"
+NO_DATES = "Two dates are needed for a comparison"
+TEXTS = ["summary", "full", "slack", "email_subject"]
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ def investigate(d: dec.Decomposition, store: dec.Store | None = None) -> Investi
 def investigation_result(
     gate: DataFrame, pairs: DataFrame, texts: DataFrame, drivers: DataFrame, summaries: DataFrame
 ) -> DataFrame:
-    """One record per metric and pair: status, texts, driver and summary.
+    """One record per metric and pair: status, all texts, driver with its figures, and summary.
 
     ``pairs`` carries PAIR; ``summaries`` holds investigation_summary and
     grounding_failed. A metric the gate stops keeps only its status.
@@ -57,18 +58,22 @@ def investigation_result(
         F.col("dimension").alias("driver_dimension"),
         F.col("segment").alias("driver_segment"),
         F.col("contribution_pct").alias("driver_contribution_pct"),
+        F.col("change").alias("driver_change"),
+        F.col("change_pct").alias("driver_change_pct"),
     )
     joined = (
         pairs.join(gate.select("metric", "proceed"), "metric")
-        .join(texts.select(*dec.PAIR, "summary"), dec.PAIR, "left")
+        .join(texts.select(*dec.PAIR, *TEXTS), dec.PAIR, "left")
         .join(driver, dec.PAIR, "left")
         .join(summaries, dec.PAIR, "left")
     )
     shown = [
-        "summary",
+        *TEXTS,
         "driver_dimension",
         "driver_segment",
         "driver_contribution_pct",
+        "driver_change",
+        "driver_change_pct",
         "investigation_summary",
         "grounding_failed",
     ]
@@ -111,6 +116,31 @@ class DailyRun:
     alerts: DataFrame
     report: DataFrame
     investigation: DataFrame | None
+    evidence: DataFrame | None
+
+
+def investigate_pair(
+    tables: Mapping[str, DataFrame],
+    spec: DatasetSpec,
+    metric: str,
+    current: str,
+    previous: str,
+    generated_at: str,
+    threshold: float = DEFAULT_THRESHOLD,
+    force: bool = True,
+    statements: Statements | None = None,
+) -> DataFrame:
+    """An investigation asked for by a person: one metric and pair, by default whatever detection says."""
+    fact = tables[spec.fact_table]
+    found = det.run_detection(fact, [metric], threshold=threshold)
+    pairs = dec.given_pair(fact, current, previous)
+    d = dec.decompose(tables, spec, [metric], pairs)
+    texts = nar.narratives(d.totals, d.top, dec.top_driver(d.top), generated_at)
+    around = investigate(d)
+    asked = pairs.select(F.lit(metric).alias("metric"), "current_date", "previous_date")
+    summaries = summarize(around, asked, statements)
+    gate = inv.investigation_gate(found.statistics, force)
+    return investigation_result(gate, asked, texts, around.drivers, summaries)
 
 
 def daily_run(
@@ -150,14 +180,16 @@ def daily_run(
         .join(report.select(*dec.PAIR, "alert_status"), dec.PAIR)
         .filter("alert_status <> 'skipped'")
     )
-    investigated = None
+    investigated = evidence = None
     if run_investigation:
         around = investigate(d, store)
         gate = inv.investigation_gate(found.statistics, force_alert)
         asked = run_pairs.filter("current_date IS NOT NULL").select(*dec.PAIR)
         summaries = summarize(around, asked, statements)
         investigated = investigation_result(gate, asked, texts, around.drivers, summaries)
-    return DailyRun(found, d, texts, alerts, report, investigated)
+        history = det.prior_anomalies(found.scored, asked)
+        evidence = inv.evidence_text(d.top, d.totals, around.classified, around.drilled, history)
+    return DailyRun(found, d, texts, alerts, report, investigated, evidence)
 
 
 def _anomaly_pairs(fact: DataFrame, found: det.Detection) -> DataFrame:

@@ -150,7 +150,7 @@ def test_pairs_skip_missing_days_and_respect_the_target(spark):
     fact = tables(spark)["fact"]
     assert dec.comparison_dates(fact) == (D3, D2)
     assert dec.comparison_dates(fact, "2024-01-04") == (D2, D1)
-    with pytest.raises(ValueError, match="Not enough dates"):
+    with pytest.raises(ValueError, match="two dates are needed"):
         dec.comparison_dates(fact, "2024-01-01")
     with pytest.raises(ValueError):
         dec.latest_pair(fact, "01/02/2024")
