@@ -45,7 +45,7 @@ BEGINNINGS = range(4, 10)
 MIN_TOXIC_ROWS = 4
 MIN_DEVIATIONS = 4.0
 #: Windows whose distance a worker remembers, and the longest one compressed in one piece.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 WINDOW_BYTES = 64
 LARGEST = 13
 #: Distances in saved bytes whose counts describe a text.
