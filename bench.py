@@ -18,6 +18,7 @@ from rootlens.operators import decomposition as dec  # noqa: E402
 from rootlens.operators import detection as det  # noqa: E402
 from rootlens.operators import marts as mt  # noqa: E402
 from rootlens.operators import narrative as nar  # noqa: E402
+from rootlens.operators import profiling as prof  # noqa: E402
 from rootlens.operators import quality as qa  # noqa: E402
 from rootlens.plans import daily_run as run  # noqa: E402
 from rootlens.plans import onboarding as onb  # noqa: E402
@@ -73,10 +74,21 @@ def main() -> None:
         store = sinks.store_under(f"{base}/daily")
         consume(run.daily_run(tables, RETAIL, ["total_revenue"], STAMP, store=store).report)
 
+    # the reference's two parts apart: the first call profiles and assigns roles, the
+    # second one, with the roles stored, generates the tables and reconciles them
     def onboard():
         events = star.read_table(spark, sf_dir, "events")
         onb.onboard(events, "events", f"{base}/onboard", exact_scale=2)
 
+    def one_narrative():
+        d = tables["_pair"]
+        consume(nar.narratives(d.totals, d.top, dec.top_driver(d.top), STAMP))
+
+    def stored_pair():
+        store = sinks.store_under(f"{base}/one-pair")
+        pair = dec.latest_pair(tables[RETAIL.fact_table])
+        tables["_pair"] = dec.decompose(tables, RETAIL, ["total_revenue"], pair, store)
+
     steps = {
         "fact_daily_metrics": lambda: consume(marts()["fact_daily_metrics"]),
         "metric_by_geography": lambda: consume(marts()["metric_by_geography"]),
@@ -93,7 +105,11 @@ def main() -> None:
         "narratives_all_pairs": all_narratives,
         "investigate_all_pairs": investigate_all,
         "daily_run": daily,
+        "decompose_and_store_one_pair": stored_pair,
+        "narrative_one_pair": one_narrative,
         "onboard_events": onboard,
+        "generate_and_reconcile_events": onboard,
+        "profile_lineitem": lambda: consume(prof.profile_columns(star.read_table(spark, sf_dir, "lineitem"))),
     }
     seconds = {}
     for name, step in steps.items():
