@@ -19,8 +19,13 @@ def _others(docs: DataFrame) -> tuple[str, ...]:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; texts without letters go."""
-    judged = language.identify(docs, language.train(docs), keep=_others(docs))
+    """Documents in a language that the labelled ones teach; texts without letters go.
+
+    If no document teaches a language, every text with a letter stays."""
+    samples = language.train(docs)
+    if not samples:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    judged = language.identify(docs, samples, keep=_others(docs))
     return judged.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
