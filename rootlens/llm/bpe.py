@@ -28,19 +28,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rootlens.llm import textops as tx
+from rootlens.llm.worker import held
 
 DEFAULT = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 SLICE_BYTES = 1 << 20
 #: Tokens decoded by one query; a longer document stands alone.
-SLICE_TOKENS = 1 << 19
+SLICE_TOKENS = 1 << 18
 #: Bytes of words in one recursive query, and contractions of a word before its rows are
 #: taken out and put in again, so that the rows of finished steps do not pile up.
-QUERY_BYTES = 1 << 18
+QUERY_BYTES = 1 << 17
 QUERY_STEPS = 64
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
-MEMORY_MB = 400
+REMEMBERED = 300_000
+MEMORY_MB = 250
 
 ENCODE = f"""
 WITH RECURSIVE step(word, pos, token, following, steps, done) AS (
@@ -91,14 +92,23 @@ def load(path: str = DEFAULT, pattern: str = public_tokenizers.PATTERN) -> Vocab
 
 
 class Coder:
-    """The vocabulary as tables of a private in-memory database, and remembered words."""
+    """The vocabulary as tables of a private in-memory database, made as they are needed,
+    and remembered words."""
 
     def __init__(self, vocabulary: Vocabulary):
         ranks = self.ranks = vocabulary.ranks
         self.pattern = regex.compile(vocabulary.pattern)
         self.database = duckdb.connect(":memory:")
         self.database.execute(f"SET threads = 1; SET memory_limit = '{MEMORY_MB}MB'")
-        left, right, merged = [], [], []
+        self.single = np.array([ranks[bytes([x])] for x in range(256)], np.int32)
+        self.made: set[str] = set()
+        self.forget()
+
+    def _merges(self) -> None:
+        """The merge table: every way to put a token together from two others."""
+        if "merges" in self.made:
+            return
+        ranks, left, right, merged = self.ranks, [], [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
@@ -107,18 +117,20 @@ class Coder:
                     right.append(b)
                     merged.append(rank)
         self._table("merges", token=left, following=right, merged=merged)
-        ids = list(ranks.values())
-        # a byte is written as the character 256 places on, so any bytes make a string
-        names = pa.array(["".join(chr(256 + x) for x in token) for token in ranks], pa.string())
-        self._table("pieces", id=ids, piece=names)
-        self.single = np.array([ranks[bytes([x])] for x in range(256)], np.int32)
-        self.forget()
+
+    def _pieces(self) -> None:
+        """The bytes of every id; a byte is written as the character 256 places on, so any
+        bytes make a string."""
+        if "pieces" not in self.made:
+            names = pa.array(["".join(chr(256 + x) for x in token) for token in self.ranks], pa.string())
+            self._table("pieces", id=list(self.ranks.values()), piece=names)
 
     def _table(self, name: str, **columns) -> None:
         made = {k: v if isinstance(v, pa.Array) else pa.array(v, pa.int32()) for k, v in columns.items()}
         self.database.register("given", pa.table(made))
         self.database.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.database.unregister("given")
+        self.made.add(name)
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
@@ -127,6 +139,7 @@ class Coder:
 
     def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids by word), by the recursive query."""
+        self._merges()
         size = np.array([len(w) for w in words])
         token = self.single[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words), dtype=np.int32), size)
@@ -182,6 +195,7 @@ class Coder:
 
     def decode(self, ids: np.ndarray, off: np.ndarray) -> list[bytes | None]:
         """The bytes of each document; None if it has an id that is not in the vocabulary."""
+        self._pieces()
         n = np.diff(off)
         rows = {"doc": tx.docs_of(off).astype(np.int32), "pos": np.arange(len(ids), dtype=np.int64), "id": ids}
         self.database.register("tokens_in", pa.table(rows))
@@ -194,18 +208,8 @@ class Coder:
         return out
 
 
-_built: list = [None, None]
-
-
-def _coder(key: int, vocabulary: Vocabulary) -> Coder:
-    """The worker's database, made once for the latest vocabulary."""
-    if _built[0] != key:
-        _built[:] = [key, Coder(vocabulary)]
-    return _built[1]
-
-
 def _key(vocabulary: Vocabulary) -> int:
-    return hash((vocabulary.pattern, tuple(vocabulary.ranks.items())))
+    return hash(("bpe", vocabulary.pattern, tuple(vocabulary.ranks.items())))
 
 
 def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -222,7 +226,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "tex
     schema = rows.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(key, sent.value)
+        coder = held(key, lambda: Coder(sent.value))
         for whole in batches:
             for batch in tx.slices(whole, "_text", SLICE_BYTES):
                 raw = batch.column("_text").cast(pa.large_binary()).to_pylist()
@@ -244,7 +248,7 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids", k
     schema = rows.select(*keep).schema.add("data", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(key, sent.value)
+        coder = held(key, lambda: Coder(sent.value))
         for batch in batches:
             at = 0
             lists = batch.column("_ids")

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from rootlens.llm import textops as tx
 from rootlens.llm.frames import id_hash, only
+from rootlens.llm.worker import held
 
 #: Training: rows of a language, characters of a row, characters of a language after cleaning.
 ROWS_PER_LANGUAGE = 64
@@ -188,29 +189,20 @@ class Parser:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
 
-_built: dict[int, Parser] = {}
-
-
-def _parser(key: int, samples: dict[str, list[str]]) -> Parser:
-    """The automata, built once in each worker; only the latest are kept."""
-    if key not in _built:
-        _built.clear()
-        _built[key] = Parser(samples)
-    return _built[key]
-
-
 def held_out(column: str = "doc_id"):
     return F.pmod(id_hash(column), F.lit(3)) == 1
 
 
 def train(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang") -> dict[str, list[str]]:
     """The labelled sample: for each language at most ROWS_PER_LANGUAGE beginnings of
-    CHARS_PER_ROW characters, of documents that are not held out. Spark keeps only
+    CHARS_PER_ROW characters, of documents that are not held out and hold a letter there.
+    Spark keeps only
     that many rows of a language in each task before they meet."""
     rows = (
         only(documents, doc_id=id_column, text=text_column, lang=language_column)
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
         .select("lang", "doc_id", F.substring("text", 1, CHARS_PER_ROW).alias("text"))
+        .filter(F.col("text").rlike(r"\p{L}"))
         .withColumn("order", F.xxhash64("doc_id", "text"))
     )
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
@@ -254,7 +246,7 @@ def identify(
         schema = schema.add(field)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(key, sent.value)
+        parser = held(("language", key), lambda: Parser(sent.value))
         for whole in batches:
             for batch in tx.slices(whole, "_text", SLICE_BYTES):
                 data, off = tx.flat(batch.column("_text"))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from rootlens.llm import textops as tx
 from rootlens.llm.frames import id_hash
 from rootlens.llm.labelled import labelled_sample
+from rootlens.llm.worker import held
 
 #: Training: rows of each label value, characters of a row, ordinary windows.
 ROWS_PER_CLASS = 1500
@@ -164,16 +165,16 @@ def fit(sample: dict[int, list[str]], toxic_share: float) -> Model:
     if not sample[0] or not sample[1]:
         return Model(b" ", b" ", np.eye(size)[0] * (30.0 if sample[1] else -30.0))
     fitted = {y: [t for i, t in enumerate(sample[y]) if i % CALIBRATE_ONE_IN] or sample[y] for y in (0, 1)}
-    held = {y: sample[y][::CALIBRATE_ONE_IN] for y in (0, 1)}
+    calibrated = {y: sample[y][::CALIBRATE_ONE_IN] for y in (0, 1)}
     found = [w for text in fitted[0] for w in windows(text)]
     order = np.random.Generator(np.random.PCG64(5)).permutation(len(found))[:ORDINARY_WINDOWS]
     ordinary = _dictionary(ORDINARY_BYTES, [found[i] for i in order])
     toxic = _dictionary(TOXIC_BYTES, _toxic_windows(fitted[0], fitted[1]))
     distance = Distance(ordinary, toxic)
-    x = _features(np.array([distance.histogram(t) for y in (0, 1) for t in held[y]]))
-    y = np.repeat([0.0, 1.0], [len(held[0]), len(held[1])])
+    x = _features(np.array([distance.histogram(t) for y in (0, 1) for t in calibrated[y]]))
+    y = np.repeat([0.0, 1.0], [len(calibrated[0]), len(calibrated[1])])
     # each class weighs as much as it does among all labelled rows
-    each = np.where(y == 1, toxic_share / len(held[1]), (1 - toxic_share) / len(held[0])) * len(y)
+    each = np.where(y == 1, toxic_share / len(calibrated[1]), (1 - toxic_share) / len(calibrated[0])) * len(y)
     weights = np.zeros(size)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
@@ -195,18 +196,6 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     return fit(sample, min(0.99, max(0.01, 0.5 if share is None else share)))
 
 
-_built: list = [None, None]
-
-
-def _distance(model: Model) -> Distance:
-    """The compressors, made once in each worker for the latest model."""
-    key = (model.ordinary, model.toxic)
-    if _built[0] != key:
-        _built[:] = [None, None]  # the old one goes before the new one is made
-        _built[:] = [key, Distance(*key)]
-    return _built[1]
-
-
 def judge(
     documents: DataFrame,
     model: Model,
@@ -234,7 +223,8 @@ def judge(
             schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distance = _distance(sent.value)
+        model = sent.value
+        distance = held(("toxicity", model.ordinary, model.toxic), lambda: Distance(model.ordinary, model.toxic))
         for whole in batches:
             for batch in tx.slices(whole, "_text", SLICE_BYTES):
                 texts = batch.column("_text").cast(pa.large_binary()).to_pylist()
