@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rootlens.llm import textops as tx
+from rootlens.llm.frames import small_batches
 from rootlens.llm.worker import held
 
 DEFAULT = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -221,6 +222,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "tex
     ignored. Texts are encoded whole; the work on one word grows with the square
     of its length.
     """
+    small_batches(documents)
     sent, key = documents.sparkSession.sparkContext.broadcast(vocabulary), _key(vocabulary)
     rows = documents.select(*[documents[c] for c in keep], documents[text_column].alias("_text"))
     schema = rows.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))

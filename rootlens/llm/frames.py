@@ -24,6 +24,18 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
 
+#: Bytes of rows that go to a Python worker at once. A worker, and Spark's side of the pipe,
+#: hold a few times as much.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(frame: DataFrame) -> None:
+    """Send the session's texts to Python in batches of BATCH_BYTES, unless it asks for less."""
+    conf, key = frame.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("bB")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rootlens.llm import textops as tx
-from rootlens.llm.frames import id_hash, only
+from rootlens.llm.frames import id_hash, only, small_batches
 from rootlens.llm.worker import held
 
 #: Training: rows of a language, characters of a row, characters of a language after cleaning.
@@ -231,13 +231,14 @@ def identify(
     and counts as the empty text for held_out; repeated rows are judged each; an
     empty table gives no rows; other columns are ignored. Texts are parsed whole.
     """
-    spark = documents.sparkSession
-    sent = spark.sparkContext.broadcast(samples)
+    small_batches(documents)
+    sent = documents.sparkSession.sparkContext.broadcast(samples)
     key = hash(tuple((k, tuple(v)) for k, v in sorted(samples.items())))
+    text = text_column if text_column in keep else "_text"
     rows = documents.select(
         documents[id_column].alias("doc_id"),
         held_out(id_column).alias("held_out"),
-        documents[text_column].alias("_text"),
+        *([] if text in keep else [documents[text_column].alias(text)]),
         *[documents[c] for c in keep],
     )
     kept = [f for f in rows.schema.fields if f.name in keep]
@@ -248,8 +249,8 @@ def identify(
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = held(("language", key), lambda: Parser(sent.value))
         for whole in batches:
-            for batch in tx.slices(whole, "_text", SLICE_BYTES):
-                data, off = tx.flat(batch.column("_text"))
+            for batch in tx.slices(whole, text, SLICE_BYTES):
+                data, off = tx.flat(batch.column(text))
                 found, score = parser.predict(data, off)
                 columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.string()), pa.array(score), *(batch.column(c) for c in keep)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score", *keep])

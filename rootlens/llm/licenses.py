@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rootlens.llm import textops as tx
+from rootlens.llm.frames import small_batches
 
 MIN_COVERAGE = 0.8
 SLICE_BYTES = 1 << 21
@@ -210,6 +211,7 @@ def scan_licenses(
     first; a template without words is left out; a null id stays null; repeated
     rows are scanned each; an empty table gives no rows; other columns are ignored.
     """
+    small_batches(documents)
     rows = documents.select(documents[id_column].cast("long").alias("doc_id"), documents[text_column].alias("_text"))
     held = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("n_matched", pa.int32()), ("first_word", pa.int32()), ("last_word", pa.int32())])
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootlens.llm import textops as tx
-from rootlens.llm.frames import only
+from rootlens.llm.frames import only, small_batches
 from rootlens.llm.labelled import labelled_sample
 
 #: Training: rows of each label value, characters of a row.
@@ -218,6 +218,7 @@ def assess(
     id stays null; repeated rows are judged each; an empty table gives no rows;
     other columns are ignored. Texts are read whole, in slices of rows.
     """
+    small_batches(documents)
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

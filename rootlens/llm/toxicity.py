@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rootlens.llm import textops as tx
-from rootlens.llm.frames import id_hash
+from rootlens.llm.frames import id_hash, small_batches
 from rootlens.llm.labelled import labelled_sample
 from rootlens.llm.worker import held
 
@@ -210,11 +210,13 @@ def judge(
     the empty text for held_out; repeated rows are judged each; an empty table
     gives no rows; other columns are ignored. Texts are read whole.
     """
+    small_batches(documents)
     sent = documents.sparkSession.sparkContext.broadcast(model)
+    text = text_column if text_column in keep else "_text"
     rows = documents.select(
         documents[id_column].alias("doc_id"),
         held_out(id_column).alias("held_out"),
-        documents[text_column].alias("_text"),
+        *([] if text in keep else [documents[text_column].alias(text)]),
         *[documents[c] for c in keep],
     )
     schema = rows.select("doc_id", "held_out").schema.add("score", "double").add("predicted", "integer")
@@ -226,8 +228,8 @@ def judge(
         model = sent.value
         distance = held(("toxicity", model.ordinary, model.toxic), lambda: Distance(model.ordinary, model.toxic))
         for whole in batches:
-            for batch in tx.slices(whole, "_text", SLICE_BYTES):
-                texts = batch.column("_text").cast(pa.large_binary()).to_pylist()
+            for batch in tx.slices(whole, text, SLICE_BYTES):
+                texts = batch.column(text).cast(pa.large_binary()).to_pylist()
                 found = [distance.histogram(None if t is None else t.decode("utf-8", "replace")) for t in texts]
                 score = sent.value.scores(np.array(found))
                 columns = [
