@@ -1,16 +1,19 @@
 """License scan by patience alignment of texts with license templates.
 
 Words are runs of ASCII letters and digits in lower case, or of other characters'
-bytes. A template is compared with windows of the text, twice as long as the
-template and one template apart, so that a notice may stand anywhere and more
-than once. Words that a window and the template both hold exactly once are the
-anchors; the longest increasing run of anchors is kept, and each gap between two
-of them is aligned in the same way, after the equal words next to its anchors.
-Coverage is the share of the template's words that are aligned.
-
-A window is skipped only if the words it shares with the template are too few
-for the least coverage, whatever their order. Spark deals out the documents and
-nothing is shuffled; the templates are a fixed list.
+bytes. A template is compared with windows of the text twice as long as the
+template, one from each word of the text that the template holds, so that a notice
+is found alike wherever it stands, and more than once. Words that a window and the
+template both hold exactly once are the anchors; the longest increasing run of
+anchors is kept, and each gap between two of them is aligned in the same way, after
+the equal words next to its anchors. At both ends the alignment goes on, over the
+window's edges too, while a further word of it stands within a template's length.
+Coverage is the share of the template's words that are aligned. So a notice counts
+if twice its template's length of text somewhere holds the least coverage.
+
+A window is skipped only if it cannot do better: by the words it shares with the
+template, whatever their order, or by their longest common subsequence. Spark deals
+out the documents and nothing is shuffled; the templates are a fixed list.
 """
 
 from __future__ import annotations
@@ -103,10 +106,22 @@ def increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def align(text: list[int], template: list[int]) -> list[tuple[int, int]]:
-    """Pairs (index in text, index in template) of aligned words, rising in both."""
+def common(text: list[int], places: dict[int, int], size: int) -> int:
+    """Words of a longest common subsequence with a template of ``size`` words; no alignment
+    has more. ``places`` has a bit for each place of a word in the template."""
+    every = (1 << size) - 1
+    free = every
+    for word in text:
+        met = free & places[word]
+        free = ((free + met) | (free - met)) & every
+    return size - free.bit_count()
+
+
+def align(text: list[int], template: list[int], left: bool = False, right: bool = False) -> list[tuple[int, int]]:
+    """Pairs (index in text, index in template) of aligned words, rising in both; ``left`` and
+    ``right`` tell whether an aligned word stands next to that end of both."""
     out: list[tuple[int, int]] = []
-    gaps = [(0, len(text), 0, len(template), False, False)]
+    gaps = [(0, len(text), 0, len(template), left, right)]
     while gaps:
         a, b, c, d, left, right = gaps.pop()
         # equal words next to an anchor belong to it
@@ -145,6 +160,61 @@ class Scanner:
         self.templates = [np.searchsorted(self.vocabulary, h) for h in hashed.values()]
         self.members = [np.isin(np.arange(len(self.vocabulary)), t) for t in self.templates]
         self.counts = [np.bincount(t, minlength=len(self.vocabulary)) for t in self.templates]
+        self.places = [{int(w): sum(1 << int(j) for j in np.flatnonzero(t == w)) for w in set(t)} for t in self.templates]
+
+    def _shared(self, k: int, where: np.ndarray, found: np.ndarray, doc: np.ndarray, woff: np.ndarray) -> np.ndarray:
+        """For the window from each word, how many words it shares with the template, as multisets.
+
+        An occurrence counts in the windows that begin after the one as many places
+        before it as the template holds the word."""
+        order = np.lexsort((found, doc))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(found[order]) != 0) | (np.diff(doc[order]) != 0)
+        group = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        back = np.arange(len(order)) - self.counts[k][found[order]]
+        first = np.searchsorted(where, np.maximum(where - 2 * len(self.templates[k]) + 1, woff[doc]))
+        after = np.zeros(len(order), np.int64)
+        after[order] = np.where(back >= group, order[np.maximum(back, 0)] + 1, 0)
+        change = np.bincount(np.maximum(first, after), minlength=len(where) + 1)
+        change[1:] -= 1
+        return np.cumsum(change)[:-1]
+
+    def _best(self, k: int, need: int, run: np.ndarray, ends: np.ndarray, shared: np.ndarray, found: np.ndarray) -> list[tuple[int, int]]:
+        """The alignment with most words, then the first one, among the windows from the words of ``run``."""
+        template = self.templates[k].tolist()
+        best: list[tuple[int, int]] = []
+        for s in run[np.argsort(-shared[run], kind="stable")].tolist():
+            if shared[s] < len(best):
+                break
+            if shared[s] == len(best) and s >= best[0][0]:
+                continue
+            window = found[s : ends[s]].tolist()
+            most = common(window, self.places[k], len(template))
+            if most < need or most < len(best) or (most == len(best) and s >= best[0][0]):
+                continue
+            pairs = [(s + i, j) for i, j in align(window, template)]
+            if len(pairs) >= need and (not best or (len(pairs), -pairs[0][0]) > (len(best), -best[0][0])):
+                best = pairs
+        return best
+
+    def _beyond(self, k: int, pairs: list[tuple[int, int]], where: np.ndarray, found: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
+        """The alignment with what follows it and stands before it, as far as each next word
+        is at most a template's length away within the document from ``low`` to ``high``."""
+        template = self.templates[k].tolist()
+        size = len(template)
+        added = [(0, 0)]
+        while added:  # to the right
+            i, j = pairs[-1]
+            end = int(np.searchsorted(where, min(where[i] + size + 1, high)))
+            added = [(i + 1 + x, j + 1 + y) for x, y in align(found[i + 1 : end].tolist(), template[j + 1 :], left=True)]
+            pairs = pairs + added
+        added = [(0, 0)]
+        while added:  # to the left
+            i, j = pairs[0]
+            start = int(np.searchsorted(where, max(where[i] - size, low)))
+            added = [(start + x, y) for x, y in align(found[start:i].tolist(), template[:j], right=True)]
+            pairs = added + pairs
+        return pairs
 
     def scan(self, hashes: np.ndarray, woff: np.ndarray) -> list[list[tuple]]:
         """For each document its (coverage, matched, license, first word, last word), best first."""
@@ -156,32 +226,30 @@ class Scanner:
         at = np.flatnonzero(self.vocabulary[place] == hashes)
         ids = place[at]
         for k, template in enumerate(self.templates):
-            need = int(np.ceil(self.min_coverage * len(template)))
+            need = max(1, int(np.ceil(self.min_coverage * len(template))))
             own = self.members[k][ids]
             where, found = at[own], ids[own]
             if len(where) < need:
                 continue
             doc = np.searchsorted(woff, where, "right") - 1
-            # windows that begin at or before a word of the template, on the document's grid
-            block = (where - woff[doc]) // len(template)
-            starts = np.unique(np.concatenate([woff[doc] + b * len(template) for b in (block, np.maximum(block - 1, 0))]))
-            doc = np.searchsorted(woff, starts, "right") - 1
-            ends = np.minimum(starts + 2 * len(template), woff[doc + 1])
-            first, last = np.searchsorted(where, starts), np.searchsorted(where, ends)
+            ends = np.searchsorted(where, np.minimum(where + 2 * len(template), woff[doc + 1]))
+            shared = self._shared(k, where, found, doc, woff)
+            starts = np.flatnonzero(shared >= need)
+            if not len(starts):
+                continue
             best: dict[int, tuple] = {}
-            for w in np.flatnonzero(last - first >= need):
-                window = found[first[w] : last[w]]
-                if np.minimum(np.bincount(window, minlength=len(self.vocabulary)), self.counts[k]).sum() < need:
-                    continue
-                pairs = align(window.tolist(), template.tolist())
-                if len(pairs) < need:
+            for run in np.split(starts, np.flatnonzero((np.diff(starts) > 1) | (np.diff(doc[starts]) > 0)) + 1):
+                pairs = self._best(k, need, run, ends, shared, found)
+                if not pairs:
                     continue
-                base = woff[doc[w]]
-                span = where[first[w] + pairs[0][0]] - base, where[first[w] + pairs[-1][0]] - base
+                d = int(doc[run[0]])
+                base = woff[d]
+                pairs = self._beyond(k, pairs, where, found, base, woff[d + 1])
+                span = where[pairs[0][0]] - base, where[pairs[-1][0]] - base
                 row = (len(pairs) / len(template), len(pairs), self.names[k], int(span[0]), int(span[1]))
-                held = best.get(int(doc[w]))
+                held = best.get(d)
                 if held is None or (row[0], -row[3]) > (held[0], -held[3]):
-                    best[int(doc[w])] = row
+                    best[d] = row
             for d, row in best.items():
                 out[d].append(row)
         for rows in out:

@@ -1,5 +1,6 @@
 """Byte-pair coding, license scans and the pipeline."""
 
+import collections
 import hashlib
 import random
 
@@ -145,6 +146,59 @@ def test_scan_finds_what_is_planted(spark):
         assert (got[r.doc_id] in held) if held else got[r.doc_id] is None
 
 
+def scanned(scanner, words):
+    return scanner.scan(*licenses.word_hashes(*tx.flat(pa.array([" ".join(words)]))))[0]
+
+
+def test_added_words_count_alike_at_every_offset():
+    random.seed(5)
+    names = [f"t{i}" for i in range(100)]
+    scanner = licenses.Scanner({"t": " ".join(names)}, 0.8)
+    # 85 words with 55 others between them; marks and numbers in each line; a clause; a span of 2.3 templates
+    spread = sorted(random.sample(range(140), 85))
+    notices = [
+        [f"t{spread.index(i)}" if i in spread else "n" for i in range(140)],
+        [x for i, t in enumerate(names) for x in ([t] if i % 9 else ["dnl", str(i), t])],
+        names[:50] + ["n"] * 95 + names[50:],
+        names[:90] + ["n"] * 70 + names[90:95] + ["n"] * 60 + names[95:],
+        ["n", "n", "t3"] + names[:2] + ["n"] * 60 + names[2:6] + ["n"] * 60 + names[6:],
+    ]
+    for notice in notices:
+        at = [i for i, w in enumerate(notice) if w[0] == "t"]
+        seen = set()
+        for offset in range(220):
+            (row,) = scanned(scanner, ["n"] * offset + notice + ["n"] * 250)
+            seen.add((row[1], row[3] - offset, row[4] - offset))
+        held = [w for w in notice if w[0] == "t"]
+        if held.count("t3") == 1:
+            assert seen == {(len(held), at[0], at[-1])}
+        else:
+            assert seen == {(100, at[1], at[-1])}
+
+
+def test_windows_match_brute_force():
+    random.seed(6)
+    names = [f"t{i}" for i in range(12)] + ["t0", "t3"]
+    scanner = licenses.Scanner({"t": " ".join(names)}, 0.7)
+    template = scanner.templates[0].tolist()
+    for _ in range(300):
+        parts = [[w for t in names for w in ([t] * (random.random() < 0.85) + ["n"] * random.randrange(3))] for _ in range(2)]
+        words = [random.choice(["n", "t0", "t3", "t5"]) for _ in range(random.randrange(40))] + parts[0] + ["n"] * random.randrange(9) + parts[1]
+        at = [i for i, w in enumerate(words) if w != "n"]
+        hashes, _ = licenses.word_hashes(*tx.flat(pa.array([" ".join(words)])))
+        ids = [int(i) for i in scanner.vocabulary.searchsorted(hashes[at])]
+        aligned = []
+        for i, start in enumerate(at):
+            window = [x for x, place in zip(ids[i:], at[i:], strict=True) if place < start + 2 * len(names)]
+            pairs = licenses.align(window, template)
+            shared = sum((collections.Counter(window) & collections.Counter(template)).values())
+            assert len(pairs) <= longest_common(window, template) == licenses.common(window, scanner.places[0], len(template)) <= shared
+            aligned.append(len(pairs))
+        found = scanned(scanner, words)
+        assert bool(found) == (max(aligned, default=0) >= 0.7 * len(names))
+        assert not found or found[0][1] >= max(aligned)
+
+
 def test_skipped_windows_cannot_reach_the_coverage():
     random.seed(3)
     template = " ".join(f"t{i}" for i in range(20))
