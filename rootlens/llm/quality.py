@@ -22,9 +22,8 @@ from rootlens.llm import textops as tx
 from rootlens.llm.frames import only, small_batches
 from rootlens.llm.labelled import labelled_sample
 
-#: Training: rows of each label value, characters of a row.
+#: Training: rows of each label value.
 ROWS_PER_CLASS = 1500
-CHARS_PER_ROW = 50_000
 #: Rows of each class that fit the calibration, one in so many.
 CALIBRATE_ONE_IN = 4
 BITS = 18
@@ -191,9 +190,9 @@ def fit(sample: dict[int, list[str]], shares: tuple[float, float] = (0.5, 0.5),
 
 
 def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
-    """Fit on at most ``rows_per_class`` labelled rows of each class; ``docs`` has doc_id and
-    text, ``labels`` doc_id and quality."""
-    sample = labelled_sample(docs, labels, "quality", rows_per_class, CHARS_PER_ROW, F.lit(True))
+    """Fit on at most ``rows_per_class`` labelled rows of each class, read whole; ``docs`` has
+    doc_id and text, ``labels`` doc_id and quality."""
+    sample = labelled_sample(docs, labels, "quality", rows_per_class, None, F.lit(True))
     counted = labels.select(F.avg(F.col("quality").cast("double"))).first()[0]
     good = min(0.99, max(0.01, 0.5 if counted is None else counted))
     return fit(sample, (1 - good, good))

@@ -9,7 +9,7 @@ four wide, so that a match outweighs its own cost in such short inputs and the
 length counts the phrases a window needs.
 
 A text is judged by how many and what share of its windows reach each of fixed
-distances, through a calibration fitted on sampled rows that the dictionaries
+distances, and by how many it has, through a calibration fitted on sampled rows that the dictionaries
 have not seen. The model that goes to the executors has a fixed size bound;
 workers remember a bounded number of windows.
 """
@@ -32,9 +32,8 @@ from rootlens.llm.frames import id_hash, small_batches
 from rootlens.llm.labelled import labelled_sample
 from rootlens.llm.worker import held
 
-#: Training: rows of each label value, characters of a row, ordinary windows.
+#: Training: rows of each label value, ordinary windows.
 ROWS_PER_CLASS = 1500
-CHARS_PER_ROW = 20_000
 ORDINARY_WINDOWS = 600_000
 #: One in so many sampled rows fits the calibration instead of the dictionaries.
 CALIBRATE_ONE_IN = 3
@@ -63,6 +62,11 @@ def windows(text: str | None) -> list[str]:
     return _RUN.findall(text.lower()) if text else []
 
 
+def counted(text: str | None) -> dict[str, int]:
+    """How often the text holds each window."""
+    return dict(Counter(windows(text)))
+
+
 def _bytes(window: str) -> bytes:
     return b" " + window.encode() + b" "
 
@@ -116,11 +120,22 @@ class Distance:
             self.known[w] = self.of(w)
         return np.bincount([self.known[w] for w in found], minlength=LARGEST + 1) if found else np.zeros(LARGEST + 1)
 
+    def histogram_of(self, counts: dict[str, int]) -> np.ndarray:
+        """The histogram of a text with these windows."""
+        out = np.zeros(LARGEST + 1)
+        for w, n in counts.items():
+            if w not in self.known:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[w] = self.of(w)
+            out[self.known[w]] += n
+        return out
+
 
 def _features(histograms: np.ndarray) -> np.ndarray:
     n = histograms.sum(1, keepdims=True) + 1
     reached = histograms[:, ::-1].cumsum(1)[:, ::-1][:, STEPS]
-    return np.concatenate((np.ones((len(n), 1)), np.log1p(reached), np.sqrt(reached / n)), axis=1)
+    return np.concatenate((np.ones((len(n), 1)), np.log1p(reached), np.sqrt(reached / n), np.log(n)), axis=1)
 
 
 @dataclass
@@ -133,7 +148,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(_features(histograms) @ self.weights, -30, 30)))
 
 
-def _toxic_windows(ordinary: list[str], toxic: list[str]) -> list[str]:
+def _drawn(texts: list[dict[str, int]]) -> list[str]:
+    """At most ORDINARY_WINDOWS windows of the texts, each occurrence as likely as any other."""
+    counts: Counter[str] = Counter()
+    for text in texts:
+        counts.update(text)
+    found = sorted(counts)
+    upto = np.cumsum([counts[w] for w in found], dtype=np.int64)
+    total = int(upto[-1]) if found else 0
+    places = np.random.Generator(np.random.PCG64(5)).choice(total, min(total, ORDINARY_WINDOWS), replace=False)
+    return [found[i] for i in np.searchsorted(upto, places, "right")]
+
+
+def _toxic_windows(ordinary: list[dict[str, int]], toxic: list[dict[str, int]]) -> list[str]:
     """Windows of toxic texts that begin as toxic rows' windows more often do.
 
     A beginning is telling if so many toxic rows hold it that the difference to
@@ -143,7 +170,7 @@ def _toxic_windows(ordinary: list[str], toxic: list[str]) -> list[str]:
     for texts in (ordinary, toxic):
         seen: Counter[str] = Counter()
         for text in texts:
-            seen.update({f" {w} "[:n] for w in set(windows(text)) for n in BEGINNINGS if len(w) + 2 >= n})
+            seen.update({f" {w} "[:n] for w in text for n in BEGINNINGS if len(w) + 2 >= n})
         rows.append(seen)
     n0, n1 = max(1, len(ordinary)), max(1, len(toxic))
 
@@ -152,26 +179,29 @@ def _toxic_windows(ordinary: list[str], toxic: list[str]) -> list[str]:
         return (held / n1 - rows[0][start] / n0) / (pooled * (1 / n0 + 1 / n1)) ** 0.5 >= MIN_DEVIATIONS
 
     starts = {s for s, held in rows[1].items() if held >= MIN_TOXIC_ROWS and telling(s, held)}
-    held = Counter(w for text in toxic for w in set(windows(text)) if any(f" {w} "[:n] in starts for n in BEGINNINGS))
+    held = Counter(w for text in toxic for w in text if any(f" {w} "[:n] in starts for n in BEGINNINGS))
     out = [w for w, n in sorted(held.items()) for _ in range(max(16, n))]
     return [out[i] for i in np.random.Generator(np.random.PCG64(3)).permutation(len(out))]
 
 
 def fit(sample: dict[int, list[str]], toxic_share: float) -> Model:
-    """Dictionaries and calibration from texts by label; ``toxic_share`` is the share of
-    toxic rows among all labelled rows. Without toxic rows every score is 0, with only
+    """``fit_counted`` from texts by label."""
+    return fit_counted({y: [counted(t) for t in sample[y]] for y in (0, 1)}, toxic_share)
+
+
+def fit_counted(sample: dict[int, list[dict[str, int]]], toxic_share: float) -> Model:
+    """Dictionaries and calibration from the counted windows of texts by label; ``toxic_share``
+    is the share of toxic rows among all labelled rows. Without toxic rows every score is 0, with only
     toxic rows it is 1."""
-    size = 1 + 2 * len(STEPS)
+    size = 2 + 2 * len(STEPS)
     if not sample[0] or not sample[1]:
         return Model(b" ", b" ", np.eye(size)[0] * (30.0 if sample[1] else -30.0))
     fitted = {y: [t for i, t in enumerate(sample[y]) if i % CALIBRATE_ONE_IN] or sample[y] for y in (0, 1)}
     calibrated = {y: sample[y][::CALIBRATE_ONE_IN] for y in (0, 1)}
-    found = [w for text in fitted[0] for w in windows(text)]
-    order = np.random.Generator(np.random.PCG64(5)).permutation(len(found))[:ORDINARY_WINDOWS]
-    ordinary = _dictionary(ORDINARY_BYTES, [found[i] for i in order])
+    ordinary = _dictionary(ORDINARY_BYTES, _drawn(fitted[0]))
     toxic = _dictionary(TOXIC_BYTES, _toxic_windows(fitted[0], fitted[1]))
     distance = Distance(ordinary, toxic)
-    x = _features(np.array([distance.histogram(t) for y in (0, 1) for t in calibrated[y]]))
+    x = _features(np.array([distance.histogram_of(t) for y in (0, 1) for t in calibrated[y]]))
     y = np.repeat([0.0, 1.0], [len(calibrated[0]), len(calibrated[1])])
     # each class weighs as much as it does among all labelled rows
     each = np.where(y == 1, toxic_share / len(calibrated[1]), (1 - toxic_share) / len(calibrated[0])) * len(y)
@@ -190,10 +220,11 @@ def held_out(column: str = "doc_id") -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
     """Fit on at most ``rows_per_class`` labelled rows of each class that are not held out;
-    ``docs`` has doc_id and text, ``labels`` doc_id and toxic."""
-    sample = labelled_sample(docs, labels, "toxic", rows_per_class, CHARS_PER_ROW, ~held_out())
+    ``docs`` has doc_id and text, ``labels`` doc_id and toxic. The rows are read whole and
+    leave the tasks as counted windows."""
+    sample = labelled_sample(docs, labels, "toxic", rows_per_class, None, ~held_out(), counted)
     share = labels.filter(~held_out()).select(F.avg(F.col("toxic").cast("double"))).first()[0]
-    return fit(sample, min(0.99, max(0.01, 0.5 if share is None else share)))
+    return fit_counted(sample, min(0.99, max(0.01, 0.5 if share is None else share)))
 
 
 def judge(

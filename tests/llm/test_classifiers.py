@@ -61,6 +61,24 @@ def test_labelled_sample(spark):
     assert sum(map(len, labelled.labelled_sample(docs, labels, "toxic", 1, 9, F.lit(True)).values())) == 2
 
 
+def test_labelled_rows_are_read_whole(spark, monkeypatch):
+    plain, late = "good day to all " * 3000, "good day to all " * 3000 + "vile rotten scum " * 5
+    docs = spark.createDataFrame([(i, late if i % 2 else plain) for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(80)], "doc_id long, toxic int, quality int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit_counted", lambda sample, share: seen.update(toxic=sample))
+    monkeypatch.setattr(quality, "fit", lambda sample, shares: seen.update(quality=sample))
+    toxicity.train(docs, labels)
+    quality.train(docs, labels)
+    assert all(t == dict(collections.Counter(late.split())) for t in seen["toxic"][1]) and seen["toxic"][1]
+    assert all(t == dict(collections.Counter(plain.split())) for t in seen["toxic"][0]) and seen["toxic"][0]
+    assert set(seen["quality"][1]) == {late} and set(seen["quality"][0]) == {plain}
+    monkeypatch.undo()
+    model = toxicity.train(docs, labels)
+    got = toxicity.judge(docs, model).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+
+
 # ------------------------------------------------------------ language
 
 
