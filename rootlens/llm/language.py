@@ -78,6 +78,25 @@ def clean(points: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[keep], np.concatenate(([0], np.cumsum(keep)))[off]
 
 
+def shared(parts: list[np.ndarray], limit: int) -> np.ndarray:
+    """The cleaned texts one after another, a blank between, each cut to the length that lets
+    all of them into ``limit`` characters; shorter ones leave room to the others."""
+    parts = [p for p in parts if len(p)]
+    room = limit - len(parts) + 1
+    most = 0
+    for k, n in enumerate(sorted(map(len, parts))):
+        most = max(1, room // (len(parts) - k))
+        if n > most:
+            break
+        most, room = n, room - n
+    out: list[np.ndarray] = []
+    for p in parts:
+        if out and out[-1][-1]:
+            out.append(np.zeros(1, p.dtype))
+        out.append(p[:most])
+    return np.concatenate(out) if out else np.zeros(0, np.uint32)
+
+
 def automaton(symbols: list[int], classes: int) -> np.ndarray:
     """Transitions [state, class] of the suffix automaton of ``symbols``; -1 where there is none."""
     size = 2 * len(symbols) + 2
@@ -137,11 +156,10 @@ class Parser:
     def __init__(self, samples: dict[str, list[str]]):
         cleaned: dict[str, np.ndarray] = {}
         for language, texts in sorted(samples.items()):
-            joined = " ".join(texts)
-            points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
-            low, _ = clean(points, np.array([0, len(points)]))
+            points = [np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32) for t in texts]
+            low = shared([clean(p, np.array([0, len(p)]))[0] for p in points], CHARS_PER_LANGUAGE)
             if len(low):
-                cleaned[language] = low[:CHARS_PER_LANGUAGE]
+                cleaned[language] = low
         seen = Counter(int(c) for low in cleaned.values() for c in low if c)
         alphabet = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS]]
         self.classes = len(alphabet) + 3
@@ -194,16 +212,20 @@ def held_out(column: str = "doc_id"):
 
 
 def train(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang") -> dict[str, list[str]]:
-    """The labelled sample: for each language at most ROWS_PER_LANGUAGE beginnings of
-    CHARS_PER_ROW characters, of documents that are not held out and hold a letter there.
-    Spark keeps only
-    that many rows of a language in each task before they meet."""
+    """The labelled sample: for each language at most ROWS_PER_LANGUAGE pieces of at most
+    CHARS_PER_ROW characters, of documents that are not held out and hold a letter. A piece
+    begins at the first letter from a hashed place on, or else at the first letter of its text.
+    Spark keeps only that many rows of a language in each task before they meet."""
+    piece = rf"(?s)\p{{L}}.{{0,{CHARS_PER_ROW - 1}}}"
     rows = (
         only(documents, doc_id=id_column, text=text_column, lang=language_column)
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-        .select("lang", "doc_id", F.substring("text", 1, CHARS_PER_ROW).alias("text"))
         .filter(F.col("text").rlike(r"\p{L}"))
         .withColumn("order", F.xxhash64("doc_id", "text"))
+        .withColumn("begins", (1 + F.pmod(F.xxhash64("order"), F.greatest(F.lit(1), F.length("text") - CHARS_PER_ROW + 1))).cast("int"))
+        .withColumn("later", F.regexp_extract(F.col("text").substr(F.col("begins"), F.length("text")), piece, 0))
+        .withColumn("text", F.when(F.col("later") != "", F.col("later")).otherwise(F.regexp_extract("text", piece, 0)))
+        .select("lang", "doc_id", "text", "order")
     )
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
     chosen = rows.withColumn("place", place).filter(F.col("place") <= ROWS_PER_LANGUAGE)

@@ -112,6 +112,25 @@ def test_phrases_match_brute_force():
         assert got[i].tolist() == [phrases(own, r) for r in refs]
 
 
+def test_training_reads_any_place(spark):
+    rows = [(i, "1 2 <3>\n" * 200 + "the cat and the dog " * 2, "en") for i in range(40)]
+    rows += [(i, "der " * 400 + "hund " * 400, "de") for i in range(40, 80)]
+    rows += [(i, "😀" * 900 + "o" + "😀" * 900, "xx") for i in range(80, 90)] + [(90, "1 2", "no")]
+    samples = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(samples) == {"en", "de", "xx"} and len(samples["en"]) > 20
+    assert all(re.match("[a-z]", t) and len(t) <= 600 for texts in samples.values() for t in texts)
+    assert any("hund" in t for t in samples["de"]) and any("der" in t for t in samples["de"])
+
+
+def test_every_sampled_row_is_learned():
+    texts = ["ab " * 250 for _ in range(62)] + ["c", "xyz " * 200]
+    parser = language.Parser({"x": texts})
+    assert all(parser.lookup[ord(c)] > language._OTHER for c in "abcxyz")
+    for sizes in ([5, 900, 3], [40] * 7, [1, 1], [], [0, 4]):
+        low = language.shared([np.full(n, 7, np.uint32) for n in sizes], 100)
+        assert len(low) <= 100 and (len(low) > 93 or len(low) == sum(sizes) + max(0, sum(map(bool, sizes)) - 1))
+
+
 def test_languages_held_out(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     found = language.identify(documents, language.train(documents)).collect()
