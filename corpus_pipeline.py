@@ -19,9 +19,10 @@ def _others(docs: DataFrame) -> tuple[str, ...]:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; texts without letters go.
+    """Documents with a letter; null texts and texts without letters go.
 
-    If no document teaches a language, every text with a letter stays."""
+    The parse gives every text with a letter the nearest of the taught languages, so a text
+    in a language that no labelled document teaches stays too."""
     samples = language.train(docs)
     if not samples:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
