@@ -54,3 +54,19 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
 
 def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: A key with more than this share of all rows is hot; there are fewer than 1 / HOT_SHARE of them.
+HOT_SHARE = 0.001
+
+
+def join_counted(rows: DataFrame, lookup: DataFrame, on: list[str], held: str, total: int) -> DataFrame:
+    """``rows`` inner-joined to ``lookup``, one row a key whose column ``held`` counts the rows
+    with that key, of ``total`` rows in all; ``rows`` is read twice and should be stored.
+
+    Hot keys are fewer than 1,000 whatever the tables hold, so their lookup rows are broadcast
+    and their rows stay where they are; no other key has more than a thousandth of the rows."""
+    bar = total * HOT_SHARE
+    hot = F.broadcast(lookup.filter(F.col(held) > bar))
+    cold = rows.join(hot.select(on), on, "left_anti").join(lookup.filter(F.col(held) <= bar), on)
+    return rows.join(hot, on).unionByName(cold)

@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rootlens.llm import bpe, jaccard, language, licenses, mixing, neighbours, quality, toxicity, url_rules, warc
+from rootlens.llm import (
+    audit,
+    bpe,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    neighbours,
+    quality,
+    toxicity,
+    url_rules,
+    warc,
+)
 from rootlens.session import reach_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +195,64 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
+# ---------------------------------------------------------------- 12: filters
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+AUDIT_SQL = """
+WITH base AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+),
+read AS (
+  SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS fails_e
+  FROM base
+),
+masks AS (
+  SELECT doc_id, part,
+    (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT + 4 * (100 * capitals > 5 * length(t))::INT
+      + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * fails_e::INT AS mask
+  FROM read
+),
+marks AS (
+  SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic
+  FROM labels GROUP BY doc_id
+),
+cells AS MATERIALIZED (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM masks LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+),
+letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+),
+places AS (
+  SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier
+  FROM orders, range(1, 6) AS s(step)
+),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(n) FILTER (mask & (earlier | bit) = 0) AS kept,
+    sum(n) FILTER (mask & earlier = 0 AND mask & bit <> 0) AS removed,
+    sum(n) FILTER (mask & earlier <> 0 AND mask & bit <> 0) AS redundant,
+    sum(n) FILTER (mask = bit) AS unique_fails,
+    sum(good) FILTER (mask & earlier = 0 AND mask & bit <> 0) AS good_lost,
+    sum(toxic) FILTER (mask & earlier = 0 AND mask & bit <> 0) AS toxic_lost
+  FROM cells, places GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant,
+  coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+  sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS shapley
+FROM counted
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_bpe": op2_bpe,
@@ -194,12 +264,14 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
+    "op12_filter_audit": op12_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op5_url_rules": URL_SQL,
     "op7_warc": WARC_SQL,
     "op9_jaccard": JACCARD_SQL,
+    "op12_filter_audit": AUDIT_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
