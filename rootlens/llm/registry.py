@@ -11,6 +11,7 @@ import corpus_pipeline
 from rootlens.llm import (
     audit,
     bpe,
+    embedding_dedup,
     jaccard,
     language,
     licenses,
@@ -253,6 +254,38 @@ FROM counted
 """
 
 
+# ---------------------------------------------------------------- 13: near-duplicate embeddings
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS n, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+valid AS MATERIALIZED (
+  SELECT *, sqrt(list_dot_product(v, v)) AS size FROM given
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS MATERIALIZED (
+  SELECT a.n AS x, b.n AS y FROM valid a JOIN valid b ON a.label = b.label AND a.n <> b.n AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.98
+),
+reach(x, y) AS (
+  SELECT n, n FROM given
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+),
+least AS (SELECT reach.x, min(given.vec_id) AS component_id FROM reach JOIN given ON given.n = reach.y GROUP BY reach.x),
+degree AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM given JOIN least ON least.x = given.n LEFT JOIN degree ON degree.x = given.n
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_bpe": op2_bpe,
@@ -265,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
     "op12_filter_audit": op12_filter_audit,
+    "op13_embedding_dedup": op13_embedding_dedup,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
@@ -272,6 +306,7 @@ ORACLE: dict[str, str] = {
     "op7_warc": WARC_SQL,
     "op9_jaccard": JACCARD_SQL,
     "op12_filter_audit": AUDIT_SQL,
+    "op13_embedding_dedup": EMBEDDING_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
