@@ -11,6 +11,7 @@ import corpus_pipeline
 from rootlens.llm import (
     audit,
     bpe,
+    collocations,
     embedding_dedup,
     jaccard,
     language,
@@ -196,6 +197,58 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
+# ---------------------------------------------------------------- 11: collocations
+
+
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+COLLOCATION_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+numbered AS (SELECT row_number() OVER () AS piece_id, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+words AS MATERIALIZED (
+  SELECT lang, a, lead(a, 1) OVER piece AS b, lead(a, 2) OVER piece AS c, lead(a, 3) OVER piece AS d
+  FROM (SELECT piece_id, lang, unnest(w) AS a, generate_subscripts(w, 1) AS pos FROM numbered)
+  WINDOW piece AS (PARTITION BY piece_id ORDER BY pos)
+),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+runs AS (
+  SELECT lang, 1 AS size, a AS phrase FROM words
+  UNION ALL SELECT lang, 2, a || ' ' || b FROM words WHERE b IS NOT NULL
+  UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c FROM words WHERE c IS NOT NULL
+  UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d FROM words WHERE d IS NOT NULL
+),
+counts AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM candidates c, range(1, 4) AS t(k)
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+  WHERE k < c.size
+),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts),
+parts AS (
+  SELECT lang, a, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM candidates, range(2, 4) AS t(m) WHERE m < size
+),
+longer AS (SELECT lang, phrase, max(a) AS most FROM parts GROUP BY ALL),
+kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN longer g ON g.lang = l.lang AND g.phrase = l.phrase
+  WHERE place = 1 AND NOT coalesce(100::HUGEINT * g.most >= 80::HUGEINT * l.a, false)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 # ---------------------------------------------------------------- 12: filters
 
 
@@ -297,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_jaccard": op9_jaccard,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_filter_audit": op12_filter_audit,
     "op13_embedding_dedup": op13_embedding_dedup,
     "pipeline": corpus_pipeline.run,
@@ -305,6 +359,7 @@ ORACLE: dict[str, str] = {
     "op5_url_rules": URL_SQL,
     "op7_warc": WARC_SQL,
     "op9_jaccard": JACCARD_SQL,
+    "op11_collocations": COLLOCATION_SQL,
     "op12_filter_audit": AUDIT_SQL,
     "op13_embedding_dedup": EMBEDDING_SQL,
 }
