@@ -154,14 +154,53 @@ DATE_FORMATS = (
 _ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:.*)?$"
 
 
+#: The same spellings where the day stands before the month.
+DAY_FIRST_FORMATS = tuple("d/M" + f[3:] if f.startswith("M/d") else f for f in DATE_FORMATS) + (
+    "d.M.yyyy",
+    "d.M.yyyy H:mm",
+    "d.M.yyyy H:mm:ss",
+)
+
+
+def format_shape(form: str) -> str | None:
+    """A pattern that matches every text the format can read; None if it has other letters
+    than those of dates and times. Reading is dear where it fails, so texts of another shape skip it."""
+    shape, number = "", False
+    for run in (m.group() for m in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", form)):
+        if run[0] in "yMdHms" and not (run[0] == "M" and len(run) > 2):
+            # numbers without anything between them are one run of digits
+            shape += "" if number else r"[+-]?\d+"
+            number = True
+            continue
+        number = False
+        if run[0] == "M":
+            shape += r"\p{L}+\.?"
+        elif run.isalpha() or run == "'":
+            return None
+        else:
+            shape += re.escape(run)
+    return f"^{shape}$"
+
+
 def lenient_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Wall-clock time for any accepted spelling, else NULL. A zone in the text is ignored."""
     trimmed = F.trim(text)
     iso = F.when(trimmed.rlike(_ISO_SHAPE), trimmed.try_cast("timestamp_ntz"))
-    others = [F.try_to_timestamp(trimmed, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    others = []
+    for f in formats:
+        read, shape = F.try_to_timestamp(trimmed, F.lit(f)).cast("timestamp_ntz"), format_shape(f)
+        others.append(read if shape is None else F.when(trimmed.rlike(shape), read))
     return F.coalesce(iso, *others)
 
 
+def may_be_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Whether a text has the shape of any accepted spelling."""
+    trimmed, shapes = F.trim(text), [format_shape(f) for f in formats]
+    if None in shapes:
+        return text.isNotNull()
+    return trimmed.rlike("|".join([_ISO_SHAPE, *shapes]))
+
+
 def strict_date(text: str | dt.date) -> dt.date:
     """A ``YYYY-MM-DD`` argument as a date; anything else is an error."""
     if isinstance(text, dt.date):

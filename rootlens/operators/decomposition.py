@@ -70,6 +70,27 @@ def latest_pair(fact: DataFrame, target: str | dt.date | None = None) -> DataFra
     )
 
 
+def pairs_as_of(fact: DataFrame, targets: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """For every target_date of ``targets`` the pair that latest_pair finds: the newest date not
+    after it and the one before that; a target with fewer than two such dates has no row.
+
+    Dates and targets are sorted together once and each target takes the last date before it, so
+    no target is compared with all dates. With ``series`` dates and targets are those
+    of each series; without, the window runs over distinct calendar days only. Targets may repeat."""
+    keys = list(series)
+    wanted = targets.select(*keys, F.col("target_date").cast("date").alias("at")).dropna().distinct()
+    dates = fact.select(*keys, F.col("metric_date").alias("at")).dropna().distinct()
+    earlier = F.lag("at").over(Window.partitionBy(*keys).orderBy("at"))
+    events = dates.withColumn("pair", F.struct(F.col("at").alias("current_date"), earlier.alias("previous_date")))
+    none = F.lit(None).cast(events.schema["pair"].dataType)
+    # a date sorts before a target of the same day
+    both = events.withColumn("asks", F.lit(0)).unionByName(wanted.select(*keys, "at", none.alias("pair"), F.lit(1).alias("asks")))
+    seen = Window.partitionBy(*keys).orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = both.withColumn("pair", F.last("pair", ignorenulls=True).over(seen)).filter("asks = 1")
+    found = carried.filter("pair.previous_date IS NOT NULL").select(*keys, F.col("at").alias("target_date"), "pair.*")
+    return targets.withColumn("target_date", F.col("target_date").cast("date")).join(found, [*keys, "target_date"])
+
+
 def comparison_dates(fact: DataFrame, target: str | dt.date | None = None) -> tuple[dt.date, dt.date]:
     """``latest_pair`` as Python dates, for callers that need the values."""
     row = latest_pair(fact, target).first()

@@ -135,3 +135,58 @@ def run_detection(
         latest=latest_anomaly(scored),
         statistics=detection_status(series_statistics(scored), metrics),
     )
+
+
+def detect_as_of_each_day(
+    values: DataFrame,
+    lookback: int = DEFAULT_LOOKBACK,
+    threshold: float = DEFAULT_THRESHOLD,
+    series: Sequence[str] = ("metric",),
+) -> DataFrame:
+    """What run_detection would have said on every day, with the days known then.
+
+    A row a series and day: the day's own score, change and direction within the ``lookback``
+    available days that end with it, and the statistics of those days, the number of
+    anomalies among them, each judged by that window, and the newest anomalous one. Statistics
+    are not rounded. A frame of rows carries at most ``lookback`` values of one series."""
+    in_time = Window.partitionBy(*series).orderBy("metric_date", "value")
+    window = in_time.rowsBetween(1 - lookback, 0)
+    value, score = F.col("value"), F.col("zscore")
+
+    def unusual(day: Column) -> Column:
+        return F.coalesce(F.abs(F.try_divide(day["value"] - F.col("_mean"), F.col("_std"))) > threshold, F.lit(False))
+
+    days = F.collect_list(F.struct("metric_date", "value")).over(window)
+    earlier = F.lag("value").over(in_time) if lookback > 1 else F.lit(None).cast("double")
+    return (
+        values.withColumns(
+            {
+                "_mean": F.avg("value").over(window),
+                "_std": F.stddev_samp("value").over(window),
+                "_min": F.min("value").over(window),
+                "_max": F.max("value").over(window),
+                "_days": days,
+                "prev_value": earlier,
+            }
+        )
+        .withColumn("zscore", F.try_divide(value - F.col("_mean"), F.col("_std")))
+        .withColumn("_odd", F.filter("_days", unusual))
+        .select(
+            *series,
+            "metric_date",
+            "value",
+            "zscore",
+            "prev_value",
+            (value - F.col("prev_value")).alias("change_value"),
+            half_even(percent(value - F.col("prev_value"), F.col("prev_value"))).alias("change_pct"),
+            F.coalesce(F.abs(score) > threshold, F.lit(False)).alias("is_anomaly"),
+            direction(score, threshold).alias("anomaly_direction"),
+            F.size("_days").cast("bigint").alias("total_days_analyzed"),
+            F.size("_odd").cast("bigint").alias("anomaly_count"),
+            F.try_element_at(F.col("_odd"), F.lit(-1))["metric_date"].alias("latest_anomaly_date"),
+            F.col("_mean").alias("mean"),
+            F.col("_std").alias("std"),
+            F.col("_min").alias("min"),
+            F.col("_max").alias("max"),
+        )
+    )

@@ -30,6 +30,14 @@ def dated_rows(
     return df.withColumn("metric_date", F.to_date(column))
 
 
+def rejected_rows(dated: DataFrame, date_column: str) -> DataFrame:
+    """The rows the tables leave out, with the reason."""
+    text = F.trim(F.col(f"`{date_column}`").cast("string"))
+    empty = F.coalesce(text == "", F.lit(True))
+    reason = F.when(empty, "no date").otherwise(F.concat(F.lit("unreadable date: "), F.left(text, F.lit(60))))
+    return dated.filter("metric_date IS NULL").drop("metric_date").withColumn("reject_reason", reason)
+
+
 def unparsed_rows(dated: DataFrame) -> DataFrame:
     """How many rows the tables leave out."""
     return dated.agg(

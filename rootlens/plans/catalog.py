@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ from rootlens.operators import profiling as prof
 from rootlens.operators import quality as qa
 from rootlens.operators import rollup as ru
 from rootlens.operators import skew
+from rootlens.operators import spellings as sp
 from rootlens.operators import staging as stg
 from rootlens.plans import daily_run as run
 from rootlens.plans import onboarding as onb
@@ -137,19 +139,13 @@ def _written_csv(spark: SparkSession, sf_dir: str, names) -> dict[str, str]:
 @query(
     "s01_typed_csv_load",
     """SELECT order_id::VARCHAR AS order_id, customer_id::VARCHAR AS customer_id, order_status,
-    strftime(bought, '%Y-%m-%d %H:%M:%S') AS order_purchase_timestamp,
-    strftime(delivered, '%Y-%m-%d %H:%M:%S') AS order_delivered_customer_date FROM raw_orders""",
+    strftime(bought, '%Y-%m-%d %H:%M:%S') AS order_purchase_timestamp, NULL::VARCHAR AS order_approved_at,
+    NULL::VARCHAR AS order_delivered_carrier_date, strftime(delivered, '%Y-%m-%d %H:%M:%S') AS order_delivered_customer_date,
+    NULL::VARCHAR AS order_estimated_delivery_date FROM raw_orders""",
 )
 def _(s, d):
     path = _written_csv(s, d, ["orders"])["orders"]
-    table = csv_tables.read_csv_table(s, path, csv_tables.RAW_TABLES["orders"])
-    return table.select(
-        "order_id",
-        "customer_id",
-        "order_status",
-        "order_purchase_timestamp",
-        "order_delivered_customer_date",
-    )
+    return csv_tables.read_csv_table(s, path, csv_tables.RAW_TABLES["orders"])
 
 
 @query("s02_catalogue_load", RAW_COUNTS)
@@ -171,13 +167,15 @@ def _(s, d):
 
 @query(
     "s04_flat_file_read",
-    "SELECT event_id, user_id, event_type, value, props FROM events",
+    """SELECT event_id, strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%g') AS ts, user_id, event_type, value, props
+    FROM events""",
 )
 def _(s, d):
     path = f"{_scratch(s)}/events"
     star.read_table(s, d, "events").write.csv(path, header=True, escape='"')
     return flat_file.read_flat_file(s, path).select(
         F.col("event_id").cast("bigint").alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("ts"),
         F.col("user_id").cast("bigint").alias("user_id"),
         "event_type",
         "value",
@@ -185,6 +183,26 @@ def _(s, d):
     )
 
 
+@query(
+    "s04_line_breaks_in_quotes",
+    "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, length(coalesce(text, '')) AS n_chars, lang, source FROM documents",
+)
+def _(s, d):
+    # texts hold line breaks, commas and quotes
+    path = f"{_scratch(s)}/documents"
+    texts = star.read_table(s, d, "documents").select("doc_id", "text", "lang", "source")
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    texts.write.csv(path, header=True, escape='"', **plain)
+    text = F.coalesce("text", F.lit(""))
+    return flat_file.read_flat_file(s, path).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.md5(text.cast("binary")).alias("text_md5"),
+        F.length(text).cast("bigint").alias("n_chars"),
+        "lang",
+        "source",
+    )
+
+
 FACT_4 = f"""SELECT metric_date::VARCHAR AS metric_date, order_count, customer_count,
     {sql_usd('revenue_c')} AS total_revenue, {sql_usd('avg_c')} AS avg_order_value FROM fact"""
 GEO = f"""SELECT metric_date::VARCHAR AS metric_date, state_code, region, order_count,
@@ -210,6 +228,19 @@ def _(s, d):
     return sinks.replace_table(_fact(s, d).select("metric_date", *ALL), _scratch(s), "fact")
 
 
+@query("s07_failed_replace", FACT_4)
+def _(s, d):
+    # a write that fails half-way leaves the table as it was
+    base, fact = _scratch(s), _fact(s, d).select("metric_date", *ALL)
+    sinks.replace_table(fact, base, "fact")
+    broken = fact.withColumn("order_count", F.when(F.col("order_count") < 0, 0).otherwise(F.raise_error(F.lit("broken"))))
+    try:
+        sinks.replace_table(broken, base, "fact")
+    except PySparkException:
+        return sinks.read_table(s, base, "fact")
+    raise AssertionError("the write should have failed")
+
+
 @query(
     "s08_view",
     "SELECT order_status, COUNT(*) AS orders FROM stg_orders GROUP BY order_status",
@@ -278,6 +309,21 @@ def _(s, d):
     return sinks.run_metrics(_daily(s, d).report)
 
 
+@query(
+    "s10_published_once",
+    f"""SELECT {PAIR}, email_subject[:100] AS subject, 1 AS copies, 3 AS numbers
+    FROM texts JOIN (SELECT cur, prev FROM last_pair) USING (cur, prev)""",
+)
+def _(s, d):
+    # a job that is tried again publishes the same run twice
+    base, found = _scratch(s), _daily(s, d, force_alert=True)
+    for _ in range(2):
+        run.publish(found, base)
+    alerts = s.read.parquet(f"{base}/alerts").groupBy(*dec.PAIR, "subject").agg(F.count("*").alias("copies"))
+    numbers = s.read.parquet(f"{base}/run_metrics").groupBy("metric").agg(F.count("*").alias("numbers"))
+    return alerts.join(numbers, "metric")
+
+
 ROLES = 'SELECT position, "column", role, cardinality, confidence::DOUBLE AS confidence, reason FROM '
 
 
@@ -331,10 +377,13 @@ def _(s, d):
     return stg.stage_customers(star.raw_customers(s, d))
 
 
-@query("p04_stage_products", "SELECT product_id, product_category, product_weight_g FROM stg_products")
+@query(
+    "p04_stage_products",
+    """SELECT product_id, product_category, product_weight_g, NULL::INTEGER AS product_length_cm,
+    NULL::INTEGER AS product_height_cm, NULL::INTEGER AS product_width_cm FROM stg_products""",
+)
 def _(s, d):
-    staged = stg.stage_products(star.raw_products(s, d), star.raw_translation(s, d))
-    return staged.select("product_id", "product_category", "product_weight_g")
+    return stg.stage_products(star.raw_products(s, d), star.raw_translation(s, d))
 
 
 @query(
@@ -461,6 +510,59 @@ def _(s, d):
     return ru.unparsed_rows(ru.dated_rows(_text_dates(s, d), "seen_on"))
 
 
+@query(
+    "p15_rejected_rows",
+    """SELECT event_id, 'n/a' AS seen_on, value, 'unreadable date: n/a' AS reject_reason FROM events WHERE event_id % 5 = 0""",
+)
+def _(s, d):
+    return ru.rejected_rows(ru.dated_rows(_text_dates(s, d), "seen_on"), "seen_on")
+
+
+def _spelled(s, d) -> DataFrame:
+    """Order dates, each column written in one way; first_of_month reads either way round."""
+    ts = F.col("o_orderdate")
+    return star.read_table(s, d, "orders").select(
+        "o_orderkey",
+        F.date_format(ts, "M/d/yyyy").alias("month_first"),
+        F.date_format(ts, "d/M/yyyy").alias("day_first"),
+        F.date_format(ts, "d.M.yyyy").alias("dotted"),
+        F.date_format(ts, "yyyy-MM-dd").alias("iso"),
+        F.date_format(F.trunc(ts, "month"), "M/d/yyyy").alias("first_of_month"),
+        F.col("o_orderstatus"),
+    )
+
+
+@query(
+    "f14_date_orders",
+    """WITH n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (day(o_orderdate) <= 12) AS low,
+      COUNT(*) FILTER (month(o_orderdate) > 1) AS later FROM orders)
+    SELECT 'month_first' AS name, n AS filled, n AS month_first, low AS day_first, 'month first' AS date_order, FALSE AS in_doubt FROM n
+    UNION ALL SELECT 'day_first', n, low, n, 'day first', FALSE FROM n
+    UNION ALL SELECT 'dotted', n, 0, n, 'day first', FALSE FROM n
+    UNION ALL SELECT 'iso', n, n, n, 'month first', FALSE FROM n
+    UNION ALL SELECT 'first_of_month', n, n, n, 'month first', later > 0 FROM n""",
+)
+def _(s, d):
+    return sp.date_orders(_spelled(s, d))
+
+
+@query(
+    "f14_spelling_tally",
+    """WITH forms(spelling) AS (VALUES ('ISO 8601'), ('M/d/yyyy'), ('d/M/yyyy'), ('d.M.yyyy')),
+    counts AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (day(o_orderdate) <= 12) AS low FROM orders),
+    names(name) AS (VALUES ('month_first'), ('day_first'), ('dotted'), ('iso'), ('first_of_month'), ('o_orderstatus'))
+    SELECT name, spelling, n AS filled, CASE
+      WHEN name = 'iso' AND spelling = 'ISO 8601' THEN n WHEN name = 'dotted' AND spelling = 'd.M.yyyy' THEN n
+      WHEN name = 'month_first' AND spelling = 'M/d/yyyy' THEN n WHEN name = 'month_first' AND spelling = 'd/M/yyyy' THEN low
+      WHEN name = 'day_first' AND spelling = 'd/M/yyyy' THEN n WHEN name = 'day_first' AND spelling = 'M/d/yyyy' THEN low
+      WHEN name = 'first_of_month' AND spelling IN ('M/d/yyyy', 'd/M/yyyy') THEN n ELSE 0 END AS parsed
+    FROM names, forms, counts""",
+)
+def _(s, d):
+    forms = ["ISO 8601", "M/d/yyyy", "d/M/yyyy", "d.M.yyyy"]
+    return sp.spelling_tally(_spelled(s, d)).filter(F.col("spelling").isin(forms))
+
+
 # ------------------------------------------------------------------------------- joins
 
 
@@ -674,6 +776,35 @@ def _(s, d):
     return dec.latest_pair(_fact(s, d), "1999-12-31")
 
 
+@query(
+    "j13_asof",
+    """SELECT t.target_date::VARCHAR AS target_date, f.metric_date::VARCHAR AS "current_date", f.previous_date::VARCHAR AS previous_date
+    FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS target_date FROM lineitem) t
+    ASOF JOIN (SELECT metric_date, lag(metric_date) OVER (ORDER BY metric_date) AS previous_date FROM fact) f
+    ON t.target_date >= f.metric_date WHERE f.previous_date IS NOT NULL""",
+)
+def _(s, d):
+    shipped = star.read_table(s, d, "lineitem").select(F.to_date("l_shipdate").alias("target_date")).distinct()
+    return dec.pairs_as_of(_fact(s, d), shipped)
+
+
+@query(
+    "j13_asof_by_series",
+    """SELECT t.priority, t.target_date::VARCHAR AS target_date, f.day::VARCHAR AS "current_date", f.previous_date::VARCHAR AS previous_date
+    FROM (SELECT DISTINCT o_orderpriority AS priority, CAST(l_shipdate AS DATE) AS target_date
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey) t
+    ASOF JOIN (SELECT priority, day, lag(day) OVER (PARTITION BY priority ORDER BY day) AS previous_date
+               FROM (SELECT DISTINCT o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day FROM orders)) f
+    ON t.priority = f.priority AND t.target_date >= f.day WHERE f.previous_date IS NOT NULL""",
+)
+def _(s, d):
+    orders, lines = star.read_table(s, d, "orders"), star.read_table(s, d, "lineitem")
+    days = orders.select(F.col("o_orderpriority").alias("priority"), F.to_date("o_orderdate").alias("metric_date"))
+    shipped = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    targets = shipped.select(F.col("o_orderpriority").alias("priority"), F.to_date("l_shipdate").alias("target_date"))
+    return dec.pairs_as_of(days, targets.distinct(), ["priority"])
+
+
 # ------------------------------------------------------------------------- aggregations
 
 
@@ -823,19 +954,47 @@ def _(s, d):
     return profiles.select("name", "cardinality", "cardinality_ratio", "null_rate")
 
 
+def _close(sketched: DataFrame, exact: DataFrame) -> DataFrame:
+    """Whether the estimates lie within five per cent, three standard errors, of the exact counts."""
+    both = sketched.join(exact.select("name", *[F.col(c).alias(f"exact_{c}") for c in ("cardinality", "day_cardinality")]), "name")
+    near = [F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.05 * F.col(f"exact_{c}") for c in ("cardinality", "day_cardinality")]
+    return both.select("name", "n_rows", "null_rate", "date_parse_rate", near[0].alias("close"), near[1].alias("days_close"))
+
+
+SKETCHED = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, COUNT(*) AS n_rows, 1.0 - CAST(COUNT({c}) AS DOUBLE) / COUNT(*) AS null_rate, "
+    f"{1.0 if c == 'l_shipdate' else 0.0}::DOUBLE AS date_parse_rate, TRUE AS close, TRUE AS days_close FROM lineitem"
+    for c in LINE_COLUMNS
+)
+
+
+@query("a14_sketched", SKETCHED)
+def _(s, d):
+    lines = star.read_table(s, d, "lineitem")
+    return _close(prof.profile_columns(lines, sketches=True), prof.profile_columns(lines))
+
+
+@query("a14_merged_sketches", SKETCHED)
+def _(s, d):
+    # sketches of parts that arrived apart
+    lines = star.read_table(s, d, "lineitem")
+    parts = [lines.filter(F.col("l_linestatus") == "F"), lines.filter(F.coalesce(F.col("l_linestatus") != "F", F.lit(True)))]
+    merged = prof.merged_sketches(*[prof.column_sketches(p) for p in parts])
+    return _close(prof.profile_columns(lines, sketches=merged), prof.profile_columns(lines))
+
+
 @query(
     "a15_sample_values",
-    """SELECT name, array_to_string(list(v ORDER BY event_id), '|') AS sample_values FROM (
-    SELECT 'event_type' AS name, event_id, event_type AS v, row_number() OVER (ORDER BY event_id) AS n FROM events WHERE event_type IS NOT NULL
-    UNION ALL SELECT 'props', event_id, props, row_number() OVER (ORDER BY event_id) FROM events WHERE props IS NOT NULL
-    UNION ALL SELECT 'user_id', event_id, user_id::VARCHAR, row_number() OVER (ORDER BY event_id) FROM events WHERE user_id IS NOT NULL)
-    WHERE n <= 5 GROUP BY name""",
+    "SELECT name, array_to_string(list(v ORDER BY event_id), '|') AS sample_values FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS name, event_id, {c}::VARCHAR AS v, row_number() OVER (ORDER BY event_id) AS n FROM events WHERE {c} IS NOT NULL"
+        for c in ("event_id", "ts", "user_id", "event_type", "value", "props")
+    )
+    + ") WHERE n <= 5 GROUP BY name",
 )
 def _(s, d):
-    events = star.read_table(s, d, "events")
-    samples = prof.sample_values(events, ["event_id"])
-    wanted = samples.filter(F.col("name").isin("event_type", "props", "user_id"))
-    return wanted.select("name", F.array_join("sample_values", "|").alias("sample_values"))
+    samples = prof.sample_values(star.read_table(s, d, "events"), ["event_id"])
+    return samples.select("name", F.array_join("sample_values", "|").alias("sample_values"))
 
 
 @query(
@@ -1274,6 +1433,25 @@ def _(s, d):
     return latest.withColumn("change_value", F.round("change_value", 6))
 
 
+@query(
+    "d02_as_of_each_day",
+    """SELECT w.metric, w.metric_date::VARCHAR AS metric_date, w.value, round((w.value - mean) / nullif(std, 0), 6) AS zscore,
+    COALESCE(abs((w.value - mean) / nullif(std, 0)) > 2.0, FALSE) AS is_anomaly, days AS total_days_analyzed,
+    COUNT(*) FILTER (abs((b.value - mean) / nullif(std, 0)) > 2.0) AS anomaly_count,
+    MAX(b.metric_date) FILTER (abs((b.value - mean) / nullif(std, 0)) > 2.0)::VARCHAR AS latest_anomaly_date,
+    round(mean, 6) AS mean, round(std, 6) AS std, least_value AS min, most_value AS max
+    FROM windows_30 w JOIN numbered_days b ON b.metric = w.metric AND b.n BETWEEN w.n - 29 AND w.n
+    GROUP BY w.metric, w.metric_date, w.value, mean, std, days, least_value, most_value""",
+)
+def _(s, d):
+    scored = det.detect_as_of_each_day(det.long_metrics(_fact(s, d), ALL))
+    scored = scored.withColumns({c: F.round(c, 6) for c in ("zscore", "mean", "std")})
+    return scored.select(
+        "metric", "metric_date", "value", "zscore", "is_anomaly", "total_days_analyzed", "anomaly_count",
+        "latest_anomaly_date", "mean", "std", "min", "max",
+    )
+
+
 @query("d03_contribution", CONTRIBUTED)
 def _(s, d):
     return _decomposed(s, d, SLICED).contributions.drop("dim_order")
@@ -1497,6 +1675,23 @@ def _(s, d):
     return _daily(s, d).report
 
 
+@query(
+    "r01_run_record",
+    f"""SELECT metric, status, TRUE AS named, TRUE AS in_order, TRUE AS duration_fits FROM ({REPORT})""",
+)
+def _(s, d):
+    base = _scratch(s)
+    record = run.run_record(_daily(s, d), sinks.store_under(base))
+    spent = F.unix_micros(F.col("completed_at").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))
+    return record.select(
+        "metric",
+        "status",
+        (F.length("run_id") > 0).alias("named"),
+        (F.col("completed_at") > F.col("started_at")).alias("in_order"),
+        (F.abs(spent / 1e6 - F.col("duration_seconds")) < 0.01).alias("duration_fits"),
+    )
+
+
 @query(
     "r02_run_summary",
     f"""SELECT metric, status AS pipeline_status, previous_date || ' → ' || "current_date" AS period, total_days_analyzed, anomaly_count, alert_status,
@@ -1803,6 +1998,23 @@ def _(s, d):
     return fact.withColumns({"grain": F.lit(done.grain), "reused": F.lit(done.reused)})
 
 
+@query(
+    "o13_day_first_dates",
+    """SELECT CAST(o_orderdate AS DATE)::VARCHAR AS metric_date, SUM(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS o_totalprice,
+    COUNT(*) AS row_count, (SELECT COUNT(*) FROM orders WHERE o_orderkey % 25 = 0) AS dropped_rows, FALSE AS in_doubt
+    FROM orders WHERE o_orderkey % 25 <> 0 GROUP BY 1""",
+)
+def _(s, d):
+    # every 25th order has no readable date
+    text = F.when(F.col("o_orderkey") % 25 == 0, "unknown").otherwise(F.date_format("o_orderdate", "d/M/yyyy"))
+    orders = star.read_table(s, d, "orders").select("o_orderkey", text.alias("bought"), "o_totalprice", "o_orderstatus")
+    edits = [("o_orderkey", "reject"), ("o_totalprice", "metric"), ("o_orderstatus", "dimension")]
+    done = onb.onboard(orders, "orders", _scratch(s), s.createDataFrame(edits, "column string, new_role string"), exact_scale=2)
+    fact = done.tables["fact_daily_metrics"].select("metric_date", "o_totalprice", "row_count")
+    doubt = any("told apart" in w for w in done.warnings)
+    return fact.withColumns({"dropped_rows": F.lit(done.dropped_rows).cast("bigint"), "in_doubt": F.lit(doubt)})
+
+
 # The roles a person wrote down for the events table; the last one is a slip.
 EXPECTED_ROLES = [
     ("event_id", "rejected"),
@@ -1890,12 +2102,10 @@ def _(s, d):
 def _(s, d):
     # account balances can be negative, order revenue here never is
     orders, customers = star.read_table(s, d, "orders"), star.read_table(s, d, "customer")
-    balance = F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("total_revenue")
-    daily = (
-        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(F.to_date("o_orderdate").alias("metric_date"))
-        .agg(balance)
-    )
+    # orders shrink to (customer, day) before the lookup, so that no customer is hot in it
+    days = orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("metric_date")).agg(F.count("*").cast("decimal(10,0)").alias("n"))
+    balance = F.sum(F.col("c_acctbal").cast("decimal(18,2)") * F.col("n")).alias("total_revenue")
+    daily = days.join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("metric_date").agg(balance)
     return qa.negative_revenue(daily)
 
 
@@ -1908,6 +2118,17 @@ def _(s, d):
     return qa.date_gaps(_fact(s, d))
 
 
+@query(
+    "q05_gaps_between_large_orders",
+    """SELECT * FROM (SELECT day::VARCHAR AS metric_date, lag(day) OVER (ORDER BY day)::VARCHAR AS prev_date,
+    date_diff('day', lag(day) OVER (ORDER BY day), day) AS gap_days
+    FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_totalprice >= 495000)) WHERE gap_days > 30""",
+)
+def _(s, d):
+    large = star.read_table(s, d, "orders").filter("o_totalprice >= 495000")
+    return qa.date_gaps(large.select(F.to_date("o_orderdate").alias("metric_date")).distinct())
+
+
 def _suite_sql() -> str:
     names = {
         "fact_daily_metrics": "fact",

@@ -6,6 +6,8 @@ caller's own actions execute it.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -117,6 +119,8 @@ class DailyRun:
     report: DataFrame
     investigation: DataFrame | None
     evidence: DataFrame | None
+    run_id: str
+    started_at: dt.datetime
 
 
 def investigate_pair(
@@ -157,12 +161,15 @@ def daily_run(
     statements: Statements | None = None,
     target: str | None = None,
     store: dec.Store | None = None,
+    run_id: str | None = None,
 ) -> DailyRun:
     """Analyse the two newest dates of every metric.
 
     ``target="latest_anomaly"`` compares each metric's newest anomalous day with
-    the day before it instead.
+    the day before it instead. A job that is started again passes the ``run_id``
+    of its first try, so that what it publishes stands there once.
     """
+    started = dt.datetime.now(dt.UTC).replace(tzinfo=None)
     fact = tables[spec.fact_table]
     found = det.run_detection(fact, metrics, lookback, threshold)
     if target == "latest_anomaly":
@@ -189,7 +196,7 @@ def daily_run(
         investigated = investigation_result(gate, asked, texts, around.drivers, summaries)
         history = det.prior_anomalies(found.scored, asked)
         evidence = inv.evidence_text(d.top, d.totals, around.classified, around.drilled, history)
-    return DailyRun(found, d, texts, alerts, report, investigated, evidence)
+    return DailyRun(found, d, texts, alerts, report, investigated, evidence, run_id or uuid.uuid4().hex, started)
 
 
 def _anomaly_pairs(fact: DataFrame, found: det.Detection) -> DataFrame:
@@ -230,7 +237,8 @@ def _report(
 
 
 def run_summary(report: DataFrame) -> DataFrame:
-    """What a caller is shown of a run."""
+    """What a caller is shown of a run; of a run_record with its duration too."""
+    timed = [c for c in ("started_at", "completed_at", "duration_seconds") if c in report.columns]
     return report.select(
         "metric",
         F.col("status").alias("pipeline_status"),
@@ -243,12 +251,28 @@ def run_summary(report: DataFrame) -> DataFrame:
         "anomaly_count",
         "alert_status",
         F.coalesce("summary", F.lit("")).alias("summary"),
+        *timed,
     )
 
 
+def run_record(run: DailyRun, store: dec.Store) -> DataFrame:
+    """The report once it is complete, with when the run began, ended, and how long it took.
+
+    ``store`` writes the report, which is what completes a lazy run."""
+    report = store("report", run.report)
+    ended = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    stamps = {
+        "run_id": F.lit(run.run_id),
+        "started_at": F.lit(run.started_at),
+        "completed_at": F.lit(ended),
+        "duration_seconds": F.lit(round((ended - run.started_at).total_seconds(), 3)),
+    }
+    return report.withColumns(stamps)
+
+
 def publish(run: DailyRun, base: str, dry_run: bool = False) -> None:
-    """Append the alerts and the run's numbers; a dry run writes neither."""
+    """Add the alerts and the run's numbers once, however often it is tried; a dry run writes neither."""
     if dry_run:
         return
-    sinks.append_alerts(run.alerts, base)
-    sinks.append_run_metrics(run.report, base)
+    sinks.append_alerts(run.alerts, base, run.run_id)
+    sinks.append_run_metrics(run.report, base, run.run_id)

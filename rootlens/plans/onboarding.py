@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from rootlens.functions.scalars import DATE_FORMATS
 from rootlens.operators import classification as cls
 from rootlens.operators import profiling as prof
 from rootlens.operators import rollup as ru
+from rootlens.operators import spellings as sp
 from rootlens.plans.daily_run import DailyRun, daily_run
 from rootlens.sources import sinks
 from rootlens.sources.flat_file import read_flat_file
@@ -25,7 +26,9 @@ class ReconciliationError(ValueError):
 @dataclass(frozen=True)
 class Onboarded:
     """``grain`` is that of the rows now loaded; ``warnings`` are what the profile holds
-    against the confirmed roles, and make ``requires_human_review`` true."""
+    against the confirmed roles, and make ``requires_human_review`` true. ``rejected`` are
+    the ``dropped_rows`` rows that no table holds, with the reason; both are None for
+    a dataset that is only loaded."""
 
     dataset_id: str
     spec: DatasetSpec
@@ -35,21 +38,23 @@ class Onboarded:
     grain: str
     requires_human_review: bool
     warnings: tuple[str, ...]
+    rejected: DataFrame | None = None
+    dropped_rows: int | None = None
 
 
 def _confirm(
-    df: DataFrame, dataset_id: str, base: str, fingerprint: str, stored: DataFrame | None, overrides, formats
+    df: DataFrame, dataset_id: str, base: str, fingerprint: str, stored: DataFrame | None, overrides, formats, sketches
 ) -> DataFrame:
     """Assign or edit the roles and save them, unless they leave no date column."""
     spark = df.sparkSession
     if stored is None:
         # one row per column, but costly to compute: written once, read often
         profiles = sinks.replace_table(
-            prof.profile_columns(df, formats), base, f"{dataset_id}/profile"
+            prof.profile_columns(df, formats, sketches), base, f"{dataset_id}/profile"
         )
         roles = cls.assign_roles(profiles)
     else:
-        profiles = spark.read.parquet(f"{base}/{dataset_id}/profile")
+        profiles = sinks.read_table(spark, base, f"{dataset_id}/profile")
         # a row per column; held here as the file they come from is replaced
         kept = stored.select("position", *cls.ROLE_COLUMNS)
         roles = spark.createDataFrame(kept.collect(), kept.schema)
@@ -66,11 +71,17 @@ def onboard(
     dataset_id: str,
     base: str,
     overrides: DataFrame | None = None,
-    formats: Sequence[str] = DATE_FORMATS,
+    formats: prof.Formats | None = None,
     exact_scale: int | None = None,
+    sketches: bool = False,
 ) -> Onboarded:
     """Profile, assign roles, write the daily tables, and check that they agree.
 
+    Without ``formats`` the order of day and month is found for each text column over all its
+    values (see spellings); a date column for which both orders fit is a warning. ``sketches``
+    estimates the distinct counts, which only the first load needs. Rows without a readable
+    date go to the table ``rejected_rows``.
+
     Roles confirmed earlier are used again while names and types are unchanged;
     ``overrides`` (column, new_role) are a person's edits of the new or the stored
     roles. Rows are always summed per day: what was one row a day at the first
@@ -83,14 +94,20 @@ def onboard(
     if confirmed is not None:
         confirmed = confirmed.filter(F.col("fingerprint") == fingerprint)
     reused = confirmed is not None and not confirmed.isEmpty()
+    doubtful: list[str] = []
+    if formats is None:
+        known = None if not reused or overrides is not None else [cls.collect_roles(confirmed).date_column]
+        formats, doubtful = sp.formats_of(sp.date_orders(df, known))
     if not reused or overrides is not None:
         stored = confirmed if reused else None
-        confirmed = _confirm(df, dataset_id, base, fingerprint, stored, overrides, formats)
+        confirmed = _confirm(df, dataset_id, base, fingerprint, stored, overrides, formats, sketches)
 
     plan = replace(cls.collect_roles(confirmed), grain="other")
     spec = ru.dataset_spec(plan)
-    dated = ru.dated_rows(df, plan.date_column, formats)
+    own = formats.get(plan.date_column, DATE_FORMATS) if isinstance(formats, Mapping) else formats
+    dated = ru.dated_rows(df, plan.date_column, own)
     folder = f"{base}/{dataset_id}"
+    rejected = sinks.replace_table(ru.rejected_rows(dated, plan.date_column), folder, "rejected_rows")
     fact = sinks.replace_table(ru.daily_fact(dated, plan, exact_scale), folder, spec.fact_table)
     tables = {spec.fact_table: fact}
     if plan.dimensions:
@@ -106,7 +123,12 @@ def onboard(
         if errors:
             raise ReconciliationError("; ".join(sorted(errors)))
         tables.update(ru.dimension_tables(rollup, spec))
-    return _onboarded(dataset_id, spec, confirmed, tables, reused)
+    done = _onboarded(dataset_id, spec, confirmed, tables, reused)
+    doubts = [f"day and month of '{c}' cannot be told apart" for c in doubtful if c == plan.date_column]
+    review = done.requires_human_review or bool(doubts)
+    return replace(
+        done, warnings=(*done.warnings, *doubts), requires_human_review=review, rejected=rejected, dropped_rows=rejected.count()
+    )
 
 
 def _onboarded(
@@ -153,9 +175,9 @@ def load_dataset(spark: SparkSession, dataset_id: str, base: str) -> Onboarded:
         raise FileNotFoundError(f"No confirmed classification for '{dataset_id}': onboard it first")
     spec = ru.dataset_spec(cls.collect_roles(roles))
     folder = f"{base}/{dataset_id}"
-    tables = {spec.fact_table: spark.read.parquet(f"{folder}/{spec.fact_table}")}
+    tables = {spec.fact_table: sinks.read_table(spark, folder, spec.fact_table)}
     if spec.dimensions:
-        rollup = spark.read.parquet(f"{folder}/metric_by_dimension")
+        rollup = sinks.read_table(spark, folder, "metric_by_dimension")
         tables.update(ru.dimension_tables(rollup, spec))
     return _onboarded(dataset_id, spec, roles, tables, True)
 

@@ -170,6 +170,12 @@ SELECT metric, COUNT(*) AS days, COUNT(*) FILTER (is_anomaly) AS anomaly_count,
        round_even(stddev_samp(value), 2) AS std, round_even(min(value), 2) AS min, round_even(max(value), 2) AS max
 FROM scored_30 GROUP BY metric"""
 
+CTE["numbered_days"] = "SELECT *, row_number() OVER (PARTITION BY metric ORDER BY metric_date) AS n FROM metrics_long"
+CTE["windows_30"] = """
+SELECT a.metric, a.metric_date, a.value, a.n, avg(b.value) AS mean, stddev_samp(b.value) AS std, COUNT(*) AS days,
+       min(b.value) AS least_value, max(b.value) AS most_value
+FROM numbered_days a JOIN numbered_days b ON b.metric = a.metric AND b.n BETWEEN a.n - 29 AND a.n GROUP BY ALL"""
+
 # -- decomposition ----------------------------------------------------------------
 CTE["pairs"] = """
 SELECT * FROM (SELECT metric_date AS cur, lag(metric_date) OVER (ORDER BY metric_date) AS prev

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rootlens.functions.scalars import lenient_timestamp
+from rootlens.sources.sinks import replace_tables
+from rootlens.sources.split_csv import parse_records, read_records
 
 # Raw tables as (column, type); a number in parentheses is the
-# width that longer strings are cut to.
+# width in bytes that longer strings are cut to.
 RAW_TABLES: dict[str, list[tuple[str, str]]] = {
     "orders": [
         ("order_id", "varchar(50)"),
@@ -70,12 +72,28 @@ RAW_TABLES: dict[str, list[tuple[str, str]]] = {
 }
 
 
+def cut_bytes(text: Column, width: int) -> Column:
+    """The longest beginning of ``text`` that takes at most ``width`` bytes of UTF-8."""
+    data = text.cast("binary")
+
+    def goes_on(place: int) -> Column:
+        """Whether a byte (from 1) continues a character."""
+        return F.hex(F.substring(data, place, 1)).between("80", "BF")
+
+    # a character takes up to four bytes, so its first one is among the last three kept
+    cut = F.substring(data, 1, max(width - 3, 0))
+    for back in (2, 1, 0):
+        if width > back:
+            cut = F.when(~goes_on(width - back + 1), F.substring(data, 1, width - back)).otherwise(cut)
+    return F.when(F.octet_length(text) <= width, text).otherwise(cut.cast("string"))
+
+
 def typed_column(name: str, kind: str) -> Column:
     """Blank text becomes NULL, long text is cut, anything unreadable fails the load."""
     filled = F.when(F.trim(name) != "", F.col(name))
     if kind.startswith("varchar"):
         width = int(kind[len("varchar(") : -1])
-        return F.left(filled, F.lit(width)).alias(name)
+        return cut_bytes(filled, width).alias(name)
     if kind == "timestamp":
         moment = lenient_timestamp(filled)
         message = F.concat(F.lit(f"{name}: not a timestamp: "), filled)
@@ -96,9 +114,14 @@ def read_csv_table(
     """Columns go by position and the header line is skipped, whatever it says.
 
     A line with too few or too many fields stops the load, whichever columns are
-    read later. ``multiline`` is for files with line breaks inside quotes; such files cannot be split.
+    read later. ``multiline`` is for files with line breaks inside quotes, which are
+    read in splits too (see split_csv).
     """
     schema = ", ".join(f"{name} string" for name, _ in columns)
+    if multiline:
+        records, _ = read_records(spark, path)
+        names = [name for name, _ in columns]
+        return typed(parse_records(records, names, schema, nullValue="", escape='"', mode="FAILFAST"), columns)
     # the number of fields is checked only where none are pruned
     strings = spark.read.option("columnPruning", False).csv(
         path,
@@ -106,7 +129,6 @@ def read_csv_table(
         header=True,
         nullValue="",
         escape='"',
-        multiLine=multiline,
         mode="FAILFAST",
     )
     return typed(strings, columns)
@@ -121,13 +143,11 @@ def read_csv_catalogue(
 def load_catalogue(
     spark: SparkSession, paths: Mapping[str, str], base: str, tables=RAW_TABLES
 ) -> dict[str, DataFrame]:
-    """Full refresh: every table is rewritten as parquet and read back."""
-    loaded = {}
-    for name, frame in read_csv_catalogue(spark, paths, tables).items():
-        target = f"{base}/{name}"
-        frame.write.mode("overwrite").parquet(target)
-        loaded[name] = spark.read.parquet(target)
-    return loaded
+    """Full refresh: every table is rewritten as parquet and read back.
+
+    All are written before the first is replaced, so a file that cannot be read
+    leaves the tables of the last load as they were."""
+    return replace_tables(read_csv_catalogue(spark, paths, tables), base)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -185,15 +185,54 @@ def test_orders_and_customers_loaded_twice_count_once(spark, rows):
         "order_id", F.col("v").cast("decimal(11,2)").alias("total_item_value")
     )
     customers = spark.createDataFrame([("c1", "SP"), ("c1", "SP"), ("c2", "RJ")], "customer_id string, customer_state string")
-    days = mt.customer_days(mt.order_revenue(orders, items))
+    revenue = mt.order_revenue(orders, items)
+    days, shared = mt.customer_days(revenue), mt.shared_orders(revenue)
     fact = rows(mt.fact_daily_metrics(days))[0]
     assert (fact["order_count"], fact["customer_count"], float(fact["total_revenue"])) == (3, 2, 27.0)
     geography = spark.createDataFrame([("SP", "South"), ("RJ", "East")], "state_code string, region string")
-    found = {r["state_code"]: r for r in rows(mt.metric_by_geography(days, customers, geography))}
+    found = {r["state_code"]: r for r in rows(mt.metric_by_geography(days, shared, customers, geography))}
     assert found["SP"]["order_count"] == 3 and float(found["SP"]["total_revenue"]) == 52.0
     assert found["RJ"]["order_count"] == 1 and float(found["RJ"]["total_revenue"]) == 1.0
 
 
+def test_an_order_of_two_customers_of_one_state_is_one_order_there(spark, rows):
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    orders = spark.createDataFrame(
+        [
+            ("o1", first, "c1", "delivered"),
+            ("o1", first, "c2", "delivered"),
+            ("o1", second, "c1", "delivered"),
+            ("o2", first, "c1", "delivered"),
+            ("o2", first, "c2", "shipped"),
+            ("o2", first, "c3", "shipped"),
+            ("o2", first, None, "shipped"),
+            ("o3", first, "c2", "delivered"),
+        ],
+        "order_id string, order_date date, customer_id string, order_status string",
+    )
+    items = spark.createDataFrame([("o1", 10), ("o2", 5), ("o3", 1)], "order_id string, v int").select(
+        "order_id", F.col("v").cast("decimal(11,2)").alias("total_item_value")
+    )
+    # c2 was loaded for two states, c3 twice for one
+    customers = spark.createDataFrame(
+        [("c1", "SP"), ("c2", "SP"), ("c2", "RJ"), ("c3", "RJ"), ("c3", "RJ")], "customer_id string, customer_state string"
+    )
+    geography = spark.createDataFrame([("SP", "South"), ("RJ", "East")], "state_code string, region string")
+    revenue = mt.order_revenue(orders, items)
+    built = mt.metric_by_geography(mt.customer_days(revenue), mt.shared_orders(revenue), customers, geography)
+    found = {(r["metric_date"], r["state_code"]): r for r in rows(built)}
+    lines = (
+        orders.join(items, "order_id")
+        .join(customers, "customer_id")
+        .groupBy("order_date", "customer_state")
+        .agg(F.count_distinct("order_id").alias("orders"), F.sum("total_item_value").alias("revenue"))
+    )
+    for r in rows(lines):
+        mine = found.pop((r["order_date"], r["customer_state"]))
+        assert (mine["order_count"], mine["total_revenue"]) == (r["orders"], r["revenue"])
+    assert not found
+
+
 def test_quality_suite_has_37_checks_and_finds_faults(built, rows):
     found = {r["check"]: r for r in rows(qa.run_checks(built))}
     assert len(found) == 37

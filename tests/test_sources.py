@@ -1,8 +1,10 @@
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from rootlens.sources import csv_tables, flat_file, sinks
+from rootlens.sources import csv_tables, flat_file, sinks, versions
 
 
 def write(base, name, content):
@@ -92,16 +94,70 @@ def test_tables_views_and_listing(spark, rows, base):
 
 def test_alert_and_metric_sinks(spark, rows, base):
     alerts = spark.createDataFrame([("s", "sent"), ("t", "dry_run")], "subject string, alert_status string")
-    sinks.append_alerts(alerts, base)
-    sinks.append_alerts(alerts, base)
-    assert [r["subject"] for r in rows(spark.read.parquet(f"{base}/alerts"))] == ["s", "s"]
+    for run_id in ("first", "first", "second"):
+        sinks.append_alerts(alerts, base, run_id)
+    assert [r["run_id"] for r in rows(spark.read.parquet(f"{base}/alerts"), "run_id")] == ["first", "second"]
     report = spark.createDataFrame(
         [("m", "completed", 3, "sent"), ("f", "failed", None, "skipped")],
         "metric string, status string, anomaly_count bigint, alert_status string",
     )
-    sinks.append_run_metrics(report, base)
+    for _ in range(2):
+        sinks.append_run_metrics(report, base, "first")
     found = spark.read.parquet(f"{base}/run_metrics")
     values = {(r["metric"], r["metric_name"]): r["value"] for r in rows(found)}
     assert [values["m", k] for k in ("PipelineExecutionSuccess", "AnomaliesDetected", "AlertsSent")] == [1, 3, 1]
     assert [values["f", k] for k in ("PipelineExecutionSuccess", "AnomaliesDetected", "AlertsSent")] == [0, 0, 0]
-    assert "run_ts" in found.columns
+    assert "run_ts" in found.columns and found.count() == 6
+
+
+def failing(df):
+    """Fails while it is written."""
+    return df.withColumn("n", F.when(F.col("n") < 0, 0).otherwise(F.raise_error(F.lit("broken"))))
+
+
+def test_a_failed_write_leaves_the_old_table(spark, rows, base):
+    df = spark.createDataFrame([(1,), (2,)], "n int")
+    sinks.replace_table(df, base, "t")
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_table(failing(df), base, "t")
+    assert rows(sinks.read_table(spark, base, "t"), "n") == [{"n": 1}, {"n": 2}]
+    assert len(os.listdir(f"{base}/t")) == len([v for v in os.listdir(f"{base}/t") if v.startswith((".", "_"))]) + 1
+    with pytest.raises(FileNotFoundError):
+        sinks.read_table(spark, base, "none")
+
+
+def test_no_table_changes_unless_all_were_written(spark, rows, base):
+    one, two = (spark.createDataFrame([(i,)], "n int") for i in (1, 2))
+    sinks.replace_tables({"a": one, "b": one}, base)
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_tables({"a": two, "b": failing(two)}, base)
+    assert [rows(sinks.read_table(spark, base, t)) for t in "ab"] == [[{"n": 1}]] * 2
+    sinks.replace_tables({"a": two, "b": two}, base)
+    assert [rows(sinks.read_table(spark, base, t)) for t in "ab"] == [[{"n": 2}]] * 2
+
+
+def test_readers_of_the_version_before_go_on(spark, rows, base):
+    frames = [sinks.replace_table(spark.createDataFrame([(i,)], "n int"), base, "t") for i in range(4)]
+    assert rows(frames[2]) == [{"n": 2}] and rows(frames[3]) == [{"n": 3}]
+    assert len(versions.versions_of(spark, f"{base}/t")) == 2
+    assert len([v for v in os.listdir(f"{base}/t") if v.startswith("v-")]) == 2
+
+
+def test_a_catalogue_table_survives_a_failed_save_and_takes_new_columns(spark, rows, base):
+    spark.sql(f"CREATE DATABASE save_test LOCATION '{base}/db'")
+    df = spark.createDataFrame([(1,)], "n int")
+    sinks.save_as_table(df, "save_test.t")
+    with pytest.raises(Exception, match="broken"):
+        sinks.save_as_table(failing(df), "save_test.t")
+    assert rows(spark.table("save_test.t")) == [{"n": 1}]
+    sinks.save_as_table(spark.createDataFrame([(2,)], "n int"), "save_test.t")
+    assert rows(spark.table("save_test.t")) == [{"n": 2}]
+    sinks.save_as_table(spark.createDataFrame([(3, "x")], "n int, v string"), "save_test.t")
+    assert rows(spark.table("save_test.t")) == [{"n": 3, "v": "x"}]
+    spark.sql("DROP DATABASE save_test CASCADE")
+
+
+@pytest.mark.parametrize("text, width, kept", [("abc", 2, "ab"), ("aé", 2, "a"), ("aé", 3, "aé"), ("日本語", 7, "日本"), ("😀x", 3, ""), ("😀x", 4, "😀"), ("é", 1, ""), (None, 3, None)])
+def test_widths_count_bytes(spark, text, width, kept):
+    df = spark.createDataFrame([(text,)], "v string").select(csv_tables.cut_bytes(F.col("v"), width).alias("v"))
+    assert df.first()["v"] == kept
