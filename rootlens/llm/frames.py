@@ -19,6 +19,13 @@ class Scratch:
         df.write.parquet(f"{self.path}/{name}")
         return self.again(df, name)
 
+    def drop(self, *names: str) -> None:
+        """Delete stored tables that nothing reads any more."""
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
     def again(self, df: DataFrame, name: str) -> DataFrame:
         """A stored table once more, with columns of its own for a join with itself."""
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")

@@ -44,12 +44,13 @@ from pyspark.sql import functions as F
 
 from rootlens.llm import textops as tx
 from rootlens.llm.frames import Scratch
+from rootlens.llm.worker import release
 
 # Shingles and the bar of a link.
 WORDS = 5
 SIMILAR_PERCENT = 75
 
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 #: Rows of a slice; their numbers fit 16 bits.
 SLICE_ROWS = 60_000
 #: Cells of the sketch, and how many times the mean makes a cell common.
@@ -62,6 +63,8 @@ RANGE_SHINGLES = 3_000_000
 VERIFY_SHARE = 0.125
 #: Lists of documents longer than this are not paired off one by one but in blocks of so many sets.
 LONG_LIST = 64
+#: Lists longer than this link to one document first, so that few of their pairs are left.
+STAR_LIST = 8
 BLOCK_SETS = 256
 #: Rounds of linking to one document per shingle end when the long lists leave so few candidate
 #: pairs for each posting of the table, or when a round leaves more than this share of them.
@@ -160,6 +163,7 @@ _SIZED = "doc_id long, n_shingles long, digest binary, block int, counts binary"
 
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document; at the end of the task a row per filled block of its sketch."""
+    release()
     names = [x.split()[0] for x in _SIZED.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -211,6 +215,7 @@ def _pieces(common, ranges: int, heads: bool):
     """The pieces of kind below 0 if ``heads``, else the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         frequency = np.zeros(1 << SKETCH_BITS, np.int64)
         for cell, count in common.value.items():
             frequency[cell] = count
@@ -425,7 +430,9 @@ def least_labels(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         moved = moved.join(owners, "via").select("node", F.least("via", "top").alias("label"), (F.least("via", "top") != F.col("old")).alias("changed"))
         moved = scratch.store(moved, f"{name}-{step}")
         labels = moved.select("node", "label")
+        scratch.drop(f"{name}-{step - 1}")
         if moved.filter("changed").limit(1).count() == 0:
+            scratch.drop(f"{name}-edges")
             return labels
 
 
@@ -455,6 +462,8 @@ class _Components:
         moved = self.postings.join(labels.select(F.col("node").alias("comp"), "label"), "comp", "left")
         moved = moved.select("shingle", "node", "n", "ell", F.coalesce("label", "comp").alias("comp"))
         self.postings = self.scratch.store(moved, f"postings{self.round}")
+        old = self.round - 1
+        self.scratch.drop(*(f"{t}{old}" for t in ("postings", "open", "clusters", "dealt", "meet", "whole")))
         return True
 
     def star_links(self, open_: DataFrame) -> DataFrame:
@@ -545,12 +554,12 @@ def component_labels(sets: DataFrame, scratch: Scratch) -> DataFrame:
     before = None
     while True:
         open_ = scratch.store(parts.open_postings(), f"open{parts.round}")
-        dense = open_.filter(F.col("held") > LONG_LIST)
-        per = dense.groupBy("shingle", "comp").count().groupBy("shingle")
+        dense, wide = (open_.filter(F.col("held") > n) for n in (LONG_LIST, STAR_LIST))
+        per = wide.groupBy("shingle", "comp").count().groupBy("shingle")
         per = per.agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
         left = per.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
         # when a round has not helped, no further one is tried: all that is left is checked
-        if left <= enough or (before is not None and left > HELPED * before) or not parts.unite(parts.star_links(dense)):
+        if left <= enough or (before is not None and left > HELPED * before) or not parts.unite(parts.star_links(wide)):
             short = open_.filter(F.col("held") <= LONG_LIST)
             parts.unite(parts.all_links(short).unionByName(parts.dense_links(dense)).distinct())
             break
@@ -620,7 +629,11 @@ def _near_duplicates(documents: DataFrame, scratch: Scratch, id_column: str, tex
 
 def keep_one(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents with all their columns, one of each group of near_duplicates: that with
-    the smallest id, null ids last. Documents without words all stay; of repeated rows one does."""
+    the smallest id, null ids last.
+
+    Defined cases: documents without words all stay; of rows that share the smallest id and the
+    set of shingles the one with the smallest text stays, of repeated rows one; an empty table
+    gives no rows; other columns keep their names and values, whatever they are called."""
     scratch = Scratch(documents.sparkSession)
     found = scratch.store(_near_duplicates(documents, scratch, id_column, text_column), "found")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("kept")
@@ -628,11 +641,18 @@ def keep_one(documents: DataFrame, id_column: str = "doc_id", text_column: str =
     kept = kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.digest").alias("kept_digest"))
 
     def add_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, text_column):
-            digests = digests_of(*shingle_sets(*tx.flat(batch.column(text_column))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], names=[*batch.schema.names, "_digest"])
-
-    marked = documents.mapInArrow(add_digest, documents.select("*").schema.add("_digest", "binary"))
-    same = F.col("_digest").eqNullSafe(F.col("kept_digest")) & F.col(id_column).cast("long").eqNullSafe(F.col("kept_id"))
-    one = marked.filter(F.col("_digest").isNotNull()).join(kept, same, "left_semi").dropDuplicates([id_column, "_digest"])
-    return one.unionByName(marked.filter(F.col("_digest").isNull())).select(*documents.columns)
+        release()
+        for batch in _slices(batches, "text"):
+            digests = digests_of(*shingle_sets(*tx.flat(batch.column("text"))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], names=[*batch.schema.names, "digest"])
+
+    # the caller's columns but the text travel as one
+    given = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != text_column]).alias("given")
+    rows = documents.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text_column}`").alias("text"), given)
+    marked = rows.mapInArrow(add_digest, rows.select("*").schema.add("digest", "binary"))
+    same = F.col("digest").eqNullSafe(F.col("kept_digest")) & F.col("id").eqNullSafe(F.col("kept_id"))
+    order = F.struct("text", F.xxhash64(F.to_json("given")))
+    one = marked.filter(F.col("digest").isNotNull()).join(kept, same, "left_semi")
+    one = one.groupBy("id", "digest").agg(F.min_by(F.struct("text", "given"), order).alias("row")).select("row.*")
+    both = one.unionByName(marked.filter(F.col("digest").isNull()).select("text", "given"))
+    return both.select(*[F.col("text").alias(c) if c == text_column else F.col("given").getField(c).alias(c) for c in documents.columns])
