@@ -103,6 +103,8 @@ class Coder:
         self.database.execute(f"SET threads = 1; SET memory_limit = '{MEMORY_MB}MB'")
         self.single = np.array([ranks[bytes([x])] for x in range(256)], np.int32)
         self.made: set[str] = set()
+        self.known = np.zeros(max(ranks.values()) + 1, bool)
+        self.known[list(ranks.values())] = True
         self.forget()
 
     def _merges(self) -> None:
@@ -200,7 +202,8 @@ class Coder:
         n = np.diff(off)
         rows = {"doc": tx.docs_of(off).astype(np.int32), "pos": np.arange(len(ids), dtype=np.int64), "id": ids}
         self.database.register("tokens_in", pa.table(rows))
-        known = np.isin(ids, np.fromiter(self.ranks.values(), np.int64))
+        known = (ids >= 0) & (ids < len(self.known))
+        known[known] = self.known[ids[known]]
         broken = np.bincount(rows["doc"], ~known, len(n)) > 0
         out: list[bytes | None] = [None if b else b"" for b in broken]
         for doc, pieces in self.database.execute(DECODE).fetchall():

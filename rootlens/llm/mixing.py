@@ -42,13 +42,14 @@ SLICE_BYTES = 1 << 22
 
 def count_words(documents: DataFrame, text_column: str, keep: list[str]) -> DataFrame:
     """The columns of ``keep`` and size, the words of the whole text."""
-    rows = documents.select(*[documents[c] for c in keep], documents[text_column].alias("_text"))
+    text = text_column if text_column in keep else "_text"
+    rows = documents.select(*[documents[c] for c in keep], *([] if text in keep else [documents[text_column].alias(text)]))
     schema = rows.select(*keep).schema.add("size", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in tx.slices(whole, "_text", SLICE_BYTES):
-                _, _, off = tx.words(*tx.flat(batch.column("_text")))
+            for batch in tx.slices(whole, text, SLICE_BYTES):
+                _, _, off = tx.words(*tx.flat(batch.column(text)))
                 columns = [*(batch.column(c) for c in keep), pa.array(np.diff(off), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "size"])
 
@@ -240,15 +241,20 @@ def plan_copies(documents: DataFrame, id_column: str = "doc_id", text_column: st
 
 def mixed(documents: DataFrame) -> DataFrame:
     """The mix itself: the rows of ``documents`` (doc_id, text, source and more), each as
-    often as planned; rows without words as often as their source's whole part says."""
+    often as planned; rows without words as often as their source's whole part says.
+
+    Defined cases: as in plan_copies; rows that agree in doc_id, source and size are told apart by
+    their texts, repeated rows are interchangeable; an empty table gives no rows; other columns
+    keep their names and values, whatever they are called."""
     plan = plan_copies(documents).filter(F.col("copies") > 0)
-    sized = count_words(documents, "text", documents.columns)
+    named = ("doc_id", "text", "source")
+    others = [c for c in documents.columns if c not in named]
+    given = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("given")] if others else []
+    rows = documents.select(*named, *given)
+    sized = count_words(rows, "text", rows.columns)
     same = Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64("text"))
     placed = sized.withColumn("place", F.row_number().over(same))
     on = " AND ".join(f"a.{c} <=> b.{c}" for c in ("doc_id", "source", "size", "place"))
-    return (
-        placed.alias("a")
-        .join(plan.alias("b"), F.expr(on))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))))
-        .select(*[f"a.{c}" for c in documents.columns])
-    )
+    taken = placed.alias("a").join(plan.alias("b"), F.expr(on))
+    taken = taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))))
+    return taken.select(*[F.col(f"a.{c}") if c in named else F.col("a.given").getField(c).alias(c) for c in documents.columns])
