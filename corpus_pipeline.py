@@ -14,8 +14,18 @@ from rootlens.session import reach_package
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _others(docs: DataFrame) -> tuple[str, ...]:
-    return tuple(c for c in docs.columns if c != "doc_id")
+_OWN = ("doc_id", "text")
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns as one, so that none clashes with an operator's."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in _OWN]
+    return docs.select(*_OWN, (F.struct(*others) if others else F.lit(0)).alias("given"))
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*[F.col(c) if c in _OWN else F.col("given").getField(c).alias(c) for c in docs.columns])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,24 +36,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     samples = language.train(docs)
     if not samples:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    judged = language.identify(docs, samples, keep=_others(docs))
-    return judged.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    judged = language.identify(_packed(docs), samples, keep=("text", "given"))
+    return _unpacked(judged.filter(F.col("lang_pred") != language.UNKNOWN), docs)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not judged toxic."""
+    """Documents that are not judged toxic; null and empty texts, and repeated rows, are judged
+    like any other. An empty table stays empty."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = toxicity.judge(docs, toxicity.train(docs, labels), keep=_others(docs))
-    return judged.filter("predicted = 0").select(*docs.columns)
+    judged = toxicity.judge(_packed(docs), toxicity.train(docs, labels), keep=("text", "given"))
+    return _unpacked(judged.filter("predicted = 0"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates; see jaccard.keep_one for the cases."""
     return jaccard.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them."""
+    """The documents as often as the mix takes them; see mixing.mixed for the cases."""
     return mixing.mixed(docs)
 
 
