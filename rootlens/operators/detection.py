@@ -17,6 +17,10 @@ from rootlens.functions.scalars import half_even, percent, without_nan
 from rootlens.spec import DEFAULT_LOOKBACK, DEFAULT_THRESHOLD
 
 
+#: Digits of the scores of detect_as_of_each_day.
+SCORE_DIGITS = 9
+
+
 def latest_days(fact: DataFrame, lookback: int = DEFAULT_LOOKBACK) -> DataFrame:
     """The newest ``lookback`` rows; counts available days, not calendar days."""
     return fact.orderBy(F.desc("metric_date")).limit(lookback)
@@ -148,13 +152,17 @@ def detect_as_of_each_day(
     A row a series and day: the day's own score, change and direction within the ``lookback``
     available days that end with it, and the statistics of those days, the number of
     anomalies among them, each judged by that window, and the newest anomalous one. Statistics
-    are not rounded. A frame of rows carries at most ``lookback`` values of one series."""
+    are not rounded; scores are, so that one on the threshold is not decided by the last bit
+    of a sum. A frame of rows carries at most ``lookback`` values of one series."""
     in_time = Window.partitionBy(*series).orderBy("metric_date", "value")
     window = in_time.rowsBetween(1 - lookback, 0)
     value, score = F.col("value"), F.col("zscore")
 
+    def scored(of: Column) -> Column:
+        return F.round(F.try_divide(of - F.col("_mean"), F.col("_std")), SCORE_DIGITS)
+
     def unusual(day: Column) -> Column:
-        return F.coalesce(F.abs(F.try_divide(day["value"] - F.col("_mean"), F.col("_std"))) > threshold, F.lit(False))
+        return F.coalesce(F.abs(scored(day["value"])) > threshold, F.lit(False))
 
     days = F.collect_list(F.struct("metric_date", "value")).over(window)
     earlier = F.lag("value").over(in_time) if lookback > 1 else F.lit(None).cast("double")
@@ -169,7 +177,7 @@ def detect_as_of_each_day(
                 "prev_value": earlier,
             }
         )
-        .withColumn("zscore", F.try_divide(value - F.col("_mean"), F.col("_std")))
+        .withColumn("zscore", scored(value))
         .withColumn("_odd", F.filter("_days", unusual))
         .select(
             *series,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,10 +84,17 @@ def daily_fact(dated: DataFrame, roles: Roles, scale: int | None = None) -> Data
 
 
 def dimension_rollup(
-    dated: DataFrame, roles: Roles, scale: int | None = None, null_segment: str | None = None
+    dated: DataFrame,
+    roles: Roles,
+    scale: int | None = None,
+    null_segment: str | None = None,
+    details: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """(metric_date, dimension, segment, metrics..., row_count) from one scan.
 
+    With ``details`` (see hierarchy.details_of) the rows are those of a segment's details, in a
+    column ``detail``; a dimension without one is its own detail.
+
     Rows are summed map-side per (day, dimension, segment), so neither a busy
     day nor a dominant segment is shuffled row by row. A NULL segment is left
     out, which the reconciliation then reports, unless ``null_segment`` names it.
@@ -98,7 +105,9 @@ def dimension_rollup(
         F.array(
             *[
                 F.struct(
-                    F.lit(d).alias("dimension"), F.coalesce(F.col(f"`dim {d}`"), label).alias("segment")
+                    F.lit(d).alias("dimension"),
+                    F.coalesce(F.col(f"`dim {d}`"), label).alias("segment"),
+                    *([] if details is None else [F.coalesce(F.col(f"`dim {details.get(d, d)}`"), label).alias("detail")]),
                 )
                 for d in roles.dimensions
             ]
@@ -108,20 +117,20 @@ def dimension_rollup(
         _prepared(dated, roles, scale)
         .select("metric_date", *metrics, each.alias("d"))
         .filter("d.segment IS NOT NULL")
-        .groupBy("metric_date", "d.dimension", "d.segment")
+        .groupBy("metric_date", "d.dimension", "d.segment", *([] if details is None else ["d.detail"]))
         .agg(*_sums(metrics))
     )
 
 
-def dataset_spec(roles: Roles) -> DatasetSpec:
-    """Segment and detail coincide: an unknown table has no hierarchy.
+def dataset_spec(roles: Roles, details: Mapping[str, str] | None = None) -> DatasetSpec:
+    """Segment and detail coincide but for the columns that ``details`` names a finer one for.
 
     A dimension keeps its original spelling, its table and column are safe names.
     """
     metrics = tuple(metric_names(roles).values())
     safe_names(roles.dimensions)
     dims = tuple(
-        DimensionSpec(d, f"metric_by_{safe_name(d)}", safe_name(d), safe_name(d))
+        DimensionSpec(d, f"metric_by_{safe_name(d)}", safe_name(d), safe_name((details or {}).get(d, d)))
         for d in roles.dimensions
     )
     names = (*metrics, ROW_COUNT)
@@ -130,10 +139,14 @@ def dataset_spec(roles: Roles) -> DatasetSpec:
 
 def dimension_tables(rollup: DataFrame, spec: DatasetSpec) -> dict[str, DataFrame]:
     """One table per dimension, each a filter on the shared rollup."""
+
+    def labels(dim: DimensionSpec) -> list[Column]:
+        segment = F.col("segment").alias(dim.segment_col)
+        finer = dim.detail_col != dim.segment_col
+        return [segment, F.col("detail").alias(dim.detail_col)] if finer else [segment]
+
     return {
-        dim.table: rollup.filter(F.col("dimension") == dim.name).select(
-            "metric_date", F.col("segment").alias(dim.segment_col), *spec.metrics
-        )
+        dim.table: rollup.filter(F.col("dimension") == dim.name).select("metric_date", *labels(dim), *spec.metrics)
         for dim in spec.dimensions
     }
 

@@ -19,6 +19,7 @@ from rootlens.operators import classification as cls
 from rootlens.operators import decomposition as dec
 from rootlens.operators import detection as det
 from rootlens.operators import explore
+from rootlens.operators import hierarchy as hy
 from rootlens.operators import investigation as inv
 from rootlens.operators import marts as mt
 from rootlens.operators import narrative as nar
@@ -30,6 +31,7 @@ from rootlens.operators import spellings as sp
 from rootlens.operators import staging as stg
 from rootlens.plans import daily_run as run
 from rootlens.plans import onboarding as onb
+from rootlens.plans import refresh as rf
 from rootlens.plans.oracle import (
     BRAND,
     STAMP,
@@ -844,6 +846,19 @@ def _(s, d):
     return _marts(s, d)["metric_by_payment"]
 
 
+@query("a02_refreshed", FACT)
+def _(s, d):
+    """All days but the newest five built first; those arrive later, with new rows of an older day."""
+    base, raw = _scratch(s), star.read_raw(s, d)
+    day = F.to_date("order_purchase_timestamp")
+    orders = raw["orders"]
+    newest = [r["day"] for r in orders.select(day.alias("day")).dropna().distinct().orderBy(F.desc("day")).limit(6).collect()]
+    late = F.coalesce(day.isin(newest[:5]) | ((day == newest[5]) & (F.col("order_status") == "delivered")), F.lit(False))
+    rf.build_daily({**raw, "orders": orders.filter(~late)}, f"{base}/daily", "month")
+    now = {**raw, "orders": rf.orders_by_period(orders, base, "month")}
+    return rf.refresh(now, rf.changed_days(now["orders"], orders.filter(late)), f"{base}/daily", "month")["fact_daily_metrics"]
+
+
 @query(
     "a06_primary_row",
     """SELECT order_id, order_item_id, product_id, seller_id FROM (SELECT *, row_number() OVER
@@ -1435,17 +1450,17 @@ def _(s, d):
 
 @query(
     "d02_as_of_each_day",
-    """SELECT w.metric, w.metric_date::VARCHAR AS metric_date, w.value, round((w.value - mean) / nullif(std, 0), 6) AS zscore,
-    COALESCE(abs((w.value - mean) / nullif(std, 0)) > 2.0, FALSE) AS is_anomaly, days AS total_days_analyzed,
-    COUNT(*) FILTER (abs((b.value - mean) / nullif(std, 0)) > 2.0) AS anomaly_count,
-    MAX(b.metric_date) FILTER (abs((b.value - mean) / nullif(std, 0)) > 2.0)::VARCHAR AS latest_anomaly_date,
-    round(mean, 6) AS mean, round(std, 6) AS std, least_value AS min, most_value AS max
+    """SELECT w.metric, w.metric_date::VARCHAR AS metric_date, w.value, round(round((w.value - mean) / nullif(std, 0), 9), 6) AS zscore,
+    COALESCE(round(abs((w.value - mean) / nullif(std, 0)), 9) > 2.0, FALSE) AS is_anomaly, days AS total_days_analyzed,
+    COUNT(*) FILTER (round(abs((b.value - mean) / nullif(std, 0)), 9) > 2.0) AS anomaly_count,
+    MAX(b.metric_date) FILTER (round(abs((b.value - mean) / nullif(std, 0)), 9) > 2.0)::VARCHAR AS latest_anomaly_date,
+    round(mean, 6) AS mean, round(std, 3) AS std, least_value AS min, most_value AS max
     FROM windows_30 w JOIN numbered_days b ON b.metric = w.metric AND b.n BETWEEN w.n - 29 AND w.n
     GROUP BY w.metric, w.metric_date, w.value, mean, std, days, least_value, most_value""",
 )
 def _(s, d):
     scored = det.detect_as_of_each_day(det.long_metrics(_fact(s, d), ALL))
-    scored = scored.withColumns({c: F.round(c, 6) for c in ("zscore", "mean", "std")})
+    scored = scored.withColumns({c: F.round(c, n) for c, n in {"zscore": 6, "mean": 6, "std": 3}.items()})
     return scored.select(
         "metric", "metric_date", "value", "zscore", "is_anomaly", "total_days_analyzed", "anomaly_count",
         "latest_anomaly_date", "mean", "std", "min", "max",
@@ -1933,6 +1948,72 @@ def _(s, d):
     return names.join(sizes, "dimension")
 
 
+def _placed(s, d) -> DataFrame:
+    """Orders with the nation, region and segment of their customer."""
+    read = {t: star.read_table(s, d, t) for t in ("orders", "customer", "nation", "region")}
+    customers = read["customer"].join(read["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+    customers = customers.join(read["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    return skew.salted_lookup_join(
+        read["orders"].select("o_orderkey", F.col("o_custkey").alias("key"), "o_orderdate", "o_totalprice", "o_orderstatus"),
+        customers.select(F.col("c_custkey").alias("key"), "n_name", "r_name", "c_mktsegment"),
+        "key",
+        ["o_orderkey"],
+    )
+
+
+PLACED = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderstatus, n_name, r_name, c_mktsegment
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+PLACE_COLUMNS = ["o_orderstatus", "n_name", "r_name", "c_mktsegment"]
+
+
+@query(
+    "o10_hierarchy",
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS detail, '{b}' AS segment, COUNT(DISTINCT {a}) AS detail_values, COUNT(DISTINCT {b}) AS segment_values FROM ({PLACED}) "
+        f"HAVING COUNT(DISTINCT ({a}, {b})) = COUNT(DISTINCT {a}) AND COUNT(DISTINCT {a}) > COUNT(DISTINCT {b}) AND COUNT(DISTINCT {b}) > 1"
+        for a in PLACE_COLUMNS
+        for b in PLACE_COLUMNS
+        if a != b
+    )
+    + ")",
+)
+def _(s, d):
+    return hy.dependencies(_placed(s, d), PLACE_COLUMNS)
+
+
+PLACE_EDITS = [("o_orderkey", "reject"), ("key", "reject"), ("o_totalprice", "metric"), *[(c, "dimension") for c in PLACE_COLUMNS]]
+
+
+def _onboarded_places(s, d) -> onb.Onboarded:
+    edits = s.createDataFrame(PLACE_EDITS, "column string, new_role string")
+    return onb.onboard(_placed(s, d), "places", _scratch(s), edits, exact_scale=2, hierarchies=True)
+
+
+@query(
+    "o09_hierarchical_table",
+    f"""SELECT day::VARCHAR AS metric_date, r_name, n_name, SUM(price)::DOUBLE AS o_totalprice, COUNT(*) AS row_count FROM ({PLACED}) GROUP BY ALL""",
+)
+def _(s, d):
+    return _onboarded_places(s, d).tables["metric_by_r_name"]
+
+
+@query(
+    "d06_drill_onboarded",
+    f"""WITH rows AS (SELECT day, r_name, n_name, SUM(price) AS v FROM ({PLACED}) GROUP BY ALL),
+    pair AS (SELECT max(day) AS cur, min(day) AS prev FROM (SELECT DISTINCT day FROM rows ORDER BY day DESC LIMIT 2))
+    SELECT 'o_totalprice' AS metric, cur::VARCHAR AS "current_date", prev::VARCHAR AS previous_date, r_name AS parent, n_name AS segment,
+      COALESCE(SUM(v) FILTER (day = cur), 0)::DOUBLE AS current_value, COALESCE(SUM(v) FILTER (day = prev), 0)::DOUBLE AS previous_value
+    FROM rows, pair WHERE day IN (cur, prev) GROUP BY cur, prev, r_name, n_name""",
+)
+def _(s, d):
+    done = _onboarded_places(s, d)
+    found = dec.decompose(done.tables, done.spec, ["o_totalprice"], dec.latest_pair(done.tables[done.spec.fact_table]))
+    targets = found.compared.filter("dimension = 'r_name'").select(*dec.GROUP, "segment").distinct()
+    drilled = dec.drill_down(found.slices, targets)
+    return drilled.select(*dec.PAIR, "parent", "segment", "current_value", "previous_value")
+
+
 @query("o11_reconcile", RECONCILED)
 def _(s, d):
     return _reconciled(s, d)

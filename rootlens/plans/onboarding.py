@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rootlens.functions.scalars import DATE_FORMATS
 from rootlens.operators import classification as cls
+from rootlens.operators import hierarchy as hy
 from rootlens.operators import profiling as prof
 from rootlens.operators import rollup as ru
 from rootlens.operators import spellings as sp
@@ -74,12 +75,14 @@ def onboard(
     formats: prof.Formats | None = None,
     exact_scale: int | None = None,
     sketches: bool = False,
+    hierarchies: bool = False,
 ) -> Onboarded:
     """Profile, assign roles, write the daily tables, and check that they agree.
 
     Without ``formats`` the order of day and month is found for each text column over all its
     values (see spellings); a date column for which both orders fit is a warning. ``sketches``
-    estimates the distinct counts, which only the first load needs. Rows without a readable
+    estimates the distinct counts, which only the first load needs. With ``hierarchies`` a
+    dimension that a finer one determines gets that one as its detail (see hierarchy). Rows without a readable
     date go to the table ``rejected_rows``.
 
     Roles confirmed earlier are used again while names and types are unchanged;
@@ -103,16 +106,19 @@ def onboard(
         confirmed = _confirm(df, dataset_id, base, fingerprint, stored, overrides, formats, sketches)
 
     plan = replace(cls.collect_roles(confirmed), grain="other")
-    spec = ru.dataset_spec(plan)
+    details = hy.details_of(hy.dependencies(df, plan.dimensions)) if hierarchies else {}
+    spec = ru.dataset_spec(plan, details)
     own = formats.get(plan.date_column, DATE_FORMATS) if isinstance(formats, Mapping) else formats
     dated = ru.dated_rows(df, plan.date_column, own)
     folder = f"{base}/{dataset_id}"
     rejected = sinks.replace_table(ru.rejected_rows(dated, plan.date_column), folder, "rejected_rows")
+    kept = df.sparkSession.createDataFrame(sorted(details.items()), "segment string, detail string")
+    sinks.replace_table(kept, folder, "hierarchy")
     fact = sinks.replace_table(ru.daily_fact(dated, plan, exact_scale), folder, spec.fact_table)
     tables = {spec.fact_table: fact}
     if plan.dimensions:
         rollup = sinks.replace_table(
-            ru.dimension_rollup(dated, plan, exact_scale),
+            ru.dimension_rollup(dated, plan, exact_scale, details=details or None),
             folder,
             "metric_by_dimension",
             partition_by="dimension",
@@ -173,8 +179,9 @@ def load_dataset(spark: SparkSession, dataset_id: str, base: str) -> Onboarded:
     roles = sinks.load_roles(spark, dataset_id, base)
     if roles is None:
         raise FileNotFoundError(f"No confirmed classification for '{dataset_id}': onboard it first")
-    spec = ru.dataset_spec(cls.collect_roles(roles))
     folder = f"{base}/{dataset_id}"
+    details = {r["segment"]: r["detail"] for r in sinks.read_table(spark, folder, "hierarchy").collect()}
+    spec = ru.dataset_spec(cls.collect_roles(roles), details)
     tables = {spec.fact_table: sinks.read_table(spark, folder, spec.fact_table)}
     if spec.dimensions:
         rollup = sinks.read_table(spark, folder, "metric_by_dimension")

@@ -107,3 +107,25 @@ def test_stored_run_is_the_same(spark, rows, base):
     plain = rows(run.daily_run(t, SPEC, ["sales"], STAMP).report)
     stored = rows(run.daily_run(t, SPEC, ["sales"], STAMP, store=sinks.store_under(base)).report)
     assert plain == stored
+
+
+def test_publishing_again_adds_nothing(spark, rows, base):
+    t = tables(spark, SPIKE)
+    found = run.daily_run(t, SPEC, ["sales"], STAMP, run_id="monday")
+    for again in (found, found, run.daily_run(t, SPEC, ["sales"], STAMP, run_id="monday")):
+        run.publish(again, base)
+    assert spark.read.parquet(f"{base}/alerts").count() == 1
+    run.publish(run.daily_run(t, SPEC, ["sales"], STAMP), base)
+    assert spark.read.parquet(f"{base}/alerts").count() == 2
+    assert spark.read.parquet(f"{base}/run_metrics").count() == 6
+
+
+def test_the_run_record_tells_when_it_ran(spark, rows, base):
+    found = run.daily_run(tables(spark, SPIKE), SPEC, ["sales", "buyers"], STAMP, run_id="x")
+    record = rows(run.run_record(found, sinks.store_under(base)), "metric")
+    assert [r["status"] for r in record] == ["failed", "completed"] and {r["run_id"] for r in record} == {"x"}
+    for r in record:
+        assert r["completed_at"] > r["started_at"] == found.started_at
+        assert r["duration_seconds"] == pytest.approx((r["completed_at"] - r["started_at"]).total_seconds(), abs=1e-3)
+    shown = rows(run.run_summary(run.run_record(found, sinks.store_under(base))))[0]
+    assert {"started_at", "completed_at", "duration_seconds"} <= set(shown)

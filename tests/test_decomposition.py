@@ -182,3 +182,31 @@ def test_kpis_and_waterfall(spark, rows):
     assert cards["Order Count"] == ("3", "-25.0%")
     falls = rows(explore.waterfall(compared(spark, ("A", 3, 0), ("B", 0, 1))), "segment")
     assert [r["contribution"] for r in falls] == [150.0, -50.0]
+
+
+def test_pairs_as_of_many_targets_equal_single_lookups(spark, rows):
+    fact = spark.createDataFrame([(D1,), (D2,), (D2,), (D3,), (None,)], "metric_date date")
+    targets = [D1 - dt.timedelta(days=1), D1, D2, D2, dt.date(2024, 1, 4), D3, dt.date(2030, 1, 1), None]
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(targets)], "n int, target_date date")
+    found = {r["n"]: (r["current_date"], r["previous_date"]) for r in rows(dec.pairs_as_of(fact, asked))}
+    wanted = {}
+    for i, t in enumerate(targets):
+        pair = [] if t is None else rows(dec.latest_pair(fact.dropna(), t))
+        if pair:
+            wanted[i] = (pair[0]["current_date"], pair[0]["previous_date"])
+    assert found == wanted and len(found) == 5
+
+
+def test_pairs_as_of_keep_series_apart(spark, rows):
+    fact = spark.createDataFrame([("a", D1), ("a", D3), ("b", D2)], "shop string, metric_date date")
+    asked = spark.createDataFrame([("a", D3), ("a", D2), ("b", D3), ("c", D3)], "shop string, target_date date")
+    assert rows(dec.pairs_as_of(fact, asked, ["shop"])) == [
+        {"shop": "a", "target_date": D3, "current_date": D3, "previous_date": D1}
+    ]
+
+
+def test_targets_are_not_compared_with_all_dates(spark):
+    fact = spark.createDataFrame([(D1,), (D2,)], "metric_date date")
+    asked = spark.range(50).selectExpr("date_add(date'2024-01-01', int(id)) AS target_date")
+    plan = dec.pairs_as_of(fact, asked)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

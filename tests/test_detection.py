@@ -85,3 +85,34 @@ def test_prior_anomalies_leave_out_the_current_day(spark, rows):
     )
     prior = rows(det.prior_anomalies(scored_rows, pairs))
     assert [r["metric_date"] for r in prior] == [START + dt.timedelta(days=20)]
+
+
+@pytest.mark.parametrize("lookback", [1, 4, 30])
+def test_each_day_is_judged_with_what_was_known_then(spark, rows, lookback):
+    values = [100.0, 102, 98, 101, 900, 99, 100, None, 103, 97, 101, 500, 100, 100, 100, 100, 100]
+    both = series(spark, values).unionByName(series(spark, values[:3], "orders"))
+    found = rows(det.detect_as_of_each_day(both, lookback).filter("metric = 'total_revenue'"), "metric_date")
+    fact = series(spark, values).withColumnRenamed("value", "total_revenue").drop("metric")
+    for i in (0, 1, 4, 7, 11, 16):
+        known = det.run_detection(fact.filter(F.col("metric_date") <= found[i]["metric_date"]), ["total_revenue"], lookback)
+        last = rows(known.scored, "metric_date")[-1]
+        whole = rows(known.statistics)[0]
+        odd = [r["metric_date"] for r in rows(known.anomalies, "metric_date")]
+        day = found[i]
+        assert (day["prev_value"], day["is_anomaly"], day["anomaly_direction"]) == (last["prev_value"], last["is_anomaly"], last["anomaly_direction"])
+        assert (day["zscore"] is None) == (last["zscore"] is None)
+        assert day["zscore"] is None or day["zscore"] == pytest.approx(last["zscore"], abs=1e-8)
+        assert (day["total_days_analyzed"], day["anomaly_count"]) == (whole["total_days_analyzed"], whole["anomaly_count"])
+        assert day["latest_anomaly_date"] == (odd[-1] if odd else None)
+        assert day["mean"] == pytest.approx(whole["mean"], abs=0.006) if whole["mean"] is not None else day["mean"] is None
+
+
+def test_a_score_on_the_threshold_is_no_anomaly(spark, rows):
+    # 1 one and 3 zeros score 1.5; the last bit of a sum must not lift it over that
+    found = rows(det.detect_as_of_each_day(series(spark, [0.0, 0.0, 0.0, 1.0]), threshold=1.5), "metric_date")
+    assert found[-1]["zscore"] == 1.5 and not found[-1]["is_anomaly"] and found[-1]["anomaly_count"] == 0
+
+
+def test_detection_as_of_each_day_shuffles_once_and_keeps_frames_small(spark):
+    plan = det.detect_as_of_each_day(series(spark, [1.0, 2.0]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "RowFrame, -29" in plan
