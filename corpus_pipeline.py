@@ -59,9 +59,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, ids, n_tokens and the digest of the decoded bytes of every document."""
+    """doc_id, source, ids, n_tokens and the digest of the decoded bytes of every document; a null
+    text has no ids, and an empty table gives no rows."""
     vocabulary = bpe.load()
-    coded = bpe.encode(docs, vocabulary, keep=("doc_id", "source"))
+    # written in between: a task then needs one Python worker, not one for either way
+    coded = Scratch(spark).store(bpe.encode(docs, vocabulary, keep=("doc_id", "source")), "ids")
     back = bpe.decode(coded, vocabulary, keep=("doc_id", "source", "ids"))
     return back.select(
         "doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("data", 256).alias("decoded_sha256")
