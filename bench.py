@@ -110,6 +110,9 @@ def main() -> None:
         "onboard_events": onboard,
         "generate_and_reconcile_events": onboard,
         "profile_lineitem": lambda: consume(prof.profile_columns(star.read_table(spark, sf_dir, "lineitem"))),
+        "profile_lineitem_sketched": lambda: consume(
+            prof.profile_columns(star.read_table(spark, sf_dir, "lineitem"), sketches=True)
+        ),
     }
     seconds = {}
     for name, step in steps.items():
