@@ -233,6 +233,27 @@ def test_an_order_of_two_customers_of_one_state_is_one_order_there(spark, rows):
     assert not found
 
 
+def test_customers_are_never_built_as_a_broadcast(spark, base):
+    # a file of many customers is small, and the optimiser does not count the salted copies
+    def stored(name, df):
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    day = F.lit(dt.date(2024, 1, 1))
+    orders = stored("orders", spark.range(3000).select(
+        F.col("id").alias("order_id"), day.alias("order_date"), (F.col("id") % 1000).alias("customer_id"), F.lit("delivered").alias("order_status")
+    ))
+    items = stored("items", spark.range(3000).select(F.col("id").alias("order_id"), F.lit(1).cast("decimal(11,2)").alias("total_item_value")))
+    customers = stored("customers", spark.range(1000).select(F.col("id").alias("customer_id"), F.lit("SP").alias("customer_state")))
+    geography = spark.createDataFrame([("SP", "South")], "state_code string, region string")
+    revenue = mt.order_revenue(orders, items)
+    built = mt.metric_by_geography(mt.customer_days(revenue), mt.shared_orders(revenue), customers, geography)
+    text = built._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in text.splitlines() if "Join [customer_id" in x]
+    assert len(joins) == 2 and all("SortMergeJoin" in x for x in joins)
+    assert [r["order_count"] for r in built.collect()] == [3000]
+
+
 def test_quality_suite_has_37_checks_and_finds_faults(built, rows):
     found = {r["check"]: r for r in rows(qa.run_checks(built))}
     assert len(found) == 37
