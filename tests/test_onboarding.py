@@ -283,3 +283,22 @@ def test_samples_of_many_columns_take_one_scan(spark, base):
 def test_unknown_dataset(spark, base):
     with pytest.raises(FileNotFoundError):
         onb.load_dataset(spark, "nobody", base)
+
+
+def test_joined_places_are_read_from_one_table(spark, monkeypatch, tmp_path):
+    from rootlens.plans import catalog
+
+    given = {
+        "orders": ([(1, 7, dt.datetime(2024, 1, 1), 2.5, "F")], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double, o_orderstatus string"),
+        "customer": ([(7, 3, "TOYS")], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "nation": ([(3, "PERU", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(1, "AMERICA")], "r_regionkey int, r_name string"),
+    }
+    for name, (rows, schema) in given.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen = []
+    monkeypatch.setattr(catalog.onb, "onboard", lambda df, *a, **k: seen.append(df))
+    catalog._onboarded_places(spark, str(tmp_path))
+    text = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text and "Relation" in text
+    assert seen[0].collect() == catalog._placed(spark, str(tmp_path)).collect()
