@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rootlens.llm.frames import Scratch, only
+from rootlens.llm.frames import Scratch, only, small_batches
 
 SEGMENT_BYTES = 64 * 1024
 CHUNK_BYTES = 16 * 1024
@@ -192,6 +192,7 @@ def write_warc(
     payload are all responses or all revisits; an empty table gives a folder
     without records; other columns are ignored.
     """
+    small_batches(pages)
     records = plan_records(pages, id_column, url_column, payload_column, min_bytes)
     (
         records.mapInArrow(_segments, "record binary")
@@ -321,13 +322,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     total length or digest that differs, broken framing, an unreadable archive; it is null
     for a sound record. Records written twice under one id and payload come back twice.
     """
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "part-*")
-        .load(path)
-        .select("content")
-        .mapInArrow(_read_archives, READ)
-    )
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    small_batches(archives)
+    found = archives.mapInArrow(_read_archives, READ)
     single = F.col("segment").isNull() & (F.coalesce("record_type", F.lit("")) != "continuation")
     alone = found.filter(single).select(
         "*", F.array(F.lit(1)).alias("numbers"), F.array("block").alias("blocks")

@@ -153,3 +153,15 @@ def test_broken_archives():
 def test_base32(spark):
     row = spark.range(1).select(warc.base32_sha1(F.lit("abc").cast("binary")).alias("d")).first()
     assert row.d == base64.b32encode(hashlib.sha1(b"abc").digest()).decode()
+
+
+def test_payloads_reach_python_in_small_batches(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    pages = spark.createDataFrame([(1, "http://a.org/", "x")], "page_id long, url string, html string")
+    try:
+        for step in (lambda: warc.write_warc(pages, f"{tmp_path}/out"), lambda: warc.read_warc(spark, f"{tmp_path}/out").collect()):
+            spark.conf.set(key, str(1 << 28))
+            step()
+            assert int(spark.conf.get(key)) <= 4 << 20
+    finally:
+        spark.conf.unset(key)
