@@ -72,7 +72,7 @@ def _bytes(window: str) -> bytes:
 
 
 def _wide(data: bytes) -> bytes:
-    return np.frombuffer(data, np.uint8).astype("<u4").tobytes()
+    return data.decode("latin-1").encode("utf-32-le")
 
 
 def _joined(found: list[str], each: int = 16) -> list[bytes]:
@@ -100,34 +100,40 @@ class Distance:
                 zs.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_dict_id=False)
             )
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+
+    def _learn(self, missing: set[str], all_of_text: set[str]) -> None:
+        """Remember the distances of a text's windows, of which ``missing`` are not known. Without
+        room the older half goes; windows of the newer one that come again are not compressed again."""
+        if len(self.known) + len(missing) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+            missing = all_of_text
+        for w in missing:
+            at = self.older.get(w)
+            self.known[w] = self.of(w) if at is None else at
 
     def of(self, window: str) -> int:
         """The largest saving among pieces of WINDOW_BYTES, which cover the window."""
-        data, best = _bytes(window), 0
-        for at in range(0, len(data), WINDOW_BYTES):
-            plain, against = (len(c.compress(_wide(data[at : at + WINDOW_BYTES]))) for c in self.compressors)
-            best = max(best, plain - against)
+        data, best = _wide(_bytes(window)), 0
+        plain, against = self.compressors
+        for at in range(0, len(data), 4 * WINDOW_BYTES):
+            piece = data[at : at + 4 * WINDOW_BYTES]
+            best = max(best, len(plain.compress(piece)) - len(against.compress(piece)))
         return min(best, LARGEST)
 
     def histogram(self, text: str | None) -> np.ndarray:
         """How many windows of the text have each distance."""
         found = windows(text)
-        missing = {w for w in found if w not in self.known}
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = set(found)
-        for w in missing:
-            self.known[w] = self.of(w)
-        return np.bincount([self.known[w] for w in found], minlength=LARGEST + 1) if found else np.zeros(LARGEST + 1)
+        distinct = set(found)
+        self._learn(distinct.difference(self.known), distinct)
+        places = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        return np.bincount(places, minlength=LARGEST + 1) if found else np.zeros(LARGEST + 1)
 
     def histogram_of(self, counts: dict[str, int]) -> np.ndarray:
         """The histogram of a text with these windows."""
         out = np.zeros(LARGEST + 1)
+        self._learn(counts.keys() - self.known.keys(), set(counts))
         for w, n in counts.items():
-            if w not in self.known:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[w] = self.of(w)
             out[self.known[w]] += n
         return out
 
