@@ -18,10 +18,11 @@ Plan.
    hashes, where they are counted; those that stand alone cannot link anything and
    end there. The rest goes back to its slice, which builds the sets and prefixes.
 3. A large group of near copies must not become all its pairs. So first, in rounds,
-   each prefix shingle with a long list of documents links them to one of them only;
-   verified links unite components, and pairs inside one need no check. What is left
-   between components is checked whole: documents of long lists in blocks against
-   blocks, the others as pairs that are counted, filtered by l and verified.
+   each prefix shingle with a long list of documents links them to a few of them only;
+   verified links unite components, and pairs inside one need no check. The rounds read
+   the long lists alone. What is left between components is checked whole: documents of
+   long lists in blocks against blocks, the others as pairs that are counted, filtered
+   by l and verified.
 4. Components are united by passing on least labels, with the tables written to the
    shared folder in between; neither links nor documents go to the driver.
 
@@ -63,10 +64,14 @@ RANGE_SHINGLES = 3_000_000
 VERIFY_SHARE = 0.125
 #: Lists of documents longer than this are not paired off one by one but in blocks of so many sets.
 LONG_LIST = 64
-#: Lists longer than this link to one document first, so that few of their pairs are left.
+#: Lists longer than this link to so many documents first, so that few of their pairs are left.
 STAR_LIST = 8
+LEADS = 3
 BLOCK_SETS = 256
-#: Rounds of linking to one document per shingle end when the long lists leave so few candidate
+#: Links, or their ends, that one task writes, and the least number of such tasks.
+ROWS_A_TASK = 100_000
+LEAST_TASKS = 12
+#: Rounds of linking to a few documents per shingle end when the long lists leave so few candidate
 #: pairs for each posting of the table, or when a round leaves more than this share of them.
 PAIRS_PER_POSTING = 3
 HELPED = 0.7
@@ -412,15 +417,22 @@ def _sizes_fit(n, m):
     return 100 * F.least(n, m) >= SIMILAR_PERCENT * F.greatest(n, m)
 
 
-def least_labels(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """node, label: the least node of each component of the edges a, b.
+def _tasks_for(rows: int) -> int:
+    return max(LEAST_TASKS, -(-rows // ROWS_A_TASK))
+
+
+def least_labels(edges: DataFrame, scratch: Scratch, name: str, many: int | None = None) -> DataFrame:
+    """node, label: the least node of each component of the edges a, b, of which there are at
+    most ``many``; None counts them.
 
     Every round passes the least label to the neighbours and then to a label's
-    own label, so paths halve."""
+    own label, so paths halve. A round has as many tasks as the edges ask for: the few
+    edges of a small table would otherwise fill a file for each partition of a shuffle."""
+    few = _tasks_for(2 * (edges.count() if many is None else many))
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = scratch.store(both.distinct(), f"{name}-edges")
+    both = scratch.store(both.distinct().coalesce(few), f"{name}-edges")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label"))
-    labels = scratch.store(labels, f"{name}-0")
+    labels = scratch.store(labels.coalesce(few), f"{name}-0")
     step = 0
     while True:
         step += 1
@@ -428,7 +440,7 @@ def least_labels(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         moved = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("via"))
         owners = labels.select(F.col("node").alias("via"), F.col("label").alias("top"))
         moved = moved.join(owners, "via").select("node", F.least("via", "top").alias("label"), (F.least("via", "top") != F.col("old")).alias("changed"))
-        moved = scratch.store(moved, f"{name}-{step}")
+        moved = scratch.store(moved.coalesce(few), f"{name}-{step}")
         labels = moved.select("node", "label")
         scratch.drop(f"{name}-{step - 1}")
         if moved.filter("changed").limit(1).count() == 0:
@@ -442,44 +454,81 @@ class _Components:
     def __init__(self, sets: DataFrame, scratch: Scratch):
         self.sets, self.scratch = sets, scratch
         postings = sets.select("id", "n", "ell", "prefix").mapInArrow(_explode, "shingle long, node long, n int, ell int")
-        self.postings = scratch.store(postings.withColumn("comp", F.col("node")), "postings0")
-        self.changes: list[DataFrame] = []
+        postings = scratch.store(postings, "postings")
+        self.size = postings.count()
+        several = postings.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1")
+        #: postings of shingles in several prefixes, with the length of their list
+        self.open = scratch.store(postings.join(several, "shingle"), "open")
+        scratch.drop("postings")
+        #: those of the lists that link to a few documents first; the rounds read no others
+        self.wide = self.open.filter(F.col("held") > STAR_LIST).withColumn("comp", F.col("node"))
+        self.labels: DataFrame | None = None
         self.round = 0
 
-    def open_postings(self) -> DataFrame:
-        """Postings of shingles that stand in several components, with the length of their list."""
-        several = self.postings.groupBy("shingle").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("held"))
-        return self.postings.join(several.filter("least <> most").select("shingle", "held"), "shingle")
+    def pairs_left(self) -> int:
+        """Pairs between components in the lists that the rounds read."""
+        per = self.wide.groupBy("shingle", "comp").count().groupBy("shingle")
+        per = per.agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
+        return per.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
 
-    def unite(self, links: DataFrame) -> bool:
-        """Unite the components that verified links join; False if there are none."""
+    def unite(self, links: DataFrame) -> DataFrame | None:
+        """Unite the components that verified links join; what became of them, None if there are no links."""
         self.round += 1
-        links = self.scratch.store(links, f"links{self.round}")
+        links = self.scratch.store(links.coalesce(_tasks_for(self.size)), f"links{self.round}")
         if links.limit(1).count() == 0:
+            return None
+        new = least_labels(links, self.scratch, f"labels{self.round}")
+        if self.labels is None:
+            self.labels = new
+        else:
+            later = new.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            old = self.labels.join(later, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+            both = old.unionByName(new.join(self.labels.select("node"), "node", "left_anti"))
+            self.labels = self.scratch.store(both, f"found{self.round}")
+        return new
+
+    def star_round(self) -> bool:
+        """Link each document of a long list to a few of its shingle, others in each round."""
+        new = self.unite(self.star_links())
+        if new is None:
             return False
-        labels = least_labels(links, self.scratch, f"labels{self.round}")
-        self.changes.append(labels)
-        moved = self.postings.join(labels.select(F.col("node").alias("comp"), "label"), "comp", "left")
-        moved = moved.select("shingle", "node", "n", "ell", F.coalesce("label", "comp").alias("comp"))
-        self.postings = self.scratch.store(moved, f"postings{self.round}")
-        old = self.round - 1
-        self.scratch.drop(*(f"{t}{old}" for t in ("postings", "open", "clusters", "dealt", "meet", "whole")))
+        moved = self.wide.join(new.select(F.col("node").alias("comp"), "label"), "comp", "left")
+        self.wide = self.scratch.store(moved.withColumn("comp", F.coalesce("label", "comp")).drop("label"), f"wide{self.round}")
+        self.scratch.drop(f"wide{self.round - 1}")
         return True
 
-    def star_links(self, open_: DataFrame) -> DataFrame:
-        """Each document against one of its shingle, another one in each round; ends are components."""
-        lead = F.min(F.struct(F.xxhash64("node", F.lit(self.round)).alias("h"), "node", "comp", "n"))
-        leads = open_.groupBy("shingle").agg(lead.alias("lead"))
+    def star_links(self) -> DataFrame:
+        """Each document against LEADS of its shingle; ends are components."""
+        first = self.round * LEADS
+        found = [F.min(F.struct(F.xxhash64("node", F.lit(first + i)).alias("h"), "node", "comp", "n")) for i in range(LEADS)]
+        leads = self.wide.groupBy("shingle").agg(F.array(*found).alias("leads"))
         pairs = (
-            open_.join(leads, "shingle")
+            self.wide.join(leads, "shingle")
+            .withColumn("lead", F.explode(F.array_distinct(F.transform("leads", lambda x: x.dropFields("h")))))
             .filter((F.col("comp") != F.col("lead.comp")) & _sizes_fit(F.col("n"), F.col("lead.n")))
             .select(F.col("node").alias("a"), F.col("lead.node").alias("b"), F.col("comp").alias("ca"), F.col("lead.comp").alias("cb"))
-            .distinct()  # as many as there are postings, at most
+            .distinct()  # at most LEADS times as many as there are postings
         )
         return self._linked(pairs)
 
-    def dense_links(self, dense: DataFrame) -> DataFrame:
-        """Every pair of different components that shares a shingle with a long list.
+    def _placed(self) -> DataFrame:
+        """The open postings, with the component of each."""
+        if self.labels is None:
+            return self.open.withColumn("comp", F.col("node"))
+        return self.open.join(self.labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
+
+    def last_links(self) -> DataFrame:
+        """Links between components, enough of them to join all that link."""
+        placed = self._placed()
+        links = self._linked(_pairs(placed.filter(F.col("held") <= LONG_LIST)))
+        dense = placed.filter(F.col("held") > LONG_LIST)
+        apart = dense.groupBy("shingle").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most")
+        dense = self.scratch.store(dense.join(apart, "shingle", "left_semi").coalesce(_tasks_for(self.size)), "dense")
+        many = dense.count()
+        return links.unionByName(self.dense_links(dense, many)).distinct() if many else links
+
+    def dense_links(self, dense: DataFrame, many: int) -> DataFrame:
+        """Every pair of different components that shares a shingle with a long list, of ``many`` postings.
 
         Documents that such shingles chain together are a cluster. Its documents are
         dealt into blocks, a large component into blocks of its own, and each two
@@ -487,7 +536,7 @@ class _Components:
         blocks is at most one link for each component in it."""
         leads = dense.groupBy("shingle").agg(F.min("node").alias("b"))
         edges = dense.join(leads, "shingle").select(F.col("node").alias("a"), "b").distinct()
-        clusters = least_labels(edges, self.scratch, f"clusters{self.round}")
+        clusters = least_labels(edges, self.scratch, "clusters", many)
         members = dense.select("node", "comp").distinct().join(clusters, "node")
         held = members.groupBy("label", "comp").agg(F.count("*").alias("held"))
         held = held.withColumn("own", F.when(F.col("held") >= BLOCK_SETS, F.col("comp")))
@@ -498,7 +547,7 @@ class _Components:
         dealt = members.join(of_comp, ["label", "comp"]).select(
             "label", "node", "comp", "own", F.xxhash64("label", "own", number).alias("block")
         )
-        dealt = self.scratch.store(dealt, f"dealt{self.round}")
+        dealt = self.scratch.store(dealt.coalesce(_tasks_for(many)), "dealt")
         blocks = dealt.select("label", "block", "own").distinct()
         other = blocks.select("label", F.col("block").alias("block_b"), F.col("own").alias("own_b"))
         meet = (
@@ -507,18 +556,14 @@ class _Components:
             .filter((F.col("block_a") <= F.col("block_b")) & F.expr("coalesce(own_a <> own_b, true)"))
             .select("block_a", "block_b")
         )
-        meet = self.scratch.store(meet, f"meet{self.round}")
+        meet = self.scratch.store(meet, "meet")
         whole = dealt.join(self.sets.select(F.col("id").alias("node"), "n", "shingles"), "node")
-        whole = self.scratch.store(whole.select("block", "comp", "n", "shingles"), f"whole{self.round}")
-        meet_b, whole_b = self.scratch.again(meet, f"meet{self.round}"), self.scratch.again(whole, f"whole{self.round}")
+        whole = self.scratch.store(whole.select("block", "comp", "n", "shingles"), "whole")
+        meet_b, whole_b = self.scratch.again(meet, "meet"), self.scratch.again(whole, "whole")
         left = meet.join(whole.withColumnRenamed("block", "block_a"), "block_a").groupBy("block_a", "block_b")
         right = meet_b.join(whole_b.withColumnRenamed("block", "block_b"), "block_b").groupBy("block_a", "block_b")
         return left.cogroup(right).applyInArrow(_cross_blocks, "a long, b long")
 
-    def all_links(self, open_: DataFrame) -> DataFrame:
-        """Every pair of different components that shares as many prefix shingles as it must."""
-        return self._linked(_pairs(open_))
-
     def _linked(self, pairs: DataFrame) -> DataFrame:
         """The components ca, cb of the pairs that link, as a, b; of the pairs a, b the side
         with fewer distinct sets should be b."""
@@ -550,28 +595,13 @@ def _pairs(open_: DataFrame) -> DataFrame:
 def component_labels(sets: DataFrame, scratch: Scratch) -> DataFrame:
     """node, label (digests) of every set that links with another."""
     parts = _Components(sets, scratch)
-    enough = PAIRS_PER_POSTING * parts.postings.count()
+    enough = PAIRS_PER_POSTING * parts.size
     before = None
-    while True:
-        open_ = scratch.store(parts.open_postings(), f"open{parts.round}")
-        dense, wide = (open_.filter(F.col("held") > n) for n in (LONG_LIST, STAR_LIST))
-        per = wide.groupBy("shingle", "comp").count().groupBy("shingle")
-        per = per.agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
-        left = per.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0
-        # when a round has not helped, no further one is tried: all that is left is checked
-        if left <= enough or (before is not None and left > HELPED * before) or not parts.unite(parts.star_links(wide)):
-            short = open_.filter(F.col("held") <= LONG_LIST)
-            parts.unite(parts.all_links(short).unionByName(parts.dense_links(dense)).distinct())
-            break
+    # when a round has not helped, no further one is tried: all that is left is checked
+    while (left := parts.pairs_left()) > enough and (before is None or left <= HELPED * before) and parts.star_round():
         before = left
-    found = None
-    for labels in parts.changes:
-        if found is None:
-            found = labels
-            continue
-        later = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = labels.join(found.select("node"), "node", "left_anti")
-        found = found.join(later, "label", "left").select("node", F.coalesce("next", "label").alias("label")).unionByName(new)
+    parts.unite(parts.last_links())
+    found = parts.labels
     names = sets.select("id", "node")
     if found is None:
         return names.limit(0).select("node", F.col("node").alias("label"))

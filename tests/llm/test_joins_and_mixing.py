@@ -96,6 +96,25 @@ def test_one_large_group(spark, monkeypatch, rounds, block):
     assert found_components(spark, pairs) == brute_components(pairs)
 
 
+def test_rounds_read_long_lists_only(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRS_PER_POSTING", 0)
+    postings, store = [], Scratch.store
+
+    def counted(self, df, name):
+        made = store(self, df, name)
+        if "shingle" in df.columns:
+            postings.append(made.count())
+        return made
+
+    monkeypatch.setattr(Scratch, "store", counted)
+    texts = near_copies(1, 30, words=60, changes=4)
+    for seed in range(2, 32):
+        texts += near_copies(seed, 3, words=80)
+    pairs = list(enumerate(texts))
+    assert found_components(spark, pairs) == brute_components(pairs)
+    assert sum(postings) < 2.5 * postings[0]  # the table, its shared part, and little in each round
+
+
 def test_common_shingles_take_the_other_way(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "COMMON_TIMES", 0.001)
     pairs = list(enumerate(near_copies(4, 12) + near_copies(5, 9) + ["a b", "a b", "z"]))
