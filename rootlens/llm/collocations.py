@@ -227,6 +227,24 @@ def _hash_counts(sizes: tuple[int, ...], pairs):
     return run
 
 
+def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The slices of ``data`` from ``starts`` to ``ends``."""
+    off = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
+    at = np.ones(int(off[-1]), np.int32)
+    at[0] = starts[0]
+    at[off[1:-1]] = starts[1:] - ends[:-1] + 1
+    np.cumsum(at, out=at)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(off), pa.py_buffer(data[at])])
+
+
+def _as_text(phrases: pa.Array) -> pa.Array:
+    """UTF-8 as strings; bytes that are not UTF-8 are read as U+FFFD."""
+    try:
+        return phrases.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([p.decode("utf-8", "replace") for p in phrases.to_pylist()], pa.string())
+
+
 def _texts(marks):
     """lang, size, phrase, times of the phrases whose hash is marked."""
 
@@ -235,21 +253,21 @@ def _texts(marks):
         for batch in batches:
             for part in tx.slices(batch, "chunk", SLICE_BYTES):
                 here = _Phrases(part)
-                raw = here.data.tobytes()
-                out: dict[tuple[str, int, bytes], int] = {}
                 for n in range(1, LONGEST + 1):
                     at, _ = here.counted(n, table)
+                    if not len(at):
+                        continue
                     docs = here.docs[at]
-                    columns = (here.code[docs], here.starts[at], here.ends[at + n - 1], here.times[docs])
-                    for lang, a, b, times in zip(*(c.tolist() for c in columns), strict=True):
-                        key = (lang, n, raw[a:b])
-                        out[key] = out.get(key, 0) + times
-                if not out:
-                    continue
-                lang, size, phrase = zip(*out, strict=True)
-                columns = [here.names[list(lang)].tolist(), size, [p.decode("utf-8", "replace") for p in phrase], list(out.values())]
-                kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "size", "phrase", "times"])
+                    found = pa.table({
+                        "lang": pa.array(here.code[docs]),
+                        "phrase": _cut(here.data, here.starts[at], here.ends[at + n - 1]),
+                        "times": pa.array(here.times[docs]),
+                    })
+                    # equal texts become one, compared as bytes
+                    found = found.group_by(["lang", "phrase"], use_threads=False).aggregate([("times", "sum")]).combine_chunks()
+                    langs = pa.array(here.names, pa.string()).take(found["lang"].chunk(0))
+                    columns = [langs, pa.array(np.full(len(langs), n, np.int32)), _as_text(found["phrase"].chunk(0)), found["times_sum"].chunk(0)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "times"])
 
     return run
 

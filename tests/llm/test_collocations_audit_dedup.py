@@ -114,6 +114,34 @@ def test_chunks_cover_every_phrase_once():
     assert (ends - starts).max() < 60 * collocations.LONGEST_CHUNK
 
 
+def test_texts_are_summed_as_bytes(monkeypatch):
+    words = "été of the to and 漢字 end".split()
+    rnd = random.Random(5)
+    want, rows = Counter(), []
+    for lang in ("de", "und"):
+        for _ in range(60):
+            text = [rnd.choice(words) for _ in range(rnd.randrange(1, 9))]
+            times = rnd.randrange(1, 5)
+            rows.append((lang, True, " ".join(text).encode() + b".", times))
+            for n in range(1, collocations.LONGEST + 1):
+                for i in range(len(text) - n + 1):
+                    want[lang, n, " ".join(text[i : i + n])] += times
+    rows.append(("und", True, b"bad\xff byte.", 2))
+    want.update({("und", 1, "bad\ufffd"): 2, ("und", 1, "byte"): 2, ("und", 2, "bad\ufffd byte"): 2})
+    kinds = (pa.string(), pa.bool_(), pa.binary(), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["lang", "lead", "chunk", "times"])
+
+    class Marks:
+        value = np.full(1 << (collocations.MARK_BITS - 3), 255, np.uint8).tobytes()
+
+    # cut and summed as arrays, not phrase by phrase
+    arrays, cut = [], collocations._cut
+    monkeypatch.setattr(collocations, "_cut", lambda *a: arrays.append(cut(*a)) or arrays[-1])
+    found = [r for part in collocations._texts(Marks)(iter([batch])) for r in part.to_pylist()]
+    assert {(r["lang"], r["size"], r["phrase"]): r["times"] for r in found} == want and len(found) == len(want)
+    assert len(arrays) == collocations.LONGEST
+
+
 def test_equal_passages_give_equal_chunks(spark):
     rng = random.Random(2)
     passage = " ".join(str(rng.randint(0, 500)) for _ in range(3000))
